@@ -70,7 +70,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     # offsets: at most (partitions + columns) rows, broadcast by construction
     off_df = spark.createDataFrame(offsets, "pid int, c int, off long")
-    w = Window.partitionBy("pid").orderBy("c", "x").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("pid", "c").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     cum = (ranged.join(F.broadcast(off_df), ["pid", "c"])
            .withColumn("cum", F.col("off") + F.sum("cnt").over(w)))
     want_map = F.create_map(*[v for c, rs in wanted.items()

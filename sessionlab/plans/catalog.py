@@ -86,6 +86,8 @@ def q_feature_table(spark, sf_dir):
     return round_doubles(build_features(train, rates=rates))
 
 
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
@@ -94,4 +96,5 @@ def oracle_sql() -> dict:
     return dict(ORACLE)
 
 
-_ = F
+# query modules register themselves on import
+from sessionlab.plans import prep_queries, eval_queries  # noqa: E402,F401

@@ -93,27 +93,27 @@ pv_first_ as (
 pval_ as (select category_id, avg(v) as page_value from pv_first_ group by category_id)"""
 
 
-def stats_ctes(src: str, with_rates: bool, with_pv: bool = False) -> str:
+def stats_ctes(src: str, with_rates: bool, with_pv: bool = False, px: str = "") -> str:
     """Per-session statistics of the click rows in ``src``."""
     p_rate = ", max(coalesce(pr.buy_rate, 0)) as p_max, avg(coalesce(pr.buy_rate, 0)) as p_avg" \
         if with_rates else ""
-    p_join = "left join prate_ pr on pk.product_id = pr.product_id" if with_rates else ""
+    p_join = f"left join prate_ pr on {px}pk.product_id = pr.product_id" if with_rates else ""
     c_rate = (", sum(coalesce(cr.buy_rate, 0)) as c_sum, max(coalesce(cr.buy_rate, 0)) as c_max,"
               " avg(coalesce(cr.buy_rate, 0)) as c_avg, avg(coalesce(cr.engagement, 0)) as e_avg,"
               " max(coalesce(cr.engagement, 0)) as e_max") if with_rates else ""
-    c_join = "left join crate_ cr on ck.category_id = cr.category_id" if with_rates else ""
+    c_join = f"left join crate_ cr on {px}ck.category_id = cr.category_id" if with_rates else ""
     pv_agg = (", sum(coalesce(pv.page_value, 0)) as pv_sum, max(coalesce(pv.page_value, 0)) as pv_max,"
               " avg(coalesce(pv.page_value, 0)) as pv_avg") if with_pv else ""
-    pv_join = "left join pval_ pv on ck.category_id = pv.category_id" if with_pv else ""
+    pv_join = f"left join pval_ pv on {px}ck.category_id = pv.category_id" if with_pv else ""
     return f"""
-e_ as (
+{px}e_ as (
   select *, row_number() over w as rn,
          lag(event_type) over w as prev_type, lag(event_type, 2) over w as prev2_type,
          lag(category_id) over w as prev_cat,
          date_diff('microsecond', lag(event_time) over w, event_time) / 1e6 as gap_s
   from {src} where user_session is not null
   window w as (partition by user_session order by event_time, event_id)),
-m_ as (
+{px}m_ as (
   select user_session, count(*) as n,
          count_if(event_type = 'BUY') as n_buy, count_if(event_type = 'ADD_CART') as n_addcart,
          count_if(event_type = 'VIEW') as n_view, count_if(event_type = 'REMOVE_CART') as n_remove,
@@ -130,20 +130,20 @@ m_ as (
          count_if(prev_cat <> category_id) as n_category_changes,
          min(case when event_type = 'BUY' then rn end) as first_buy_rn,
          count(product_id) as n_product_events
-  from e_ group by user_session),
-pk as (
+  from {px}e_ group by user_session),
+{px}pk as (
   select user_session, product_id, count(*) as pcnt, bool_or(event_type = 'VIEW') as viewed
   from {src} where user_session is not null group by user_session, product_id),
-p_ as (
-  select pk.user_session, count(pk.product_id) as up,
-         coalesce(max(case when pk.product_id is not null then pcnt end), 0) as max_pn,
-         count_if(viewed and pk.product_id is not null) as n_viewed_products{p_rate}
-  from pk {p_join} group by pk.user_session),
-ck as (select distinct user_session, category_id from {src} where user_session is not null),
-c_ as (
-  select ck.user_session, count(ck.category_id) as uc{c_rate}{pv_agg}
-  from ck {c_join} {pv_join} group by ck.user_session),
-st as (select * from m_ join p_ using (user_session) join c_ using (user_session))"""
+{px}p_ as (
+  select {px}pk.user_session, count({px}pk.product_id) as up,
+         coalesce(max(case when {px}pk.product_id is not null then pcnt end), 0) as max_pn,
+         count_if(viewed and {px}pk.product_id is not null) as n_viewed_products{p_rate}
+  from {px}pk {p_join} group by {px}pk.user_session),
+{px}ck as (select distinct user_session, category_id from {src} where user_session is not null),
+{px}c_ as (
+  select {px}ck.user_session, count({px}ck.category_id) as uc{c_rate}{pv_agg}
+  from {px}ck {c_join} {pv_join} group by {px}ck.user_session),
+{px}st as (select * from {px}m_ join {px}p_ using (user_session) join {px}c_ using (user_session))"""
 
 
 def _dur_secs() -> str:
@@ -280,22 +280,44 @@ def is_double_expr(e: str) -> bool:
     return not (e.startswith("cast(") and e.endswith("as bigint)"))
 
 
-def feature_table_sql(families, src_cond: str | None = None, ids: bool = True,
-                      target: bool = True, with_rates: bool = True) -> str:
-    """Full SQL of the feature table of the clicks matching ``src_cond``."""
+def feature_ctes(name: str, families, src_cond: str | None = None, ids: bool = True,
+                 target: bool = True, with_rates: bool = True, px: str = "",
+                 rounded: bool = True) -> list[str]:
+    """CTEs computing feature table ``name`` from ``clicks`` rows matching
+    ``src_cond`` (expects the clicks / train_clicks / rate CTEs before)."""
     with_pv = "page_value" in families
-    ctes = [CLICKS_CTES.strip(), split_cte("train_clicks", TRAIN_COND)]
-    src = "clicks"
+    ctes, src = [], "clicks"
     if src_cond:
-        ctes.append(split_cte("src_clicks", src_cond))
-        src = "src_clicks"
-    if with_rates:
-        ctes.append(rates_ctes().strip())
-    ctes.append(stats_ctes(src, with_rates, with_pv).strip())
+        ctes.append(split_cte(f"{px}src_clicks", src_cond))
+        src = f"{px}src_clicks"
+    ctes.append(stats_ctes(src, with_rates, with_pv, px).strip())
     cols = []
     if ids:
         cols += ["user_session", "user_id"]
-    cols += [r6(e, n, is_double_expr(e)) for n, e in feature_exprs(families)]
+    if rounded:
+        cols += [r6(e, n, is_double_expr(e)) for n, e in feature_exprs(families)]
+    else:
+        cols += [f"{e} as {n}" for n, e in feature_exprs(families)]
     if target:
-        cols.append(f"{rnd('session_value')} as session_value")
-    return count_filter("with " + ",\n".join(ctes) + "\nselect " + ",\n  ".join(cols) + "\nfrom st")
+        cols.append(f"{rnd('session_value')} as session_value" if rounded else "session_value")
+    ctes.append(f"{name} as (select " + ",\n  ".join(cols) + f"\nfrom {px}st)")
+    return ctes
+
+
+def head_ctes(with_rates: bool = True) -> list[str]:
+    out = [CLICKS_CTES.strip(), split_cte("train_clicks", TRAIN_COND),
+           split_cte("val_clicks", VAL_COND)]
+    if with_rates:
+        out.append(rates_ctes().strip())
+    return out
+
+
+def compose(ctes: list[str], final: str) -> str:
+    return count_filter("with " + ",\n".join(ctes) + "\n" + final)
+
+
+def feature_table_sql(families, src_cond: str | None = None, ids: bool = True,
+                      target: bool = True, with_rates: bool = True) -> str:
+    """Full SQL of the feature table of the clicks matching ``src_cond``."""
+    ctes = head_ctes(with_rates) + feature_ctes("ft", families, src_cond, ids, target, with_rates)
+    return compose(ctes, "select * from ft")
