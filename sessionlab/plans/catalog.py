@@ -97,4 +97,4 @@ def oracle_sql() -> dict:
 
 
 # query modules register themselves on import
-from sessionlab.plans import prep_queries, eval_queries  # noqa: E402,F401
+from sessionlab.plans import prep_queries, eval_queries, model_queries  # noqa: E402,F401
