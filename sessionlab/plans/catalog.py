@@ -18,6 +18,7 @@ from sessionlab.operators.prepare import train_val_split
 from sessionlab.operators.rates import fit_rates
 from sessionlab.plans import oracle as O
 from sessionlab.sources.adapter import load_clicks
+from sessionlab.sources.store import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,9 +34,16 @@ def register(name: str, sql: str | None = None):
 
 
 def _splits(spark, sf_dir):
-    clicks = load_clicks(spark, sf_dir)
-    train, val = train_val_split(clicks)
-    return clicks, train, val
+    """The adapted click log, staged once per session, and its two time
+    splits (plain filters on the staged table: pushed to its parquet scan)."""
+    from sessionlab.plans.workspace import workspace
+    ws = workspace(spark, sf_dir)
+    return ws.clicks, ws.split("train"), ws.split("val")
+
+
+def _ws(spark, sf_dir):
+    from sessionlab.plans.workspace import workspace
+    return workspace(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- sources
@@ -49,41 +57,37 @@ def q_click_log(spark, sf_dir):
 
 @register("base_features", O.feature_table_sql(["base"], with_rates=False))
 def q_base(spark, sf_dir):
-    return round_doubles(build_features(load_clicks(spark, sf_dir), ["base"]))
+    return round_doubles(build_features(_ws(spark, sf_dir).clicks, ["base"]))
 
 
 @register("behavioral_features", O.feature_table_sql(["behavioral"], with_rates=False, ids=True, target=False))
 def q_behavioral(spark, sf_dir):
-    df = build_features(load_clicks(spark, sf_dir), ["behavioral"])
+    df = build_features(_ws(spark, sf_dir).clicks, ["behavioral"])
     return round_doubles(df.drop("session_value"))
 
 
 @register("temporal_features", O.feature_table_sql(["temporal"], with_rates=False, target=False))
 def q_temporal(spark, sf_dir):
-    df = build_features(load_clicks(spark, sf_dir), ["temporal"])
+    df = build_features(_ws(spark, sf_dir).clicks, ["temporal"])
     return round_doubles(df.drop("session_value"))
 
 
 @register("research_features", O.feature_table_sql(["research"], src_cond=O.VAL_COND))
 def q_research(spark, sf_dir):
-    _, train, val = _splits(spark, sf_dir)
-    rates = fit_rates(train)
-    return round_doubles(build_features(val, ["research"], rates))
+    ws = _ws(spark, sf_dir)
+    return round_doubles(build_features(ws.split("val"), ["research"], ws.rates()))
 
 
 @register("page_value_features", O.feature_table_sql(["page_value"], src_cond=O.VAL_COND))
 def q_page_value(spark, sf_dir):
-    _, train, val = _splits(spark, sf_dir)
-    rates = fit_rates(train, with_page_values=True)
-    return round_doubles(build_features(val, ["page_value"], rates))
+    ws = _ws(spark, sf_dir)
+    return round_doubles(build_features(ws.split("val"), ["page_value"], ws.rates(with_page_values=True)))
 
 
 @register("feature_table", O.feature_table_sql(["base", "behavioral", "research", "temporal"],
                                                src_cond=O.TRAIN_COND))
 def q_feature_table(spark, sf_dir):
-    _, train, _ = _splits(spark, sf_dir)
-    rates = fit_rates(train)
-    return round_doubles(build_features(train, rates=rates))
+    return round_doubles(_ws(spark, sf_dir).features("train"))
 
 
 

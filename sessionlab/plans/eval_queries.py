@@ -15,10 +15,9 @@ from sessionlab.operators import folds as CV
 from sessionlab.operators import prepare as P
 from sessionlab.operators import select as S
 from sessionlab.operators import validate as V
-from sessionlab.operators.features import FAMILIES, build_features
-from sessionlab.operators.rates import fit_rates
+from sessionlab.operators.features import FAMILIES
 from sessionlab.plans import oracle as O
-from sessionlab.plans.catalog import _splits, register
+from sessionlab.plans.catalog import _splits, _ws, register
 
 ALL_COLS = [n for n, _ in O.feature_exprs(FAMILIES)]
 BASE_COLS = [n for n, _ in O.feature_exprs(["base"])]
@@ -46,8 +45,8 @@ def _sql_pred(name: str) -> str:
 # ------------------------------------------------------------ shared tables
 
 def _full_train(spark, sf_dir):
-    _, train, _ = _splits(spark, sf_dir)
-    return build_features(train, rates=fit_rates(train))
+    """Training feature table, staged: selection reads it in several passes."""
+    return _ws(spark, sf_dir).features("train")
 
 
 def _full_sql_ctes():
@@ -55,8 +54,7 @@ def _full_sql_ctes():
 
 
 def _base(spark, sf_dir, split):
-    _, train, val = _splits(spark, sf_dir)
-    return build_features(train if split == "train" else val, ["base"])
+    return _ws(spark, sf_dir).features(split, ["base"])
 
 
 def _base_ctes():
@@ -121,7 +119,8 @@ def q_target_corr(spark, sf_dir):
 
 def _strong_pairs_ctes() -> list[str]:
     return _tc_ctes() + [
-        f"strong_ as (select feature, position, abs(corr) as ac from tc_ "
+        f"strong_ as (select feature, position, round(abs(corr) * 1e{S.TIE_DECIMALS}) / 1e{S.TIE_DECIMALS} as ac "
+        f"from tc_ "
         f"where abs(corr) >= {S.CORRELATION_THRESHOLD})",
         """pairs_ as (
   select a.feature as feature_a, b.feature as feature_b, corr(a.v, b.v) as corr
@@ -164,7 +163,8 @@ def q_selected(spark, sf_dir):
 
 
 @register("top_correlated_features", O.compose(_tc_ctes(), f"""
-select feature, cast(row_number() over (order by abs(corr) desc, position) as integer) as rank
+select feature, cast(row_number() over (order by round(abs(corr) * 1e{S.TIE_DECIMALS}) desc, position)
+       as integer) as rank
 from tc_ where corr is not null qualify rank <= {TOP_K}"""))
 def q_topk(spark, sf_dir):
     top = S.top_k_by_correlation(_full_train(spark, sf_dir), TOP_K)

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from sessionlab.functions.exprs import round_doubles
 from sessionlab.operators import prepare as P
 from sessionlab.operators import rates as R
-from sessionlab.operators.features import build_features
 from sessionlab.plans import oracle as O
-from sessionlab.plans.catalog import _splits, register
+from sessionlab.plans.catalog import _splits, _ws, register
 from sessionlab.sources.adapter import load_clicks
 
 SAMPLE_SESSIONS = 1000
@@ -100,8 +99,8 @@ def q_sample(spark, sf_dir):
 # ------------------------------------------------------------ P6 / P7 / P9
 
 def _base_tables(spark, sf_dir):
-    _, train, val = _splits(spark, sf_dir)
-    return build_features(train, BASE), build_features(val, BASE)
+    ws = _ws(spark, sf_dir)
+    return ws.features("train", BASE), ws.features("val", BASE)
 
 
 def _scale_sql(method: str) -> str:

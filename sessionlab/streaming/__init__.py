@@ -1,0 +1 @@
+"""Streaming: stateless micro-batch scoring of feature rows (see scoring.py)."""
