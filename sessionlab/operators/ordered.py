@@ -30,8 +30,21 @@ def add_bucket(df: DataFrame, time_col: str, bucket_seconds: float = DEFAULT_BUC
     return df.withColumn(BUCKET, time_bucket(time_col, bucket_seconds))
 
 
-def _local_window(key: str, order: list[str]):
-    return Window.partitionBy(key, BUCKET).orderBy(*order)
+def _local_window(key: str, order: list):
+    """Window on (key, bucket); string order columns sort nulls last, like
+    the buckets (a row without a time comes after every timed row)."""
+    cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    return Window.partitionBy(key, BUCKET).orderBy(*cols)
+
+
+def _attach(local: DataFrame, per_bucket: DataFrame, key: str) -> DataFrame:
+    """Left join of the per-bucket values on (key, bucket), null-safe: rows
+    with a null time (bucket) keep their values, and the preserved side gets
+    no inferred filters, so its plan stays identical to the other consumers
+    of the same shuffle."""
+    r = per_bucket.withColumnRenamed(key, "_rk").withColumnRenamed(BUCKET, "_rb")
+    cond = local[key].eqNullSafe(r["_rk"]) & local[BUCKET].eqNullSafe(r["_rb"])
+    return local.join(r, cond, "left").drop("_rk", "_rb")
 
 
 def split_lag(df: DataFrame, key: str, order: list[str], lags: dict[str, tuple[str, int]],
@@ -52,12 +65,16 @@ def split_lag(df: DataFrame, key: str, order: list[str], lags: dict[str, tuple[s
     for s in srcs:
         local = local.withColumn(f"_l1_{s}", F.lag(s, 1).over(wl)).withColumn(f"_l2_{s}", F.lag(s, 2).over(wl))
 
-    # One row per (key, bucket): row count, last value, value before last.
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    for s in srcs:
-        aggs.append(F.max_by(F.col(s), F.col(LRN)).alias(f"_last_{s}"))
-        aggs.append(F.max_by(F.col(f"_l1_{s}"), F.col(LRN)).alias(f"_last2_{s}"))
-    tails = local.groupBy(key, BUCKET).agg(*aggs)
+    # One row per (key, bucket): row count and the bucket's whole last row
+    # (with its local lags, i.e. the row before it).  Carrying every input
+    # column keeps this branch's scan and exchange identical to the main
+    # branch's, so Spark reuses one shuffle instead of shuffling a pruned copy.
+    last_row = F.struct(*[F.col(c) for c in local.columns if c not in (key, BUCKET)])
+    tails = (local.groupBy(key, BUCKET)
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.max_by(last_row, F.col(LRN)).alias("_last"))
+             .select(key, BUCKET, "_cnt",
+                     *[F.col(f"_last.{s}").alias(f"_last_{s}") for s in srcs],
+                     *[F.col(f"_last._l1_{s}").alias(f"_last2_{s}") for s in srcs]))
 
     wb = Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_last())
     prior = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -68,7 +85,7 @@ def split_lag(df: DataFrame, key: str, order: list[str], lags: dict[str, tuple[s
                      .otherwise(F.lag(f"_last_{s}", 2).over(wb)).alias(f"_p2_{s}"))
     bounds = tails.select(*bcols)
 
-    j = local.join(bounds, [key, BUCKET], "inner")
+    j = _attach(local, bounds, key)
     out = [F.col(c) for c in df.columns]
     for name, (s, k) in lags.items():
         if k == 1:
@@ -97,5 +114,5 @@ def split_running_sum(df: DataFrame, key: str, order: list[str], value_col: str,
     totals = local.groupBy(key, BUCKET).agg(F.sum(value_col).alias("_btot"))
     wb = Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(key, BUCKET, F.coalesce(F.sum("_btot").over(wb), F.lit(0)).alias("_bpre"))
-    j = local.join(prefix, [key, BUCKET], "inner")
+    j = _attach(local, prefix, key)
     return j.select(*[F.col(c) for c in df.columns], (F.col("_bpre") + F.col("_lsum")).alias(out_col))

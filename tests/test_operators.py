@@ -21,13 +21,14 @@ def skewed(spark):
     for i in range(3000):
         key = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 200)}"
         t = base + dt.timedelta(seconds=rnd.randint(0, 5 * 86400) // 7 * 7)  # many ties
+        t = None if i % 97 == 0 else t                                        # rows without a time
         rows.append((i, key, t, rnd.choice(["A", "B", "C", None]), rnd.randint(0, 1)))
     return spark.createDataFrame(rows, "id long, key string, t timestamp_ntz, v string, b int")
 
 
 @pytest.mark.parametrize("bucket", [60.0, 3600.0, 1e9])
 def test_split_lag_equals_window(skewed, bucket):
-    w = Window.partitionBy("key").orderBy("t", "id")
+    w = Window.partitionBy("key").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
     plain = skewed.select("id", F.lag("v", 1).over(w).alias("l1"), F.lag("v", 2).over(w).alias("l2"),
                           F.lag("t", 1).over(w).alias("lt"), F.row_number().over(w).alias("rn"))
     split = split_lag(skewed, "key", ["t", "id"], {"l1": ("v", 1), "l2": ("v", 2), "lt": ("t", 1)},
@@ -36,7 +37,8 @@ def test_split_lag_equals_window(skewed, bucket):
 
 
 def test_split_running_sum_equals_window(skewed):
-    w = Window.partitionBy("key").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("key").orderBy(F.col("t").asc_nulls_last(), "id") \
+        .rowsBetween(Window.unboundedPreceding, 0)
     plain = skewed.select("id", F.sum("b").over(w).alias("s"))
     split = split_running_sum(skewed, "key", ["t", "id"], "b", "s", time_col="t",
                               bucket_seconds=600).select("id", "s")
