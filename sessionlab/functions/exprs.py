@@ -10,19 +10,33 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def seconds_between(start, end) -> Column:
-    """(end - start) in float seconds, microsecond exact; works on NTZ."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / F.lit(1e6)
+def seconds_between(start, end, ntz: bool = True) -> Column:
+    """(end - start) in float seconds, microsecond exact.  For
+    TIMESTAMP_NTZ this is a wall-clock difference, as for naive datetimes."""
+    return (epoch_micros(end, ntz) - epoch_micros(start, ntz)).cast("double") / F.lit(1e6)
 
 
-def epoch_micros(c) -> Column:
-    """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ (UTC)."""
-    return F.unix_micros(col(c).cast("timestamp"))
+def epoch_micros(c, ntz: bool = True) -> Column:
+    """Microseconds since 1970-01-01 00:00.  For TIMESTAMP_NTZ this is
+    wall-clock arithmetic on the value's own fields (date, hour, minute,
+    seconds with fraction), so it never depends on the session time zone;
+    casts and ``timestamp_diff`` on NTZ go through that zone and are not
+    monotone across a daylight-saving jump."""
+    t = col(c)
+    if ntz:
+        secs = F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+        return secs * 1_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    return F.unix_micros(t)
 
 
-def time_bucket(c, seconds: float) -> Column:
+def is_ntz(df, c: str) -> bool:
+    from pyspark.sql import types as T
+    return isinstance(df.schema[c].dataType, T.TimestampNTZType)
+
+
+def time_bucket(c, seconds: float, ntz: bool = True) -> Column:
     """Monotone coarse time bucket used to split hot ordered groups."""
-    return F.floor(epoch_micros(c) / F.lit(int(seconds * 1_000_000))).cast("long")
+    return F.floor(epoch_micros(c, ntz) / F.lit(int(seconds * 1_000_000))).cast("long")
 
 
 def flag(cond: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.functions.exprs import between_flag, flag, in_flag, ratio, safe_ratio, seconds_between
+from sessionlab.functions.exprs import between_flag, flag, in_flag, ratio, safe_ratio
 from sessionlab.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS  # noqa: F401  (re-export)
 from sessionlab.operators.rates import RateModel
 from sessionlab.operators.sessions import Lookups, session_stats
@@ -29,7 +29,7 @@ def _n():
 
 
 def _duration_seconds() -> Column:
-    return F.when(_n() > 1, seconds_between("t_first", "t_last")).otherwise(F.lit(0.0))
+    return F.when(_n() > 1, F.col("span_s")).otherwise(F.lit(0.0))
 
 
 def _duration_minutes() -> Column:
@@ -262,6 +262,19 @@ def build_features(clicks: DataFrame, families=FAMILIES, rates: RateModel | None
     return st.select(*cols)
 
 
+def merge_feature_tables(tables: list[DataFrame]) -> DataFrame:
+    """J1 + P13 for separately built (e.g. cached) family tables: inner
+    equi-joins on ``user_session``; a later table only contributes columns
+    not already present (the first family wins, the target is kept once).
+    Tables written by this library are keyed by session, so with bucketed
+    or co-partitioned tables the joins need no re-shuffle."""
+    out = tables[0]
+    for t in tables[1:]:
+        new = [c for c in t.columns if c == SESSION or c not in out.columns]
+        out = out.join(t.select(*new), SESSION, "inner")
+    return out
+
+
 def feature_names(families=FAMILIES) -> list[str]:
     """Names of the candidate features of ``families`` in table order."""
     seen, out = set(), []

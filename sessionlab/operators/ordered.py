@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.functions.exprs import time_bucket
+from sessionlab.functions.exprs import is_ntz, time_bucket
 
 BUCKET = "_bucket"
 LRN = "_lrn"
@@ -27,7 +27,7 @@ DEFAULT_BUCKET_SECONDS = 3600.0
 def add_bucket(df: DataFrame, time_col: str, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     if BUCKET in df.columns:
         return df
-    return df.withColumn(BUCKET, time_bucket(time_col, bucket_seconds))
+    return df.withColumn(BUCKET, time_bucket(time_col, bucket_seconds, is_ntz(df, time_col)))
 
 
 def _local_window(key: str, order: list):

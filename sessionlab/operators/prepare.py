@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.functions.exprs import flag
 from sessionlab.functions.quantiles import exact_quantiles
 from sessionlab.schema import SESSION, TARGET, TIME, tie_columns
 
@@ -155,9 +154,21 @@ def first_sessions(clicks: DataFrame, n: int) -> DataFrame:
     return session_starts(clicks).orderBy("start", SESSION).limit(n).select(SESSION)
 
 
-def sample_sessions(clicks: DataFrame, n: int) -> DataFrame:
-    """K3 + J3: the click rows of the first ``n`` sessions (semi-join)."""
-    return clicks.join(first_sessions(clicks, n), SESSION, "left_semi")
+def sample_sessions(clicks: DataFrame, n: int, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """K3 + J3: the click rows of the first ``n`` sessions (semi-join).  The
+    sample has at most ``n`` rows, so it is broadcast when ``n`` is below the
+    limit; the click rows are never shuffled for it."""
+    sample = first_sessions(clicks, n)
+    if n <= max_broadcast_rows:
+        sample = F.broadcast(sample)
+    return clicks.join(sample, SESSION, "left_semi")
 
 
-__all__ = [name for name in dir() if not name.startswith("_")] + ["flag"]
+def load_and_split(spark, train_path: str, test_path: str, split_date: str = DEFAULT_SPLIT_DATE,
+                   fmt: str = "csv") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read train and test logs (S1) and split train by date."""
+    from sessionlab.sources.clicklog import load_raw_data
+    train, test = load_raw_data(spark, train_path, test_path, fmt)
+    tr, va = temporal_split(train, split_date)
+    return tr, va, test
+

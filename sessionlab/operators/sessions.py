@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.functions.exprs import seconds_between
+from sessionlab.functions.exprs import is_ntz, seconds_between
 from sessionlab.operators.lookup import lookup_join
 from sessionlab.operators.ordered import BUCKET, DEFAULT_BUCKET_SECONDS, split_lag
 from sessionlab.schema import ADD_CART, BUY, REMOVE_CART, SESSION, TARGET, TIME, VIEW, tie_columns
@@ -38,7 +38,7 @@ def enrich(clicks: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) ->
                   {"prev_type": ("event_type", 1), "prev2_type": ("event_type", 2),
                    "prev_cat": ("category_id", 1), "prev_time": (TIME, 1)},
                   rn_col="rn", time_col=TIME, bucket_seconds=bucket_seconds)
-    return e.withColumn("gap_s", seconds_between("prev_time", TIME))
+    return e.withColumn("gap_s", seconds_between("prev_time", TIME, is_ntz(clicks, TIME)))
 
 
 def _is(c: str, v: str):
@@ -76,7 +76,8 @@ def main_stats(enriched: DataFrame) -> DataFrame:
     ]
     if TARGET in enriched.columns:
         aggs.append(F.min_by(F.col(TARGET), F.col("rn")).alias(TARGET))
-    return enriched.groupBy(SESSION).agg(*aggs)
+    st = enriched.groupBy(SESSION).agg(*aggs)
+    return st.withColumn("span_s", seconds_between("t_first", "t_last", is_ntz(enriched, TIME)))
 
 
 @dataclass

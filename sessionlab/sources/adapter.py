@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionlab.functions.exprs import epoch_micros, is_ntz
 from sessionlab.operators.ordered import BUCKET, DEFAULT_BUCKET_SECONDS, split_lag, split_running_sum
 from sessionlab.schema import ADD_CART, BUY, REMOVE_CART, VIEW
 
@@ -41,8 +42,9 @@ def clicks_from_events(events: DataFrame, gap_hours: int = SESSION_GAP_HOURS,
     order = ["ts", "event_id"]
     ev = split_lag(ev, "user_id", order, {"_prev_ts": ("ts", 1)}, time_col="ts",
                    bucket_seconds=bucket_seconds)
-    brk = F.when(F.col("ts") <= F.col("_prev_ts") + F.expr(f"INTERVAL {int(gap_hours)} HOURS"), F.lit(0)) \
-        .otherwise(F.lit(1))
+    ntz = is_ntz(ev, "ts")
+    gap_us = epoch_micros("ts", ntz) - epoch_micros("_prev_ts", ntz)
+    brk = F.when(gap_us <= F.lit(int(gap_hours) * 3_600_000_000), F.lit(0)).otherwise(F.lit(1))
     ev = split_running_sum(ev.withColumn("_brk", brk), "user_id", order, "_brk", "_sid",
                            time_col="ts", bucket_seconds=bucket_seconds)
     uid = F.col("user_id").cast("string")

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import round_doubles
-from sessionlab.operators.features import FAMILIES, build_features, feature_names
+from sessionlab.operators.features import FAMILIES, build_features, feature_names, merge_feature_tables
 from sessionlab.operators.rates import fit_rates
 from sessionlab.operators.prepare import train_val_split
 from sessionlab.plans import oracle as O
@@ -56,3 +56,27 @@ def test_invariant_to_partitioning_and_split_width(clicks, table, parts, bucket)
     a, b = round_doubles(table.select(cols), 9), round_doubles(other.select(cols), 9)
     assert a.exceptAll(b).count() == 0
     assert other.count() == table.count()
+
+
+def test_merge_of_family_tables_equals_one_pass(clicks, table):
+    train, _ = train_val_split(clicks)
+    rates = fit_rates(train)
+    parts = [build_features(clicks, [f], rates) for f in FAMILIES]
+    merged = merge_feature_tables(parts)
+    one = table.select(*merged.columns)
+    a, b = round_doubles(merged, 9), round_doubles(one, 9)
+    assert sorted(merged.columns) == sorted(table.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_same_features_under_dst_session_zone(spark, clicks, table):
+    train, _ = train_val_split(clicks)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = build_features(clicks, rates=fit_rates(train)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    a = round_doubles(table, 9).collect()
+    b = spark.createDataFrame(other, table.schema)
+    assert round_doubles(b, 9).exceptAll(round_doubles(table, 9)).count() == 0 and len(a) == len(other)

@@ -70,3 +70,19 @@ def test_global_row_index(spark):
     got = {r["s"]: r["row_index"] for r in global_row_index(df, ["start", "s"], partitions=5).collect()}
     want = {s: i for i, (_, s) in enumerate(sorted(rows))}
     assert got == want
+
+
+def test_split_lag_under_dst_session_zone(spark):
+    base = dt.datetime(2024, 3, 10, 1, 0)           # US spring-forward at 02:00 wall time
+    rows = [(i, "k", base + dt.timedelta(minutes=7 * i), "A" if i % 2 else "B") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, key string, t timestamp_ntz, v string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        w = Window.partitionBy("key").orderBy("t", "id")
+        plain = df.select("id", F.lag("v", 1).over(w).alias("l1"), F.row_number().over(w).alias("rn"))
+        split = split_lag(df, "key", ["t", "id"], {"l1": ("v", 1)}, rn_col="rn", time_col="t",
+                          bucket_seconds=600).select("id", "l1", "rn")
+        assert sorted(plain.collect()) == sorted(split.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
