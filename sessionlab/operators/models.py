@@ -53,8 +53,14 @@ EARLY_STOP_SHARE = 0.1       # share of a fold's training rows used as validatio
 EARLY_STOP_TOL = 0.01
 
 
+# Tree training: node ids cached between levels, a larger histogram budget per
+# pass (fewer passes over the data for deep or many trees).
+TREE_DEFAULTS = {"cacheNodeIds": True, "maxMemoryInMB": 512}
+
+
 def _regressor(spec: dict, features_col: str, label: str, pred: str):
-    kw = {k: v for k, v in spec.items() if k not in ("kind", "early_stopping")}
+    kw = dict(TREE_DEFAULTS)
+    kw.update({k: v for k, v in spec.items() if k not in ("kind", "early_stopping")})
     if spec["kind"] == "gbt":
         if spec.get("early_stopping"):
             kw.update(validationIndicatorCol="_is_val", validationTol=EARLY_STOP_TOL)

@@ -42,8 +42,10 @@ def product_rates(clicks: DataFrame) -> DataFrame:
     return g.select("product_id", (F.col("n_buy") / F.col("n_sessions")).alias("buy_rate"))
 
 
-def rate_thresholds(cat_rates: DataFrame) -> tuple[float | None, float | None]:
-    q = exact_quantiles(cat_rates, ["buy_rate"], [HIGH_RATE_PERCENTILE, ULTRA_HIGH_RATE_PERCENTILE])
+def rate_thresholds(cat_rates: DataFrame, known_rows: int | None = None) -> tuple[float | None, float | None]:
+    """A4 over the fitted category table (``known_rows``: its checked size)."""
+    q = exact_quantiles(cat_rates, ["buy_rate"], [HIGH_RATE_PERCENTILE, ULTRA_HIGH_RATE_PERCENTILE],
+                        known_rows=known_rows)
     return q["buy_rate"][0], q["buy_rate"][1]
 
 
@@ -99,5 +101,5 @@ def fit_rates(train_clicks: DataFrame, with_page_values: bool = False,
     pr = product_rates(train_clicks).checkpoint(eager=True)
     pv = page_values(train_clicks).checkpoint(eager=True) \
         if with_page_values and TARGET in train_clicks.columns else None
-    hi, uhi = rate_thresholds(cr)
+    hi, uhi = rate_thresholds(cr, known_rows=cr.count())
     return RateModel(Lookups(cr, pr, pv, max_broadcast_rows), hi, uhi)

@@ -86,3 +86,13 @@ def test_split_lag_under_dst_session_zone(spark):
         assert sorted(plain.collect()) == sorted(split.collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_single_pass_quantiles_equal_distributed(spark):
+    rnd = np.random.default_rng(5)
+    vals = [(float(x),) for x in np.concatenate([rnd.normal(size=300), np.zeros(50)])] + [(None,), (float("nan"),)]
+    df = spark.createDataFrame(vals, "x double")
+    probs = [0.1, 0.5, 0.75, 0.9]
+    a = exact_quantiles(df, ["x"], probs)["x"]
+    b = exact_quantiles(df, ["x"], probs, known_rows=len(vals))["x"]
+    assert a == pytest.approx(b, abs=1e-12)
