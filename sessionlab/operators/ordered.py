@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.functions.exprs import is_ntz, time_bucket
+from sessionlab.functions.exprs import epoch_micros, is_ntz, time_bucket
 
 BUCKET = "_bucket"
 LRN = "_lrn"
@@ -116,3 +116,38 @@ def split_running_sum(df: DataFrame, key: str, order: list[str], value_col: str,
     prefix = totals.select(key, BUCKET, F.coalesce(F.sum("_btot").over(wb), F.lit(0)).alias("_bpre"))
     j = _attach(local, prefix, key)
     return j.select(*[F.col(c) for c in df.columns], (F.col("_bpre") + F.col("_lsum")).alias(out_col))
+
+
+def gap_sessions(df: DataFrame, key: str, time_col: str, gap_seconds: float, sid_col: str = "_sid",
+                 sum_col: str | None = None, sum_out: str | None = None,
+                 bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Number each key's runs of events whose consecutive gaps are at most
+    ``gap_seconds`` (1, 2, ... in time order) and optionally add each run's
+    total of ``sum_col``.  Rows without a time are dropped.
+
+    With buckets no wider than the gap, two events of one (key, bucket) are
+    less than the gap apart, so a run can only start at a bucket's first
+    event: the numbering needs only per-bucket first / last times (an
+    aggregate with map-side partial aggregation), a window over the bucket
+    table, and one join back on (key, bucket).  No window sorts the events.
+    """
+    df = df.filter(F.col(time_col).isNotNull())
+    if bucket_seconds > gap_seconds:
+        raise ValueError("gap_sessions needs bucket_seconds <= gap_seconds")
+    df = add_bucket(df, time_col, bucket_seconds)
+    us = epoch_micros(time_col, is_ntz(df, time_col))
+    aggs = [F.min(us).alias("_first_us"), F.max(us).alias("_last_us")]
+    if sum_col:
+        aggs.append(F.sum(sum_col).alias("_bsum"))
+    per_bucket = df.groupBy(key, BUCKET).agg(*aggs)
+    wb = Window.partitionBy(key).orderBy(BUCKET)
+    gap_us = int(gap_seconds * 1_000_000)
+    start = F.when(F.col("_first_us") - F.lag("_last_us", 1).over(wb) <= F.lit(gap_us), F.lit(0)).otherwise(F.lit(1))
+    runs = per_bucket.withColumn("_start", start).withColumn(
+        sid_col, F.sum("_start").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    keep = [key, BUCKET, sid_col]
+    if sum_col:
+        totals = runs.groupBy(key, sid_col).agg(F.sum("_bsum").alias(sum_out or f"{sum_col}_total"))
+        runs = runs.join(totals, [key, sid_col], "inner")
+        keep.append(sum_out or f"{sum_col}_total")
+    return _attach(df, runs.select(*keep), key)

@@ -42,7 +42,7 @@ def ratio(num: str, den: str, floor: float | None = None) -> str:
 CLICKS_CTES = """
 ev_ as (
   select event_id, ts, user_id, event_type, value,
-         cast(json_extract_string(props, '$.k') as int) as k from events),
+         cast(json_extract_string(props, '$.k') as int) as k from events where ts is not null),
 brk_ as (
   select *, case when ts <= lag(ts) over (partition by user_id order by ts, event_id)
                              + interval 12 hours then 0 else 1 end as brk from ev_),

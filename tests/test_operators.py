@@ -96,3 +96,28 @@ def test_single_pass_quantiles_equal_distributed(spark):
     a = exact_quantiles(df, ["x"], probs)["x"]
     b = exact_quantiles(df, ["x"], probs, known_rows=len(vals))["x"]
     assert a == pytest.approx(b, abs=1e-12)
+
+
+@pytest.mark.parametrize("bucket", [60.0, 3600.0, 43200.0, 86400.0 * 3])
+def test_adapter_sessions_equal_plain_windows(spark, bucket):
+    from sessionlab.sources.adapter import clicks_from_events
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows, t = [], {}
+    for i in range(2500):
+        u = 0 if i % 3 == 0 else rnd.randint(1, 40)          # user 0 holds a third of the events
+        step = rnd.choice([0, 60, 3600, 11 * 3600, 12 * 3600, 12 * 3600 + 1, 20 * 3600])
+        t[u] = t.get(u, base) + dt.timedelta(seconds=step)
+        rows.append((i, t[u], u, rnd.choice(["view", "click", "purchase"]), round(rnd.random() * 50, 2),
+                     f'{{"k": {rnd.randint(0, 99)}}}'))
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                     "value double, props string")
+    got = clicks_from_events(ev, bucket_seconds=bucket).select("event_id", "user_session", "session_value")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    brk = F.when(F.col("ts") <= F.lag("ts").over(w) + F.expr("INTERVAL 12 HOURS"), 0).otherwise(1)
+    s = ev.withColumn("brk", brk).withColumn("sid", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.withColumn("user_session", F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("-S"),
+                                              F.col("sid").cast("string")))
+    tot = s.groupBy("user_session").agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("session_value"))
+    want = s.join(tot, "user_session").select("event_id", "user_session", "session_value")
+    assert sorted(got.collect()) == sorted(want.collect())
