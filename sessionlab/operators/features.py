@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import between_flag, flag, in_flag, ratio, safe_ratio
-from sessionlab.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS  # noqa: F401  (re-export)
 from sessionlab.operators.rates import RateModel
 from sessionlab.operators.sessions import Lookups, session_stats
 from sessionlab.schema import ADD_CART, BUY, REMOVE_CART, SESSION, TARGET, VIEW

@@ -29,9 +29,10 @@ def category_rates(clicks: DataFrame) -> DataFrame:
         F.count_if(F.col("event_type") == F.lit(BUY)).alias("n_buy"),
         F.count("event_type").alias("n_events"),
         F.count_distinct(SESSION).alias("n_sessions"))
+    # a key seen only in rows without a session has no rate (scores 0)
     return g.select("category_id",
-                    (F.col("n_buy") / F.col("n_sessions")).alias("buy_rate"),
-                    (F.col("n_events") / F.col("n_sessions")).alias("engagement"))
+                    F.try_divide(F.col("n_buy").cast("double"), F.col("n_sessions")).alias("buy_rate"),
+                    F.try_divide(F.col("n_events").cast("double"), F.col("n_sessions")).alias("engagement"))
 
 
 def product_rates(clicks: DataFrame) -> DataFrame:
@@ -39,7 +40,8 @@ def product_rates(clicks: DataFrame) -> DataFrame:
     g = clicks.groupBy("product_id").agg(
         F.count_if(F.col("event_type") == F.lit(BUY)).alias("n_buy"),
         F.count_distinct(SESSION).alias("n_sessions"))
-    return g.select("product_id", (F.col("n_buy") / F.col("n_sessions")).alias("buy_rate"))
+    return g.select("product_id",
+                    F.try_divide(F.col("n_buy").cast("double"), F.col("n_sessions")).alias("buy_rate"))
 
 
 def rate_thresholds(cat_rates: DataFrame, known_rows: int | None = None) -> tuple[float | None, float | None]:
@@ -94,12 +96,15 @@ def fit_rates(train_clicks: DataFrame, with_page_values: bool = False,
               max_broadcast_rows: int | None = None) -> RateModel:
     """A5: fit the rate tables and thresholds on the training click log.
 
-    The fitted tables are checkpointed: they are reused by three splits and
-    their size is then known.
+    The fitted tables are checkpointed (reused by every split) and counted
+    once: the counts are the checked sizes behind the broadcast decision.
     """
     cr = category_rates(train_clicks).checkpoint(eager=True)
     pr = product_rates(train_clicks).checkpoint(eager=True)
     pv = page_values(train_clicks).checkpoint(eager=True) \
         if with_page_values and TARGET in train_clicks.columns else None
-    hi, uhi = rate_thresholds(cr, known_rows=cr.count())
-    return RateModel(Lookups(cr, pr, pv, max_broadcast_rows), hi, uhi)
+    rows = {"category_rates": cr.count(), "product_rates": pr.count()}
+    if pv is not None:
+        rows["page_values"] = pv.count()
+    hi, uhi = rate_thresholds(cr, known_rows=rows["category_rates"])
+    return RateModel(Lookups(cr, pr, pv, max_broadcast_rows, rows), hi, uhi)

@@ -87,10 +87,14 @@ class Lookups:
     product_rates: DataFrame | None = None     # product_id, buy_rate
     page_values: DataFrame | None = None       # category_id, page_value
     max_broadcast_rows: int | None = None
+    rows: dict | None = None                   # checked row count per table name
 
 
-def _join_opts(lk: Lookups) -> dict:
-    return {} if lk.max_broadcast_rows is None else {"max_broadcast_rows": lk.max_broadcast_rows}
+def _join_opts(lk: Lookups, table: str) -> dict:
+    out = {} if lk.max_broadcast_rows is None else {"max_broadcast_rows": lk.max_broadcast_rows}
+    if lk.rows and table in lk.rows:
+        out["rows"] = lk.rows[table]
+    return out
 
 
 def product_stats(clicks: DataFrame, lookups: Lookups | None = None) -> DataFrame:
@@ -107,7 +111,7 @@ def product_stats(clicks: DataFrame, lookups: Lookups | None = None) -> DataFram
     ]
     if lookups is not None and lookups.product_rates is not None:
         rates = lookups.product_rates.select("product_id", F.col("buy_rate").alias("p_rate"))
-        pk = lookup_join(pk, rates, "product_id", salt_by=SESSION, **_join_opts(lookups))
+        pk = lookup_join(pk, rates, "product_id", salt_by=SESSION, **_join_opts(lookups, "product_rates"))
         score = F.coalesce(F.col("p_rate"), F.lit(0.0))
         aggs += [F.max(score).alias("p_max"), F.avg(score).alias("p_avg")]
     return pk.groupBy(SESSION).agg(*aggs)
@@ -122,14 +126,14 @@ def category_stats(clicks: DataFrame, lookups: Lookups | None = None) -> DataFra
     if lk.category_rates is not None:
         rates = lk.category_rates.select("category_id", F.col("buy_rate").alias("c_rate"),
                                          F.col("engagement").alias("c_eng"))
-        ck = lookup_join(ck, rates, "category_id", salt_by=SESSION, **_join_opts(lk))
+        ck = lookup_join(ck, rates, "category_id", salt_by=SESSION, **_join_opts(lk, "category_rates"))
         r = F.coalesce(F.col("c_rate"), F.lit(0.0))
         e = F.coalesce(F.col("c_eng"), F.lit(0.0))
         aggs += [F.sum(r).alias("c_sum"), F.max(r).alias("c_max"), F.avg(r).alias("c_avg"),
                  F.avg(e).alias("e_avg"), F.max(e).alias("e_max")]
     if lk.page_values is not None:
         pv = lk.page_values.select("category_id", F.col("page_value").alias("c_pv"))
-        ck = lookup_join(ck, pv, "category_id", salt_by=SESSION, **_join_opts(lk))
+        ck = lookup_join(ck, pv, "category_id", salt_by=SESSION, **_join_opts(lk, "page_values"))
         v = F.coalesce(F.col("c_pv"), F.lit(0.0))
         aggs += [F.sum(v).alias("pv_sum"), F.max(v).alias("pv_max"), F.avg(v).alias("pv_avg")]
     return ck.groupBy(SESSION).agg(*aggs)

@@ -76,12 +76,12 @@ def rates_ctes(train: str = "train_clicks") -> str:
     return f"""
 crate_ as (
   select category_id,
-         cast(count_if(event_type = 'BUY') as double) / count(distinct user_session) as buy_rate,
-         cast(count(event_type) as double) / count(distinct user_session) as engagement
+         cast(count_if(event_type = 'BUY') as double) / nullif(count(distinct user_session), 0) as buy_rate,
+         cast(count(event_type) as double) / nullif(count(distinct user_session), 0) as engagement
   from {train} group by category_id),
 prate_ as (
   select product_id,
-         cast(count_if(event_type = 'BUY') as double) / count(distinct user_session) as buy_rate
+         cast(count_if(event_type = 'BUY') as double) / nullif(count(distinct user_session), 0) as buy_rate
   from {train} group by product_id),
 thr_ as (
   select quantile_cont(buy_rate, 0.75) as p75, quantile_cont(buy_rate, 0.90) as p90 from crate_),

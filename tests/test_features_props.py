@@ -80,3 +80,17 @@ def test_same_features_under_dst_session_zone(spark, clicks, table):
     a = round_doubles(table, 9).collect()
     b = spark.createDataFrame(other, table.schema)
     assert round_doubles(b, 9).exceptAll(round_doubles(table, 9)).count() == 0 and len(a) == len(other)
+
+
+def test_salted_lookup_fallback_equals_broadcast(clicks, table):
+    import dataclasses
+    from sessionlab.operators.rates import RateModel
+    from sessionlab.plans.explain import plan_string
+    train, _ = train_val_split(clicks)
+    rates = fit_rates(train)
+    forced = RateModel(dataclasses.replace(rates.lookups, max_broadcast_rows=0),
+                       rates.high_threshold, rates.ultra_high_threshold)
+    other = build_features(clicks, rates=forced)
+    assert "_salt" in plan_string(other)          # planned before AQE sees the tiny sizes
+    a, b = round_doubles(table, 9), round_doubles(other.select(table.columns), 9)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
