@@ -207,8 +207,14 @@ FAMILIES = ("base", "behavioral", "research", "temporal")
 
 
 def _names(cols: list[Column]) -> list[str]:
-    # alias names, recovered from the Column's string form "... AS name"
-    return [str(c).rsplit(" AS ", 1)[-1].rstrip("'>").strip("`") for c in cols]
+    """Alias names of the family columns (every family column is aliased)."""
+    out = []
+    for c in cols:
+        try:
+            out.append(c._jc.expr().name())          # the Alias expression's name
+        except Exception:  # noqa: BLE001 - other Column implementations
+            out.append(str(c).rsplit(" AS ", 1)[-1].rstrip("'>").strip("`"))
+    return out
 
 
 def family_columns(name: str, rates: RateModel | None = None) -> list[Column]:

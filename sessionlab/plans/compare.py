@@ -51,6 +51,9 @@ def compare(spark_df, con, sql: str) -> dict:
         out["oracle_only"] = sorted(set(dc) - set(sc))
         out["match"] = False
         return out
+    dt_sp = {c: str(sp[c].dtype) for c in sc}
+    dt_dk = {c: str(dk[c].dtype) for c in sc}
+    out["dtype_diffs"] = {c: (dt_sp[c], dt_dk[c]) for c in sc if dt_sp[c] != dt_dk[c]}
     a = rows_of(sp.astype(object).where(sp.notna(), None).to_dict("records"), sc)
     b = rows_of(dk.astype(object).where(dk.notna(), None).to_dict("records"), sc)
     out["match"] = a == b
