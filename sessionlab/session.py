@@ -55,3 +55,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+# Target bytes of input per shuffle partition when sizing from the input.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(df) -> int:
+    """Total size of the files behind ``df`` (metadata only, no data read)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES,
+                            minimum: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about one partition per
+    ``target_bytes`` of input (at least the default parallelism), unless the
+    job set it explicitly.  AQE then coalesces small partitions at runtime;
+    it cannot split too-large ones, so the start value must scale with the
+    data (100 TB -> ~800k partitions of 128 MB)."""
+    if spark.conf.get("spark.sql.shuffle.partitions") != "200":  # set by the job or cluster
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = minimum or spark.sparkContext.defaultParallelism
+    n = max(floor, -(-input_bytes(df) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -82,3 +82,10 @@ def test_entry_contract(spark):
     df = mod.entry(spark)
     assert df.count() > 0 and len(df.columns) == 88
     assert set(mod.oracle_sql()) <= set(mod.queries())
+
+
+def test_shuffle_partition_sizing(spark):
+    from sessionlab.session import input_bytes, size_shuffle_partitions
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    assert input_bytes(ev) > 0
+    assert size_shuffle_partitions(spark, ev) == 8          # tests set 8 explicitly: left alone
