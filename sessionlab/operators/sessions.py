@@ -139,6 +139,47 @@ def category_stats(clicks: DataFrame, lookups: Lookups | None = None) -> DataFra
     return ck.groupBy(SESSION).agg(*aggs)
 
 
+def key_stats(clicks: DataFrame, lookups: Lookups | None = None) -> DataFrame:
+    """``product_stats`` and ``category_stats`` in one pass: one grouping-sets
+    aggregate over (session, product) and (session, category) (map-side
+    partial aggregation, a single exchange of the click rows), the lookups
+    on the key rows, then one per-session aggregate that picks each set's
+    rows by ``grouping_id``."""
+    lk = lookups or Lookups()
+    keys = (clicks.filter(F.col(SESSION).isNotNull())
+            .groupingSets([[SESSION, "product_id"], [SESSION, "category_id"]], SESSION, "product_id", "category_id")
+            .agg(F.count(F.lit(1)).alias("pcnt"), F.max(_is("event_type", VIEW)).alias("viewed"),
+                 F.grouping_id().alias("_gid")))
+    is_p = F.col("_gid") == F.lit(1)      # category_id aggregated away: product rows
+    is_c = F.col("_gid") == F.lit(2)      # product_id aggregated away: category rows
+    aggs = [
+        F.count(F.when(is_p, F.col("product_id"))).alias("up"),
+        F.coalesce(F.max(F.when(is_p & F.col("product_id").isNotNull(), F.col("pcnt"))), F.lit(0)).alias("max_pn"),
+        F.count_if(is_p & F.col("viewed") & F.col("product_id").isNotNull()).alias("n_viewed_products"),
+        F.count(F.when(is_c, F.col("category_id"))).alias("uc"),
+        F.count_if(is_c).alias("n_category_keys"),
+    ]
+    if lk.product_rates is not None:
+        rates = lk.product_rates.select("product_id", F.col("buy_rate").alias("p_rate"))
+        keys = lookup_join(keys, rates, "product_id", salt_by=SESSION, **_join_opts(lk, "product_rates"))
+        score = F.when(is_p, F.coalesce(F.col("p_rate"), F.lit(0.0)))
+        aggs += [F.max(score).alias("p_max"), F.avg(score).alias("p_avg")]
+    if lk.category_rates is not None:
+        rates = lk.category_rates.select("category_id", F.col("buy_rate").alias("c_rate"),
+                                         F.col("engagement").alias("c_eng"))
+        keys = lookup_join(keys, rates, "category_id", salt_by=SESSION, **_join_opts(lk, "category_rates"))
+        r = F.when(is_c, F.coalesce(F.col("c_rate"), F.lit(0.0)))
+        e = F.when(is_c, F.coalesce(F.col("c_eng"), F.lit(0.0)))
+        aggs += [F.sum(r).alias("c_sum"), F.max(r).alias("c_max"), F.avg(r).alias("c_avg"),
+                 F.avg(e).alias("e_avg"), F.max(e).alias("e_max")]
+    if lk.page_values is not None:
+        pv = lk.page_values.select("category_id", F.col("page_value").alias("c_pv"))
+        keys = lookup_join(keys, pv, "category_id", salt_by=SESSION, **_join_opts(lk, "page_values"))
+        v = F.when(is_c, F.coalesce(F.col("c_pv"), F.lit(0.0)))
+        aggs += [F.sum(v).alias("pv_sum"), F.max(v).alias("pv_max"), F.avg(v).alias("pv_avg")]
+    return keys.groupBy(SESSION).agg(*aggs)
+
+
 def session_stats(clicks: DataFrame, lookups: Lookups | None = None, need_products: bool = True,
                   need_categories: bool = True,
                   bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -148,6 +189,8 @@ def session_stats(clicks: DataFrame, lookups: Lookups | None = None, need_produc
     one row per session, so the joins are shuffle-free merges of equal keys.
     """
     st = main_stats(enrich(clicks, bucket_seconds))
+    if need_products and need_categories:
+        return st.join(key_stats(clicks, lookups), SESSION, "inner")
     if need_products:
         st = st.join(product_stats(clicks, lookups), SESSION, "inner")
     if need_categories:
