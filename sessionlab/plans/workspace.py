@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlab.operators.features import FAMILIES, build_features
+from sessionlab.operators.features import FAMILIES, build_features, feature_names
 from sessionlab.operators.prepare import train_val_split
 from sessionlab.operators.rates import RateModel, fit_rates
 from sessionlab.sources.adapter import load_clicks
 from sessionlab.sources.sinks import input_fingerprint
+from sessionlab.schema import SESSION, TARGET
 from sessionlab.sources.store import stage
 
 _WORKSPACES: dict = {}
@@ -47,6 +48,11 @@ class Workspace:
     def features(self, split: str, families=FAMILIES) -> DataFrame:
         key = (split, tuple(families))
         if key not in self._features:
+            # a staged table of the same split with more families: project it
+            for (sp, fams), table in self._features.items():
+                if sp == split and set(families) <= set(fams):
+                    have = set(table.columns)
+                    return table.select(*[c for c in build_columns(families) if c in have])
             fam = set(families)
             rates = None
             if "research" in fam or "page_value" in fam:
@@ -62,3 +68,8 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     if key not in _WORKSPACES:
         _WORKSPACES[key] = Workspace(spark, sf_dir)
     return _WORKSPACES[key]
+
+
+def build_columns(families) -> list[str]:
+    """Columns of ``build_features(..., families)`` in its order."""
+    return [SESSION, "user_id", *feature_names(families), TARGET]

@@ -89,3 +89,14 @@ def test_shuffle_partition_sizing(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     assert input_bytes(ev) > 0
     assert size_shuffle_partitions(spark, ev) == 8          # tests set 8 explicitly: left alone
+
+
+def test_workspace_projection_keeps_standalone_order(spark):
+    from sessionlab.operators.features import build_features
+    from sessionlab.plans.workspace import workspace
+    ws = workspace(spark, SF001)
+    ws.features("train")
+    for fams in (["research"], ["temporal"], ["base", "temporal"]):
+        proj = ws.features("train", fams)
+        rates = ws.rates() if "research" in fams else None
+        assert proj.columns == build_features(ws.split("train"), fams, rates).columns
