@@ -164,6 +164,7 @@ class EnsembleModel:
     features: list[str]
     oof: DataFrame | None = None
     importance: list[tuple[str, float]] = field(default_factory=list)
+    pred_col: str = "prediction"
 
     def individual_predictions(self, df: DataFrame) -> DataFrame:
         """One prediction column per member."""
@@ -172,8 +173,8 @@ class EnsembleModel:
             out = m.pipeline.transform(out).drop("_v")
         return out
 
-    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        return blend_predictions(self.individual_predictions(df), self.weights, out)
+    def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        return blend_predictions(self.individual_predictions(df), self.weights, out or self.pred_col)
 
     def importance_table(self, spark) -> DataFrame:
         """K4: (feature, importance) ranked."""

@@ -16,7 +16,7 @@ from sessionlab.operators import folds as CV
 from sessionlab.operators import models as M
 from sessionlab.operators import select as S
 from sessionlab.operators.features import FAMILIES, build_features
-from sessionlab.operators.prepare import DEFAULT_SPLIT_DATE, first_sessions, temporal_split
+from sessionlab.operators.prepare import DEFAULT_SPLIT_DATE, sample_sessions, temporal_split
 from sessionlab.operators.rates import RateModel, fit_rates
 from sessionlab.operators.validate import require_features
 from sessionlab.schema import SESSION, TARGET
@@ -39,7 +39,8 @@ def _scored(model, df: DataFrame) -> DataFrame:
 
 def train_flow(clicks: DataFrame, out_dir: str, split_date: str = DEFAULT_SPLIT_DATE,
                families=FAMILIES, config: dict | None = None, selection: dict | None = None,
-               cv_folds: int = CV.DEFAULT_FOLDS, run_cv: bool = True, force: bool = False) -> TrainResult:
+               cv_folds: int = CV.DEFAULT_FOLDS, run_cv: bool = True, force: bool = False,
+               ensemble_folds: int = CV.DEFAULT_FOLDS) -> TrainResult:
     """3.1: split, fit lookups on train, build (or reuse) feature tables,
     select, fit the ensemble, evaluate train/validation, temporal CV with a
     fresh model per fold, persist model, feature list, predictions, report."""
@@ -55,7 +56,7 @@ def train_flow(clicks: DataFrame, out_dir: str, split_date: str = DEFAULT_SPLIT_
         cfg, [clicks], force)
     tr, va = tables["train"], tables["validation"]
     sel = S.feature_selection(tr, **(selection or {}))
-    model = M.fit_ensemble(tr, sel.features, config)
+    model = M.fit_ensemble(tr, sel.features, config, k=ensemble_folds)
     hist = E.EvaluationHistory()
     hist.evaluate(_scored(model, tr), "train")
     val_scored = _scored(model, va)
@@ -65,7 +66,8 @@ def train_flow(clicks: DataFrame, out_dir: str, split_date: str = DEFAULT_SPLIT_
         ix = CV.temporal_folds(CV.ordered_sessions(tr, train_c), cv_folds)
         data = ix.select(SESSION, "row_index", "test_fold", TARGET, *sel.features)
         cv = M.cross_validate(data, sel.features,
-                              lambda d, f: M.fit_ensemble(d, f, config), "test_fold", cv_folds, temporal=True)
+                              lambda d, f: M.fit_ensemble(d, f, config, k=ensemble_folds),
+                              "test_fold", cv_folds, temporal=True)
     model.write(f"{out_dir}/model")
     sinks.write_feature_list(spark, sel.features, f"{out_dir}/selected_features")
     sinks.write_table(val_scored, f"{out_dir}/validation_predictions")
@@ -96,8 +98,8 @@ def temporal_validation_flow(clicks: DataFrame, split_date: str = DEFAULT_SPLIT_
     train sample only, research features, selection, shallow forest, and
     the validation / train RMSE gate (E7)."""
     train_c, val_c = temporal_split(clicks, split_date)
-    train_s = train_c.join(first_sessions(train_c, n_train), SESSION, "left_semi")
-    val_s = val_c.join(first_sessions(val_c, n_val), SESSION, "left_semi")
+    train_s = sample_sessions(train_c, n_train)
+    val_s = sample_sessions(val_c, n_val)
     rates = fit_rates(train_s)
     tr = stage(build_features(train_s, ["research"], rates), "tv_train")
     va = stage(build_features(val_s, ["research"], rates), "tv_val")
@@ -108,7 +110,8 @@ def temporal_validation_flow(clicks: DataFrame, split_date: str = DEFAULT_SPLIT_
 
 
 def full_data_flow(clicks: DataFrame, out_dir: str, feature_list_path: str | None = None,
-                   families=FAMILIES, config: dict | None = None) -> M.EnsembleModel:
+                   families=FAMILIES, config: dict | None = None,
+                   ensemble_folds: int = CV.DEFAULT_FOLDS) -> M.EnsembleModel:
     """Train + validation together (U1); reuse a saved feature list
     or reselect (never selecting ``user_id``); fit and persist."""
     spark = clicks.sparkSession
@@ -118,7 +121,7 @@ def full_data_flow(clicks: DataFrame, out_dir: str, feature_list_path: str | Non
         feats = sinks.read_feature_list(spark, feature_list_path)
     else:
         feats = S.feature_selection(ft).features
-    model = M.fit_ensemble(ft, feats, config)
+    model = M.fit_ensemble(ft, feats, config, k=ensemble_folds)
     model.write(f"{out_dir}/model")
     rates.write(f"{out_dir}/rates")
     sinks.write_feature_list(spark, feats, f"{out_dir}/selected_features")

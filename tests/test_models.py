@@ -92,6 +92,12 @@ def test_train_score_and_validation_flows(spark, tmp_out):
         spec.update({"maxIter": 2} if spec["kind"] == "gbt" else {"numTrees": 3})
     res = flows.train_flow(clicks, f"{tmp_out}/run", config=cfg, run_cv=False)
     assert res.history.select("model_name").distinct().count() == 2
+    small = {"random_forest": {"kind": "rf", "numTrees": 3, "maxDepth": 3}}
+    cv = flows.train_flow(clicks, f"{tmp_out}/run_cv", config=small, cv_folds=2, ensemble_folds=2).cv.first()
+    assert cv["rmse_mean"] > 0
+    full = flows.full_data_flow(clicks, f"{tmp_out}/full", f"{tmp_out}/run/selected_features",
+                                config=small, ensemble_folds=2)
+    assert full.features == res.features
     summary = flows.score_flow(clicks, f"{tmp_out}/run", f"{tmp_out}/sub").first()
     assert summary["min"] >= 0
     gate = flows.temporal_validation_flow(clicks, n_train=100, n_val=50).first()
