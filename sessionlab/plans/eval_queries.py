@@ -318,3 +318,17 @@ def q_holdout(spark, sf_dir):
     _, train, _ = _splits(spark, sf_dir)
     ix = CV.ordered_sessions(_base(spark, sf_dir, "train").select("user_session"), train)
     return CV.holdout_split(ix).select("user_session", "row_index", "is_holdout")
+
+
+@register("evaluation_history", O.compose(_base_ctes() + [
+    f"h_ as ({_metrics_sql('tr_', _sql_pred('fixed_a'), 'train')} union all "
+    f"{_metrics_sql('va_', _sql_pred('fixed_a'), 'validation')})"],
+    "select model_name, metric, value from (unpivot h_ on " + ", ".join(E.METRICS)
+    + " into name metric value value)"))
+def q_history(spark, sf_dir):
+    hist = E.EvaluationHistory()
+    hist.evaluate(_scored(spark, sf_dir, "train"), "train")
+    hist.evaluate(_scored(spark, sf_dir, "val"), "validation")
+    t = hist.table()
+    return t.select("model_name", "metric",
+                    (F.round(F.col("value") * F.lit(1e6), 0) / F.lit(1e6)).alias("value"))

@@ -143,3 +143,26 @@ def q_iqr(spark, sf_dir):
     tr, _ = _base_tables(spark, sf_dir)
     return P.remove_outliers(tr).select("user_session", "session_value")
 
+
+
+# ------------------------------------------------------------ A6 / K3
+
+@register("page_values", O.compose(O.head_ctes(True), f"""
+select category_id, {O.rnd('page_value')} as page_value from pval_"""))
+def q_page_values(spark, sf_dir):
+    return round_doubles(_ws(spark, sf_dir).rates(with_page_values=True).lookups.page_values)
+
+
+@register("first_sessions", O.compose(O.head_ctes(False), f"""
+select user_session, cast(row_number() over (order by min(struct_pack(t := event_time, i := event_id)),
+       user_session) as integer) as start_rank
+from clicks where user_session is not null group by user_session
+qualify start_rank <= {SAMPLE_SESSIONS}"""))
+def q_first_sessions(spark, sf_dir):
+    top = P.first_sessions(_ws(spark, sf_dir).clicks, SAMPLE_SESSIONS)
+    starts = P.session_starts(_ws(spark, sf_dir).clicks)
+    from pyspark.sql import Window
+    # rank inside the bounded top-n result (at most SAMPLE_SESSIONS rows)
+    ranked = F.broadcast(top).join(starts, "user_session")
+    return ranked.select("user_session", F.row_number().over(Window.orderBy("start", "user_session"))
+                         .cast("int").alias("start_rank"))
