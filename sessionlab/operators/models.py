@@ -12,6 +12,7 @@ algorithms) and trees checkpoint to ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -200,25 +201,38 @@ class EnsembleModel:
 
 def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                  weights: dict[str, float] | None = None, k: int = DEFAULT_FOLDS,
-                 label: str = TARGET) -> EnsembleModel:
+                 label: str = TARGET, parallelism: int = 4) -> EnsembleModel:
     """M6: k hash folds -> out-of-fold predictions per member, then every
     member refit on all rows; M9 weighted mean importance.  Early stopping of
     the first member uses a separate hashed validation share of the fold's
-    training rows, never the fold being predicted."""
+    training rows, never the fold being predicted.
+
+    Independent fits are submitted from ``parallelism`` driver threads, as
+    Spark ML's ``CrossValidator(parallelism=...)`` does, so small fits share
+    the cluster instead of running one after another."""
     config = config or CONFIG
     weights = weights or ENSEMBLE_WEIGHTS
     data = _prepared(df, features, label).withColumn("_fold", hash_fold(SESSION, k))
-    oof_parts = []
-    for f in range(k):
+
+    def fold_fit(task):
+        f, name, spec = task
         tr = data.filter(F.col("_fold") != f)
+        return f, name, fit_model(tr, features, spec, name, label, pred="_p", prepared=True)
+
+    def full_fit(task):
+        name, spec = task
+        return name, fit_model(data, features, spec, name, label, pred=name, prepared=True)
+
+    tasks = [(f, name, spec) for f in range(k) for name, spec in config.items()]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fold_models = list(pool.map(fold_fit, tasks))
+        members = dict(pool.map(full_fit, list(config.items())))
+    oof_parts = []
+    for f, name, m in fold_models:
         te = data.filter(F.col("_fold") == f)
-        for name, spec in config.items():
-            m = fit_model(tr, features, spec, name, label, pred="_p", prepared=True)
-            scored = m.pipeline.transform(te.drop("_is_val") if "_is_val" in te.columns else te)
-            oof_parts.append(scored.select(SESSION, F.lit(name).alias("model"), F.lit(f).alias("fold"),
-                                           F.col("_p").alias("prediction")))
-    members = {name: fit_model(data, features, spec, name, label, pred=name, prepared=True)
-               for name, spec in config.items()}
+        scored = m.pipeline.transform(te)
+        oof_parts.append(scored.select(SESSION, F.lit(name).alias("model"), F.lit(f).alias("fold"),
+                                       F.col("_p").alias("prediction")))
     oof = reduce(DataFrame.unionByName, oof_parts) if oof_parts else None
     imp = {c: 0.0 for c in features}
     total = 0.0
@@ -230,11 +244,11 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
         for c, v in m.importances():
             imp[c] += w * v
     importance = [(c, v / total) for c, v in imp.items()] if total > 0 else []
-    return EnsembleModel(members, weights, features, oof, importance)
+    return EnsembleModel({n: members[n] for n in config}, weights, features, oof, importance)
 
 
 def cross_validate(data: DataFrame, features: list[str], fit_fn, fold_col: str, k: int,
-                   label: str = TARGET, temporal: bool = False) -> DataFrame:
+                   label: str = TARGET, temporal: bool = False, parallelism: int = 2) -> DataFrame:
     """CV3: per fold fit a fresh model (``fit_fn(train_df, features)``),
     score the fold, then mean and population std of mse / rmse / mae / r2.
 
@@ -242,8 +256,8 @@ def cross_validate(data: DataFrame, features: list[str], fit_fn, fold_col: str,
     ``temporal=True`` a fold trains on every row before its first row
     (``row_index``), as an expanding window."""
     data = data.checkpoint(eager=True)
-    per_fold = []
-    for f in range(k):
+
+    def one_fold(f: int) -> DataFrame:
         te = data.filter(F.col(fold_col) == f)
         if temporal:
             lo = te.agg(F.min("row_index")).first()[0]
@@ -252,7 +266,11 @@ def cross_validate(data: DataFrame, features: list[str], fit_fn, fold_col: str,
             tr = data.filter(F.col(fold_col) != f)
         m = fit_fn(tr, features)
         scored = m.transform(te).select(F.col(label).alias("actual"), F.col(m.pred_col).alias("predicted"))
-        per_fold.append(E.basic_metrics(scored).withColumn("fold", F.lit(f)))
+        return E.basic_metrics(scored).withColumn("fold", F.lit(f))
+
+    # folds are independent fits: submitted from a few driver threads
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        per_fold = list(pool.map(one_fold, range(k)))
     res = reduce(DataFrame.unionByName, per_fold)
     aggs = []
     for mname in ("mse", "rmse", "mae", "r2"):
