@@ -121,3 +121,23 @@ def test_adapter_sessions_equal_plain_windows(spark, bucket):
     tot = s.groupBy("user_session").agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("session_value"))
     want = s.join(tot, "user_session").select("event_id", "user_session", "session_value")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]),
+                               st.one_of(st.none(), st.integers(0, 20_000)),
+                               st.sampled_from(["V", "A", "B", None])), min_size=1, max_size=60),
+       bucket=st.sampled_from([1.0, 30.0, 600.0, 1e9]))
+def test_split_lag_property(spark, rows, bucket):
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, k, None if s is None else base + dt.timedelta(seconds=s), v) for i, (k, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, key string, t timestamp_ntz, v string")
+    w = Window.partitionBy("key").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
+    plain = df.select("id", F.lag("v", 1).over(w).alias("l1"), F.lag("v", 2).over(w).alias("l2"),
+                      F.row_number().over(w).alias("rn"))
+    split = split_lag(df, "key", ["t", "id"], {"l1": ("v", 1), "l2": ("v", 2)}, rn_col="rn", time_col="t",
+                      bucket_seconds=bucket).select("id", "l1", "l2", "rn")
+    assert sorted(plain.collect()) == sorted(split.collect())
