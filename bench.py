@@ -28,6 +28,7 @@ HEADLINE = [
     "error_analysis",
     "temporal_folds",
     "forest_validation",
+    "ensemble_predictions",
 ]
 
 
