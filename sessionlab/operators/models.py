@@ -166,6 +166,7 @@ class EnsembleModel:
     oof: DataFrame | None = None
     importance: list[tuple[str, float]] = field(default_factory=list)
     pred_col: str = "prediction"
+    fold_models: list = field(default_factory=list)     # (fold, member, FittedModel); not persisted
 
     def individual_predictions(self, df: DataFrame) -> DataFrame:
         """One prediction column per member."""
@@ -199,6 +200,26 @@ class EnsembleModel:
                    importance=[tuple(x) for x in json.loads(meta["imp"])])
 
 
+def _out_of_fold(data: DataFrame, fold_models: list, names: list[str]) -> DataFrame:
+    """M10 in one pass over the training rows: every fold model scores every
+    row (model application is cheap next to a scan), each member keeps the
+    prediction of the model that did not see the row's fold, and the result
+    is unpivoted to (user_session, model, fold, prediction)."""
+    scored = data
+    for f, name, m in fold_models:
+        scored = m.pipeline.transform(scored).withColumnRenamed("_p", f"_p_{name}_{f}").drop("_v")
+    picks = []
+    for name in names:
+        e = None
+        for f, n, _ in fold_models:
+            if n == name:
+                e = (F.when(F.col("_fold") == f, F.col(f"_p_{name}_{f}")) if e is None
+                     else e.when(F.col("_fold") == f, F.col(f"_p_{name}_{f}")))
+        picks.append(F.struct(F.lit(name).alias("model"), e.alias("prediction")))
+    return (scored.select(SESSION, F.col("_fold").alias("fold"), F.explode(F.array(*picks)).alias("o"))
+            .select(SESSION, "o.model", "fold", "o.prediction"))
+
+
 def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                  weights: dict[str, float] | None = None, k: int = DEFAULT_FOLDS,
                  label: str = TARGET, parallelism: int = 4) -> EnsembleModel:
@@ -227,13 +248,7 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         fold_models = list(pool.map(fold_fit, tasks))
         members = dict(pool.map(full_fit, list(config.items())))
-    oof_parts = []
-    for f, name, m in fold_models:
-        te = data.filter(F.col("_fold") == f)
-        scored = m.pipeline.transform(te)
-        oof_parts.append(scored.select(SESSION, F.lit(name).alias("model"), F.lit(f).alias("fold"),
-                                       F.col("_p").alias("prediction")))
-    oof = reduce(DataFrame.unionByName, oof_parts) if oof_parts else None
+    oof = _out_of_fold(data, fold_models, list(config)) if fold_models else None
     imp = {c: 0.0 for c in features}
     total = 0.0
     for name, m in members.items():
@@ -244,7 +259,8 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
         for c, v in m.importances():
             imp[c] += w * v
     importance = [(c, v / total) for c, v in imp.items()] if total > 0 else []
-    return EnsembleModel({n: members[n] for n in config}, weights, features, oof, importance)
+    return EnsembleModel({n: members[n] for n in config}, weights, features, oof, importance,
+                         fold_models=fold_models)
 
 
 def cross_validate(data: DataFrame, features: list[str], fit_fn, fold_col: str, k: int,

@@ -45,6 +45,12 @@ def test_ensemble_contract_and_persistence(spark, tables, tmp_out):
     assert out.count() == va.count()
     assert ens.oof.count() == tr.count() * 4
     assert ens.oof.select("fold").distinct().count() == 3
+    # one-pass OOF equals the fold model scoring its own held-out rows
+    f, name, fm = ens.fold_models[-1]
+    held = tr.join(ens.oof.filter((F.col("model") == name) & (F.col("fold") == f)), "user_session")
+    direct = fm.transform(held).select("user_session", F.col("_p").alias("direct"), "prediction")
+    assert direct.count() > 0
+    assert direct.filter(F.abs(F.col("direct") - F.col("prediction")) > 1e-9).count() == 0
     assert sum(v for _, v in ens.importance) == pytest.approx(1.0, abs=1e-6)
     # blend = weighted sum of member columns
     diff = out.select(F.max(F.abs(F.col("prediction") - (0.4 * F.col("lightgbm") + 0.3 * F.col("xgboost")
