@@ -44,14 +44,20 @@ def main() -> None:
     from sessionlab.plans import catalog
 
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
-    timings = {}
+    timings, failed = {}, {}
     for n in names:
         t = time.perf_counter()
-        catalog.QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[n] = round(time.perf_counter() - t, 3)
+        try:
+            catalog.QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[n] = round(time.perf_counter() - t, 3)
+        except Exception as e:  # noqa: BLE001 - report, keep the JSON line
+            failed[n] = repr(e)[:200]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf}))
+    out = {"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
+           "unit": "sec", "queries": timings, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
