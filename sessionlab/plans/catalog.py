@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import round_doubles
 from sessionlab.operators.features import build_features
-from sessionlab.operators.prepare import train_val_split
-from sessionlab.operators.rates import fit_rates
 from sessionlab.plans import oracle as O
 from sessionlab.sources.adapter import load_clicks
 from sessionlab.sources.store import stage
