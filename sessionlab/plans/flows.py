@@ -126,3 +126,20 @@ def full_data_flow(clicks: DataFrame, out_dir: str, feature_list_path: str | Non
     rates.write(f"{out_dir}/rates")
     sinks.write_feature_list(spark, feats, f"{out_dir}/selected_features")
     return model
+
+
+def score_feature_table(spark, features_path: str, model_dir: str, out_path: str,
+                        fmt: str = "parquet") -> DataFrame:
+    """S6 + S9: score an already built feature table (parquet, or CSV with a
+    header and inferred-free numeric columns), guard missing features, floor
+    predictions at 0, write the submission and return its summary."""
+    model = M.EnsembleModel.load(spark, f"{model_dir}/model")
+    feats = sinks.read_feature_list(spark, f"{model_dir}/selected_features")
+    if fmt == "csv":
+        ft = spark.read.option("header", True).csv(features_path)
+        ft = ft.select(*[F.col(c).cast("double").alias(c) if c in feats else F.col(c) for c in ft.columns])
+    else:
+        ft = spark.read.parquet(features_path)
+    require_features(ft, feats)
+    sub = sinks.create_submission(model.transform(ft), out_path)
+    return E.prediction_summary(sub)

@@ -101,6 +101,13 @@ def test_train_score_and_validation_flows(spark, tmp_out):
     small = {"random_forest": {"kind": "rf", "numTrees": 3, "maxDepth": 3}}
     cv = flows.train_flow(clicks, f"{tmp_out}/run_cv", config=small, cv_folds=2, ensemble_folds=2).cv.first()
     assert cv["rmse_mean"] > 0
+    ft_path = f"{tmp_out}/run/features/validation"
+    scored = flows.score_feature_table(spark, ft_path, f"{tmp_out}/run", f"{tmp_out}/sub2").first()
+    assert scored["min"] >= 0
+    from sessionlab.operators.evaluate import report_text
+    rep = spark.read.parquet(f"{tmp_out}/run/evaluation_report")
+    text = report_text(rep, "Ensemble")
+    assert "RMSE:" in text and "Overall:" in text
     full = flows.full_data_flow(clicks, f"{tmp_out}/full", f"{tmp_out}/run/selected_features",
                                 config=small, ensemble_folds=2)
     assert full.features == res.features
