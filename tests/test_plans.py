@@ -46,3 +46,15 @@ def test_key_levels_share_one_exchange(final_plan):
     grouped = [ln for ln in lines if "spark_grouping_id" in ln]
     assert len(grouped) == 1, lines
     assert not any("product_id" in ln and "spark_grouping_id" not in ln for ln in lines)
+
+
+def test_adapter_windows_only_over_bucket_aggregates(spark):
+    from sessionlab.sources.adapter import load_clicks
+    from conftest import SF001
+    plan = plan_string(load_clicks(spark, SF001))
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert windows, plan
+    # every window orders buckets of the per-bucket table, never the events
+    assert all("windowspecdefinition(user_id" in ln and "_bucket" in ln and "event_id" not in ln
+               for ln in windows), windows
+    assert "partial_min" in plan                    # per-bucket times pre-aggregated map-side
