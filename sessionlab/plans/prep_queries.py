@@ -166,3 +166,17 @@ def q_first_sessions(spark, sf_dir):
     ranked = F.broadcast(top).join(starts, "user_session")
     return ranked.select("user_session", F.row_number().over(Window.orderBy("start", "user_session"))
                          .cast("int").alias("start_rank"))
+
+
+# ------------------------------------------------------------ J1 / P13 join path
+
+MERGED = ["base", "behavioral", "temporal"]
+
+
+@register("merged_families", O.feature_table_sql(MERGED, src_cond=O.TRAIN_COND, with_rates=False))
+def q_merged(spark, sf_dir):
+    """Families built separately (as from a cache) and merged on user_session;
+    equals the one-pass table of the same families."""
+    from sessionlab.operators.features import build_features, merge_feature_tables
+    train = _ws(spark, sf_dir).split("train")
+    return round_doubles(merge_feature_tables([build_features(train, [f]) for f in MERGED]))
