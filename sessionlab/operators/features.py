@@ -115,7 +115,8 @@ def research_columns(high: float | None, ultra_high: float | None) -> list[Colum
         F.when(F.col("first_buy_rn").isNotNull(),
                F.lit(1.0) - (F.col("first_buy_rn") - 1).cast("double") / _n().cast("double"))
          .otherwise(F.lit(0.0)).alias("decisiveness_score"),
-        flag(F.col("uc") > 2).alias("has_comparison_pattern"),
+        # a set of the session's categories: a missing category is one member
+        flag(F.col("n_category_keys") > 2).alias("has_comparison_pattern"),
         max_cat.alias("max_category_score"),
         F.col("c_avg").alias("avg_category_score"),
         F.col("p_max").alias("max_product_score"),
@@ -198,7 +199,8 @@ def page_value_columns() -> list[Column]:
         F.col("pv_avg").alias("avg_page_value"),
         flag(F.col("n_view_addcart_buy") > 0).alias("has_view_addcart_buy_sequence"),
         flag(F.col("n_addcart") >= 2).alias("has_multiple_addcart_sequence"),
-        flag(F.col("uc") > 2).alias("has_comparison_pattern"),
+        # a set of the session's categories: a missing category is one member
+        flag(F.col("n_category_keys") > 2).alias("has_comparison_pattern"),
         ratio("n_addcart_buy", "n_addcart", floor=1).alias("funnel_addcart_to_buy"),
     ]
 

@@ -141,7 +141,7 @@ def stats_ctes(src: str, with_rates: bool, with_pv: bool = False, px: str = "")
   from {px}pk {p_join} group by {px}pk.user_session),
 {px}ck as (select distinct user_session, category_id from {src} where user_session is not null),
 {px}c_ as (
-  select {px}ck.user_session, count({px}ck.category_id) as uc{c_rate}{pv_agg}
+  select {px}ck.user_session, count({px}ck.category_id) as uc, count(*) as n_category_keys{c_rate}{pv_agg}
   from {px}ck {c_join} {pv_join} group by {px}ck.user_session),
 {px}st as (select * from {px}m_ join {px}p_ using (user_session) join {px}c_ using (user_session))"""
 
@@ -194,7 +194,7 @@ def research_sql() -> list[tuple[str, str]]:
             ("decisiveness_score",
              "(case when first_buy_rn is not null then 1.0 - cast(first_buy_rn - 1 as double) / n"
              " else 0.0 end)"),
-            ("has_comparison_pattern", flag("uc > 2")),
+            ("has_comparison_pattern", flag("n_category_keys > 2")),
             ("max_category_score", "c_max"), ("avg_category_score", "c_avg"),
             ("max_product_score", "p_max"), ("avg_product_score", "p_avg"),
             ("avg_engagement", "e_avg"), ("max_engagement", "e_max"),
@@ -249,7 +249,7 @@ def page_value_sql() -> list[tuple[str, str]]:
             ("total_page_value", "pv_sum"), ("max_page_value", "pv_max"), ("avg_page_value", "pv_avg"),
             ("has_view_addcart_buy_sequence", flag("n_view_addcart_buy > 0")),
             ("has_multiple_addcart_sequence", flag("n_addcart >= 2")),
-            ("has_comparison_pattern", flag("uc > 2")),
+            ("has_comparison_pattern", flag("n_category_keys > 2")),
             ("funnel_addcart_to_buy", ratio("n_addcart_buy", "n_addcart", 1))]
 
 
