@@ -70,7 +70,10 @@ def main_stats(enriched: DataFrame) -> DataFrame:
         F.count_if(_is("prev_type", ADD_CART) & _is("event_type", REMOVE_CART)).alias("n_addcart_remove"),
         F.count_if(_is("prev2_type", VIEW) & _is("prev_type", ADD_CART) & _is("event_type", BUY))
          .alias("n_view_addcart_buy"),
-        F.count_if(F.col("prev_cat") != F.col("category_id")).alias("n_category_changes"),
+        # every step after the first whose categories are not equal; a missing
+        # category equals nothing (as NaN != NaN)
+        F.count_if((F.col("rn") > 1) & ~F.coalesce(F.col("prev_cat") == F.col("category_id"), F.lit(False)))
+         .alias("n_category_changes"),
         F.min(F.when(_is("event_type", BUY), F.col("rn"))).alias("first_buy_rn"),
         F.count("product_id").alias("n_product_events"),
     ]

@@ -127,7 +127,7 @@ def stats_ctes(src: str, with_rates: bool, with_pv: bool = False, px: str = "")
          count_if(prev_type = 'ADD_CART' and event_type = 'REMOVE_CART') as n_addcart_remove,
          count_if(prev2_type = 'VIEW' and prev_type = 'ADD_CART' and event_type = 'BUY')
            as n_view_addcart_buy,
-         count_if(prev_cat <> category_id) as n_category_changes,
+         count_if(rn > 1 and not coalesce(prev_cat = category_id, false)) as n_category_changes,
          min(case when event_type = 'BUY' then rn end) as first_buy_rn,
          count(product_id) as n_product_events
   from {px}e_ group by user_session),

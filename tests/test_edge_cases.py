@@ -76,6 +76,7 @@ def test_edge_values(spark, frames):
     assert set(ft) == {"A", "B", "C", "D"}                       # null session dropped
     assert ft["A"]["has_long_pause"] == 0 and ft["A"]["has_quick_actions"] == 0
     assert ft["B"]["unique_products"] == 1 and ft["B"]["unique_categories"] == 2
+    assert ft["B"]["category_changes"] == 2                                         # C1 -> missing -> C9
     assert ft["B"]["has_comparison_pattern"] == 1 and ft["B"]["is_explorer"] == 0   # set() keeps the null
     assert ft["B"]["max_product_interactions"] == 1
     assert ft["C"]["total_events"] == 3 and ft["C"]["product_revisits"] == 2
