@@ -49,7 +49,7 @@ def train_flow(clicks: DataFrame, out_dir: str, split_date: str = DEFAULT_SPLIT_
     rates = fit_rates(train_c)
     rates.write(f"{out_dir}/rates")
     cfg = {"families": list(families), "split_date": split_date}
-    tables = sinks.load_or_create_features(
+    tables = sinks.cached_feature_tables(
         spark, f"{out_dir}/features",
         {"train": lambda: build_features(train_c, families, rates),
          "validation": lambda: build_features(val_c, families, rates)},

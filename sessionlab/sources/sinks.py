@@ -94,8 +94,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def load_or_create_features(spark: SparkSession, path: str, builders: dict, config: dict,
-                            inputs: list[DataFrame], force: bool = False) -> dict[str, DataFrame]:
+def cached_feature_tables(spark: SparkSession, path: str, builders: dict, config: dict,
+                          inputs: list[DataFrame], force: bool = False) -> dict[str, DataFrame]:
     """``builders`` maps split name -> zero-argument callable returning
     that split's feature DataFrame.  Cached tables are reused only if all
     exist and the manifest (config + input fingerprint) matches."""

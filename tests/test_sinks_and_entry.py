@@ -23,11 +23,11 @@ def test_feature_store_reuses_and_rebuilds(spark, tmp_out):
         return src.groupBy("user_id").count()
 
     path = f"{tmp_out}/store"
-    sinks.load_or_create_features(spark, path, {"train": build}, {"v": 1}, [src])
-    sinks.load_or_create_features(spark, path, {"train": build}, {"v": 1}, [src])
+    sinks.cached_feature_tables(spark, path, {"train": build}, {"v": 1}, [src])
+    sinks.cached_feature_tables(spark, path, {"train": build}, {"v": 1}, [src])
     assert len(calls) == 1
-    sinks.load_or_create_features(spark, path, {"train": build}, {"v": 2}, [src])
-    out = sinks.load_or_create_features(spark, path, {"train": build}, {"v": 2}, [src], force=True)
+    sinks.cached_feature_tables(spark, path, {"train": build}, {"v": 2}, [src])
+    out = sinks.cached_feature_tables(spark, path, {"train": build}, {"v": 2}, [src], force=True)
     assert len(calls) == 3 and out["train"].count() == src.select("user_id").distinct().count()
 
 
