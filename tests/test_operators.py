@@ -141,3 +141,23 @@ def test_split_lag_property(spark, rows, bucket):
     split = split_lag(df, "key", ["t", "id"], {"l1": ("v", 1), "l2": ("v", 2)}, rn_col="rn", time_col="t",
                       bucket_seconds=bucket).select("id", "l1", "l2", "rn")
     assert sorted(plain.collect()) == sorted(split.collect())
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(steps=st.lists(st.tuples(st.integers(0, 3), st.sampled_from([0, 1, 3599, 3600, 43199, 43200, 43201, 90000])),
+                      min_size=1, max_size=50),
+       bucket=st.sampled_from([1.0, 600.0, 3600.0, 43200.0]))
+def test_gap_sessions_property(spark, steps, bucket):
+    from sessionlab.operators.ordered import gap_sessions
+    base, clock, rows = dt.datetime(2024, 1, 1), {}, []
+    for i, (u, step) in enumerate(steps):
+        clock[u] = clock.get(u, base) + dt.timedelta(seconds=step)
+        rows.append((i, u, clock[u], float(i % 7)))
+    df = spark.createDataFrame(rows, "id long, u long, t timestamp_ntz, x double")
+    got = gap_sessions(df, "u", "t", 43200, "sid", sum_col="x", sum_out="tot", bucket_seconds=bucket) \
+        .select("id", "sid", "tot")
+    w = Window.partitionBy("u").orderBy("t", "id")
+    brk = F.when(F.col("t") <= F.lag("t").over(w) + F.expr("INTERVAL 12 HOURS"), 0).otherwise(1)
+    s = df.withColumn("sid", F.sum(brk).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    want = s.join(s.groupBy("u", "sid").agg(F.sum("x").alias("tot")), ["u", "sid"]).select("id", "sid", "tot")
+    assert sorted(got.collect()) == sorted(want.collect())
