@@ -77,3 +77,13 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
 def build_columns(families) -> list[str]:
     """Columns of ``build_features(..., families)`` in its order."""
     return [SESSION, "user_id", *feature_names(families), TARGET]
+
+
+def release(spark: SparkSession) -> int:
+    """Forget this application's workspaces and delete the tables they (and
+    anything else) staged; the next query rebuilds what it needs."""
+    from sessionlab.sources import store
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _WORKSPACES if k[0] == app]:
+        del _WORKSPACES[key]
+    return store.release(spark)

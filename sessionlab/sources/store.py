@@ -17,8 +17,24 @@ from pyspark.sql import DataFrame
 from sessionlab.session import checkpoint_dir
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+def release(spark) -> int:
+    """Delete every table this application staged (call when the results
+    that read them are written).  Returns the number of tables removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

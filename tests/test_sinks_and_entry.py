@@ -100,3 +100,14 @@ def test_workspace_projection_keeps_standalone_order(spark):
         proj = ws.features("train", fams)
         rates = ws.rates() if "research" in fams else None
         assert proj.columns == build_features(ws.split("train"), fams, rates).columns
+
+
+def test_staged_tables_are_released(spark):
+    from sessionlab.plans import workspace as W
+    from sessionlab.sources import store
+    df = store.stage(spark.range(10), "release_check")
+    assert df.count() == 10
+    assert W.release(spark) >= 1
+    assert store.release(spark) == 0
+    ws = W.workspace(spark, SF001)                  # rebuilt from the raw tables after a release
+    assert ws.features("train", ["base"]).count() > 0
