@@ -222,7 +222,7 @@ def _out_of_fold(data: DataFrame, fold_models: list, names: list[str]) -> DataFr
 
 def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                  weights: dict[str, float] | None = None, k: int = DEFAULT_FOLDS,
-                 label: str = TARGET, parallelism: int = 4) -> EnsembleModel:
+                 label: str = TARGET, parallelism: int = 8) -> EnsembleModel:
     """M6: k hash folds -> out-of-fold predictions per member, then every
     member refit on all rows; M9 weighted mean importance.  Early stopping of
     the first member uses a separate hashed validation share of the fold's
