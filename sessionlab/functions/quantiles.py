@@ -121,5 +121,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return result
 
 
+def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """Opt-in approximate percentiles: one ``percentile_approx`` pass with
+    bounded sketches (rank error at most n / accuracy).  Not numpy's linear
+    interpolation; use where exactness is not required."""
+    aggs = [F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"q{i}")
+            for i, c in enumerate(cols)]
+    row = df.agg(*aggs).first()
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
+            for i, c in enumerate(cols)}
+
+
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True):
+    return exact_quantiles(df, cols, probs) if exact else approx_quantiles(df, cols, probs)
+
+
 def exact_quantile(df: DataFrame, col: str, p: float) -> float | None:
     return exact_quantiles(df, [col], [p])[col][0]

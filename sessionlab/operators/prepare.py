@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.functions.quantiles import exact_quantiles
+from sessionlab.functions.quantiles import exact_quantiles, quantiles
 from sessionlab.schema import SESSION, TARGET, TIME, tie_columns
 
 # Default validation split date of the test data, fill token.
@@ -81,13 +81,15 @@ class ScalerModel:
                                for c, (m, s) in self.stats.items()})
 
 
-def fit_scaler(train: DataFrame, cols: list[str] | None = None, method: str = "robust") -> ScalerModel:
-    """Robust: (x - median) / (q75 - q25), exact quantiles, IQR 0 -> 1.
-    Otherwise standard: (x - mean) / population std, std 0 -> 1."""
+def fit_scaler(train: DataFrame, cols: list[str] | None = None, method: str = "robust",
+               exact: bool = True) -> ScalerModel:
+    """Robust: (x - median) / (q75 - q25), exact quantiles (``exact=False``:
+    one approximate pass), IQR 0 -> 1.  Otherwise standard: (x - mean) /
+    population std, std 0 -> 1."""
     cols = cols or numeric_columns(train)
     stats = {}
     if method == "robust":
-        q = exact_quantiles(train, cols, [0.25, 0.5, 0.75])
+        q = quantiles(train, cols, [0.25, 0.5, 0.75], exact)
         for c in cols:
             q1, med, q3 = q[c]
             iqr = (q3 - q1) if q1 is not None else 0.0
@@ -105,24 +107,25 @@ def fit_scaler(train: DataFrame, cols: list[str] | None = None, method: str = "r
 
 
 def scale_features(train: DataFrame, *others: DataFrame, method: str = "robust",
-                   cols: list[str] | None = None) -> tuple:
+                   cols: list[str] | None = None, exact: bool = True) -> tuple:
     """Fit on train, apply to train and every other split."""
-    model = fit_scaler(train, cols, method)
+    model = fit_scaler(train, cols, method, exact)
     return tuple(model.transform(d) for d in (train, *others))
 
 
-def iqr_bounds(df: DataFrame, target: str = TARGET, factor: float = 1.5) -> tuple[float, float]:
-    q1, q3 = exact_quantiles(df, [target], [0.25, 0.75])[target]
+def iqr_bounds(df: DataFrame, target: str = TARGET, factor: float = 1.5,
+               exact: bool = True) -> tuple[float, float]:
+    q1, q3 = quantiles(df, [target], [0.25, 0.75], exact)[target]
     iqr = q3 - q1
     return q1 - factor * iqr, q3 + factor * iqr
 
 
 def remove_outliers(df: DataFrame, target: str = TARGET, method: str = "iqr",
-                    factor: float = 1.5) -> DataFrame:
+                    factor: float = 1.5, exact: bool = True) -> DataFrame:
     """Keep rows with target in [q1 - f*iqr, q3 + f*iqr] (nulls drop)."""
     if method != "iqr":
         raise ValueError(f"unsupported outlier method {method!r}")
-    lo, hi = iqr_bounds(df, target, factor)
+    lo, hi = iqr_bounds(df, target, factor, exact)
     return df.filter(F.col(target).between(F.lit(lo), F.lit(hi)))
 
 

@@ -161,3 +161,14 @@ def test_gap_sessions_property(spark, steps, bucket):
     s = df.withColumn("sid", F.sum(brk).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     want = s.join(s.groupBy("u", "sid").agg(F.sum("x").alias("tot")), ["u", "sid"]).select("id", "sid", "tot")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_approximate_quantiles_within_rank_error(spark):
+    from sessionlab.functions.quantiles import approx_quantiles
+    vals = np.random.default_rng(9).normal(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = approx_quantiles(df, ["x"], [0.25, 0.5, 0.75], accuracy=1000)["x"]
+    srt = np.sort(vals)
+    for p, g in zip([0.25, 0.5, 0.75], got):
+        rank = np.searchsorted(srt, g)
+        assert abs(rank - p * len(vals)) <= len(vals) / 1000 + 1
