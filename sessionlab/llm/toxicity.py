@@ -3,7 +3,7 @@
 The unit that is classified is the word (what stands between white space,
 letters only and lower-cased, so inserted signs fall away; a run of
 one-letter words, as in a spelled-out insult, is one word).  Its features are
-all subsequences of three characters that span at most SPAN characters,
+all subsequences of LENGTH characters that span at most SPAN characters,
 weighted DECAY ** span: k(x, z) is their normalised inner product, so a
 character put between or left out costs a factor, not the match.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,16 @@ from pyspark.sql import functions as F
 
 from sessionlab.llm.common import NO_ID, col, hashed_sample, key, keyed_text, slices, unkey, utf8
 
-SPAN, DECAY = 5, 0.7
-TABLE = 1 << 18
+LENGTH, SPAN, DECAY = 4, 6, 0.7
+TABLE_BITS = 21
+TABLE = 1 << TABLE_BITS
 PER_CLASS = 1500
 LANDMARKS = 300
-#: Offsets of the second and third character after the first.
-_OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
-_MIN_WORD = 3
+#: Offsets of the further characters after the first.
+_OFFSETS = [(*x, b) for b in range(LENGTH - 1, SPAN) for x in combinations(range(1, b), LENGTH - 2)]
+_MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x165667B1], dtype=np.uint32)
+_MIN_WORD = 4
+_MARK = 1
 
 _LETTER = np.zeros(256, dtype=np.uint32)
 _LETTER[97:123] = np.arange(97, 123)
@@ -74,19 +78,30 @@ def words(raw: np.ndarray, offsets: np.ndarray):
     single = size == 1
     joined = np.zeros(len(size), dtype=bool)         # goes on from the token before
     joined[1:] = single[1:] & single[:-1] & (d[1:] == d[:-1])
-    word_of_run = np.cumsum(~joined) - 1
-    return _LETTER[raw[at]], word_of_run[run], d[~joined]
+    word = (np.cumsum(~joined) - 1)[run]
+    return *_marked(_LETTER[raw[at]], word), d[~joined]
+
+
+def _marked(c: np.ndarray, word: np.ndarray):
+    """A mark before each word, so that its beginning is part of its features."""
+    begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+    return np.insert(c, begin, _MARK), np.insert(word, begin, word[begin])
 
 
 def _features(c: np.ndarray, word: np.ndarray):
     """For each offset pair: positions of first characters and table slots."""
     n = len(c)
-    for a, b in _OFFSETS:
+    parts = [c * m for m in _MIX]
+    for offsets in _OFFSETS:
+        b = offsets[-1]
         if n <= b:
             return
         ok = np.flatnonzero(word[b:] == word[:-b])
-        slot = c[ok] * np.uint32(0x9E3779B1) ^ c[ok + a] * np.uint32(0x85EBCA6B) ^ c[ok + b] * np.uint32(0xC2B2AE35)
-        slot = (slot * np.uint32(0x27D4EB2F)) >> np.uint32(32 - 18)
+        slot = parts[0][ok]
+        for p, o in zip(parts[1:], offsets):
+            slot = slot ^ p[ok + o]
+        slot ^= slot >> np.uint32(15)
+        slot = (slot * np.uint32(0x27D4EB2F)) >> np.uint32(32 - TABLE_BITS)
         yield ok, slot, DECAY ** (b + 1)
 
 
@@ -94,7 +109,7 @@ def _norms(length: np.ndarray) -> np.ndarray:
     """Length of a word's feature vector (its subsequences taken as
     distinct): a function of the number of letters."""
     total = np.zeros(len(length))
-    for _, b in _OFFSETS:
+    for *_, b in _OFFSETS:
         total += np.maximum(length - b, 0) * DECAY ** (2 * (b + 1))
     return np.sqrt(total)
 
@@ -109,8 +124,7 @@ def word_scores(c, word, n_words: int, table: np.ndarray) -> np.ndarray:
 
 def _sparse(texts: list[bytes]):
     """(word index, slot, value) of distinct words, rows of unit norm."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    c = _LETTER[raw]
+    c = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint32)
     word = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     norm = np.maximum(_norms(np.bincount(word, minlength=len(texts))), 1e-12)
     rows, slots, values = [], [], []
@@ -149,7 +163,60 @@ def _svm(phi: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float):
     return w[:-1], w[-1]
 
 
-def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDMARKS, rounds: int = 4,
+def _distinct(members, n_names: int, sketch: int = 48, alike: float = 0.3) -> np.ndarray:
+    """Of documents that share words as copies do, the first: true for those
+    kept.  A sketch of minimal word hashes estimates the shared part."""
+    rng = np.random.default_rng(11)
+    hashes = rng.permuted(np.tile(np.arange(n_names, dtype=np.int32), (sketch, 1)), axis=1)
+    sig = np.stack([hashes[:, m].min(axis=1) if len(m) else np.full(sketch, -1 - i, np.int32)
+                    for i, m in enumerate(members)])
+    keep = np.ones(len(members), dtype=bool)
+    for i in range(len(sig)):
+        if keep[i]:
+            keep[i + 1:] &= (sig[i + 1:] == sig[i]).mean(axis=1) < alike
+    return keep
+
+
+def _first_view(members, toxic, slots, begin, passes: int = 4):
+    """Where training starts: a weight per feature (log-odds of toxic against
+    clean documents, less what chance would give) and greedy covers: features
+    that, one after the other, explain most toxic documents not yet explained
+    while clean documents lack them.  A further pass leaves out the words
+    found so far, so a document may be explained by several words."""
+    def incidence(which):
+        sets = [np.unique(np.concatenate([slots[begin[j]:begin[j + 1]] for j in m])) if len(m) else slots[:0]
+                for m in which]
+        return np.repeat(np.arange(len(which)), [len(x) for x in sets]), np.concatenate(sets)
+
+    doc, slot = incidence(members)
+    n1, n0 = toxic.sum(), (~toxic).sum()
+    s1 = np.bincount(slot[toxic[doc]], minlength=TABLE)
+    s0 = np.bincount(slot[~toxic[doc]], minlength=TABLE)
+    odds = np.log((s1 + 0.5) / (n1 + 1)) - np.log((s0 + 0.5) / (n0 + 1))
+    error = np.sqrt(1 / (s1 + 0.5) + 1 / (s0 + 0.5))
+    table = np.sign(odds) * np.maximum(np.abs(odds) - 2 * error, 0)
+    marks = np.zeros(TABLE)
+    members = [m if t else m[:0] for m, t in zip(members, toxic)]
+    for n in range(passes):
+        # with all documents open again, more features cover some by chance
+        least = max(5, 0.015 * n1) if n else max(3, 0.003 * n1)
+        doc, slot = incidence(members)
+        while len(slot):
+            gain = np.bincount(slot, minlength=TABLE) - 20 * s0 * (n1 / n0)
+            best = int(gain.argmax())
+            if gain[best] < least:
+                break
+            marks[best] = 1
+            covered = np.zeros(len(members), dtype=bool)
+            covered[doc[slot == best]] = True
+            left = ~covered[doc]
+            doc, slot = doc[left], slot[left]
+        found = np.add.reduceat(np.append(marks[slots], 0), begin[:-1]) > 0
+        members = [m[~found[m]] for m in members]
+    return table, marks
+
+
+def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDMARKS, rounds: int = 3,
               c: float = 4.0) -> ToxicityModel | None:
     """Model from each sampled document's distinct words and its label."""
     if not len(docs) or toxic.all() or not toxic.any():
@@ -159,32 +226,36 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         return None
     index = {w: i for i, w in enumerate(names)}
     members = [np.array(sorted({index[w] for w in d if w in index}), dtype=np.int64) for d in docs]
-    owner = np.repeat(np.arange(len(docs)), [len(m) for m in members])
+    kept = _distinct(members, len(names))
+    if not toxic[kept].any() or toxic[kept].all():
+        return None
+    members, toxic = [m for m, k in zip(members, kept) if k], toxic[kept]
+    owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
     flat = np.concatenate(members)
     rows, slots, values = _sparse(names)
 
-    # first view: share of toxic and of clean documents that have a feature
     order = np.argsort(rows, kind="stable")
     begin = np.searchsorted(rows[order], np.arange(len(names) + 1))
-    seen = np.zeros((2, TABLE))
-    for i, m in enumerate(members):
-        if len(m):
-            s = np.unique(np.concatenate([slots[order[begin[j]:begin[j + 1]]] for j in m]))
-            seen[int(toxic[i]), s] += 1
     n1, n0 = toxic.sum(), (~toxic).sum()
-    table = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
-    table[(seen[1] + seen[0]) < 2] = 0
+    table, marks = _first_view(members, toxic, slots[order], begin)
     bias = 0.0
     clean_df = np.bincount(flat, weights=(~toxic)[owner], minlength=len(names))
-    for _ in range(rounds):
+    explained = np.zeros(0, dtype=np.int64)
+    for step in range(rounds):
         score = np.bincount(rows, weights=table[slots] * values, minlength=len(names)) + bias
         s = score[flat]
         by = np.lexsort((-s, owner))
         place = np.arange(len(by)) - np.searchsorted(owner[by], owner[by])
-        head = by[place < 3]
-        positive = np.unique(flat[head[toxic[owner[head]] & ((s[head] > 0) | (np.arange(len(head)) < 0))]])
-        top1 = by[place < 1]
-        positive = np.union1d(positive, flat[top1[toxic[owner[top1]]]])
+        if step == 0:          # a word with a feature that explains its document
+            marked = np.bincount(rows, weights=marks[slots], minlength=len(names)) > 0
+            hit = by[marked[flat[by]] & toxic[owner[by]]]
+            top1 = hit
+        else:
+            top1 = by[(place < 1) & toxic[owner[by]]]
+        positive = np.union1d(flat[top1], explained)
+        if step == 0:
+            often = np.bincount(flat, weights=toxic[owner], minlength=len(names))
+            explained = positive[often[positive] >= max(3, 0.01 * n1)]   # kept whatever later rounds choose
         positive = positive[clean_df[positive] <= 0.01 * n0]
         negative = np.unique(flat[by[place < 4][~toxic[owner[by[place < 4]]]]])
         spread = np.flatnonzero(clean_df > 0)
@@ -197,16 +268,21 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         pick = np.concatenate([positive[np.argsort(-score[positive], kind="stable")][:: max(1, len(positive) // (landmarks // 2) or 1)][:landmarks // 2],
                                negative[np.argsort(-score[negative], kind="stable")][:: max(1, len(negative) // (landmarks // 2) or 1)][:landmarks // 2]])
         # landmark vectors over the table, and kernel values against them
-        z = np.zeros((len(pick), TABLE), dtype=np.float32)
+        used = np.unique(np.concatenate([slots[order[begin[j]:begin[j + 1]]] for j in pick]))
+        column = np.full(TABLE, len(used))           # slots no landmark has: a last column of zeros
+        column[used] = np.arange(len(used))
+        z = np.zeros((len(pick), len(used) + 1))
         for r, j in enumerate(pick):
             at = order[begin[j]:begin[j + 1]]
-            np.add.at(z[r], slots[at], values[at])
+            np.add.at(z[r], column[slots[at]], values[at])
+
         def kernel(which):
             k = np.zeros((len(which), len(pick)))
             for r, j in enumerate(which):
                 at = order[begin[j]:begin[j + 1]]
-                k[r] = z[:, slots[at]] @ values[at]
+                k[r] = z[:, column[slots[at]]] @ values[at]
             return k
+
         kmm = kernel(pick)
         w, v = np.linalg.eigh((kmm + kmm.T) / 2)
         keep = w > 1e-4 * w.max()
@@ -214,9 +290,10 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         phi = kernel(train) @ root
         weight = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
         beta, bias = _svm(phi, y, weight, c)
-        table = z.T @ (root @ beta)
+        table = np.zeros(TABLE)
+        table[used] = (z.T @ (root @ beta))[:-1]
     score = np.bincount(rows, weights=table[slots] * values, minlength=len(names))
-    top = np.full(len(docs), -4.0 - bias)
+    top = np.full(len(members), -4.0 - bias)
     np.maximum.at(top, owner, score[flat])
     # logistic fit of the label on a document's highest word
     x = np.column_stack([top + bias, np.ones(len(top))])
@@ -226,7 +303,7 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         g = x.T @ (p - t) + 1e-2 * a
         h = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x + 1e-2 * np.eye(2)
         a -= np.clip(np.linalg.solve(h, g), -2, 2)
-    return ToxicityModel(table.astype(np.float64), float(bias), float(max(a[0], 1e-3)), float(a[1]))
+    return ToxicityModel(table.astype(np.float32), float(bias), float(max(a[0], 1e-3)), float(a[1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col="toxic", id_col="doc_id", text_col="text",
