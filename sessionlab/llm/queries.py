@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import langid, packing, quality, simhash, toxicity
+from sessionlab.llm import html, langid, packing, quality, simhash, topk, toxicity, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -32,6 +32,13 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register("op1_warc")
+def op1(spark, sf_dir):
+    folder = warc.new_folder(spark)
+    index = warc.write_bundles(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_bundles(index, folder).drop("url", "html")
+
+
 @register("op2_packing")
 def op2(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
@@ -67,6 +74,34 @@ def op8(spark, sf_dir):
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+_TOPK_SQL = """
+with e as (
+  select vec_id, len(embedding) as n, generate_subscripts(embedding, 1) as i,
+         cast(unnest(embedding) as double) as x
+  from embeddings where vec_id is not null and embedding is not null),
+ok as (
+  select vec_id from e group by vec_id having count(*) = count(x) and bool_and(isfinite(x))),
+v as (
+  select vec_id, n, i, cast(floor(256 * x) as bigint) as x from e where vec_id in (select vec_id from ok)),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
+  from v q join v c on q.i = c.i and q.n = c.n and c.vec_id <> q.vec_id
+  where q.vec_id % 50 = 0 group by q.vec_id, c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+"""
+
+
+@register("op9_topk", _TOPK_SQL)
+def op9(spark, sf_dir):
+    return topk.search(_table(spark, sf_dir, "embeddings"), query=lambda c: c % 50 == 0, k=5)
+
+
+@register("op10_html")
+def op10(spark, sf_dir):
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
