@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import html, langid, packing, quality, simhash, topk, toxicity, warc
+from sessionlab.llm import html, langid, packing, quality, simhash, substring, topk, toxicity, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -65,6 +65,12 @@ def op5(spark, sf_dir):
     return simhash.near_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@register("op6_suffix_array")
+def op6(spark, sf_dir):
+    return substring.dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op8_quality")
 def op8(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
