@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlab.llm.common import hashed_sample, has_letter, key, col, keyed_text, slices, unkey, utf8
 
@@ -132,20 +133,16 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col="doc_id", text_
             .select(unkey(F.col("k")).alias("doc_id"), "lang_pred", "score", "k"))
 
 
-def flag_rejected(docs: DataFrame, model, out_col: str, text_col="text") -> DataFrame:
-    """``docs`` with a boolean column: its language is undetermined.  The row
-    travels with its prediction, so no join by id is needed."""
-    schema = docs.schema
-    names = schema.names
+def determined(docs: DataFrame, model, text_col="text") -> DataFrame:
+    """Rows of ``docs`` (all columns) whose language is not ``und``; a row
+    travels with its prediction, so nothing is joined."""
+    at = docs.columns.index(text_col)
 
-    def flagged(batches):
+    def keep(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            text = batch.column(names.index(text_col)).cast(pa.string()).fill_null("")
+            text = batch.column(at).cast(pa.string()).fill_null("")
             probe = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), text], names=["k", "text"])
-            und = [v == UNDETERMINED for b in _predict([probe], model) for v in b.column("lang_pred").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(und, pa.bool_())], names=[*names, out_col])
+            good = [v != UNDETERMINED for b in _predict([probe], model) for v in b.column("lang_pred").to_pylist()]
+            yield batch.filter(pa.array(good, pa.bool_()))
 
-    from pyspark.sql import types as T
-    return docs.mapInArrow(flagged, T.StructType([*schema.fields, T.StructField(out_col, T.BooleanType())]))
+    return docs.mapInArrow(keep, T.StructType(docs.schema.fields))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import html, langid, packing, quality, simhash, substring, topk, toxicity, warc
+from sessionlab.llm import decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -71,6 +71,11 @@ def op6(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op7_decontamination")
+def op7(spark, sf_dir):
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @register("op8_quality")
 def op8(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -108,6 +113,13 @@ def op10(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import keyed_text, shuffle_partitions, slices, unkey
+from sessionlab.llm.common import col, key, keyed_text, shuffle_partitions, slices, unkey
 from sessionlab.sources.store import stage
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -57,13 +57,15 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int):
     for part in slices(batches, 1 << 22):
         fps = np.array([fingerprint(t, shingle, seed) for t in part.column("text").to_pylist()], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(fps.view(np.int64))], names=["k", "fp"])
+        yield pa.RecordBatch.from_arrays([part.column("k"), part.column("v"), pa.array(fps.view(np.int64))],
+                                         names=["k", "v", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(k, fp) per document; fp holds the unsigned bits in a signed long."""
-    return keyed_text(docs, id_col, text_col).mapInArrow(
-        lambda it: _fingerprints(it, shingle, seed), "k long, fp long")
+    """(k, v, fp) per document: id, a hash of the text, and the unsigned bits
+    in a signed long."""
+    return keyed_text(docs, id_col, text_col).withColumn("v", F.xxhash64("text")).mapInArrow(
+        lambda it: _fingerprints(it, shingle, seed), "k long, v long, fp long")
 
 
 # ------------------------------------------------------------------- links
@@ -233,7 +235,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = 3, radius: int = 2,
                seed: int = 42, tile: int = TILE) -> DataFrame:
-    """(k, doc_id, fingerprint, component_id) per row of ``docs``.
+    """(k, v, doc_id, fingerprint, component_id, component) per row of ``docs``.
 
     Null and empty texts and texts of white space have fingerprint zero and
     link like any other; a null id stays null and names a class only if no
@@ -247,5 +249,17 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     least = roots.groupBy("root").agg(F.min("k").alias("component"))
     classes = roots.join(least, "root").select("fp", "component")
     return fps.join(classes, "fp").select(
-        "k", unkey(F.col("k")).alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "k", "v", unkey(F.col("k")).alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         unkey(F.col("component")).alias("component_id"), F.col("component"))
+
+
+def representatives(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
+    """Rows of ``docs`` (all columns), one of each class: that of the smallest
+    id; of several such rows that of the smallest text hash, once."""
+    found = near_dedup(docs, id_col, text_col, **how)
+    chosen = (found.where("k = component").groupBy("k", "component").agg(F.min("v").alias("v"))
+              .select(F.col("k").alias("_kept_k"), F.col("v").alias("_kept_v")))
+    text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
+    rows = docs.withColumn("_kept_k", key(docs, id_col)).withColumn("_kept_v", F.xxhash64(text))
+    return (rows.join(chosen, ["_kept_k", "_kept_v"], "left_semi")
+            .dropDuplicates(["_kept_k", "_kept_v"]).drop("_kept_k", "_kept_v"))

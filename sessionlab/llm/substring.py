@@ -30,6 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlab.llm.common import col, key, shuffle_partitions, slices, unkey, utf8
 from sessionlab.sources.store import stage
@@ -586,3 +587,48 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGT
                         "k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                         "spans array<array<long>>, kept binary")
             .withColumn("doc_id", unkey(F.col("k"))))
+
+
+def rewrite(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGTH, gram: int = GRAM,
+            shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``docs`` (all columns) with the repeated bytes gone from the text (and
+    what is left of a cut character); rows whose whole text went are dropped.
+    """
+    text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
+    rows = docs.withColumn("_run_k", key(docs, id_col)).withColumn("_run_v", F.xxhash64(text))
+    plain = rows.select(F.col("_run_k").alias("k"), F.col("_run_v").alias("v"),
+                        F.coalesce(col(rows, text_col).cast("string"), F.lit("")).alias("text"))
+    runs = stage(find_runs(plain, length, gram, shard_bytes), "substring_runs").select(
+        F.col("k").alias("_run_k"), F.col("v").alias("_run_v"), F.col("runs").alias("_runs"))
+    at = docs.columns.index(text_col)
+    fields = rows.schema.fields
+    zipped = T.StructType([T.StructField(f.name, T.BinaryType()) if i == at else f for i, f in enumerate(fields)])
+
+    def squeeze(batches):
+        z = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            texts = b.column(at).cast(pa.large_binary()).to_pylist()
+            cols = list(b.columns)
+            cols[at] = pa.array([None if t is None else z.compress(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+
+    def cut(batches):
+        unzip = zstandard.ZstdDecompressor()
+        for b in batches:
+            new, keep = [], []
+            for t, runs_ in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                raw = None if t is None else unzip.decompress(t)
+                spans = removed_spans(b"".join(runs_ or []), length)
+                if len(spans):
+                    raw = _kept(raw, spans)
+                new.append(None if raw is None else raw.decode("utf-8", "ignore"))
+                keep.append(not len(spans) or bool(raw))
+            cols = list(b.columns)[:len(fields) - 2]
+            cols[at] = pa.array(new, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields[:-2]]).filter(pa.array(keep, pa.bool_()))
+
+    joined = rows.mapInArrow(squeeze, zipped).join(runs, ["_run_k", "_run_v"], "left")
+    names = [f.name for f in fields]
+    ordered = joined.select(*[col(joined, n) for n in names], "_runs")
+    return ordered.mapInArrow(cut, T.StructType([T.StructField(f.name, T.StringType()) if i == at else f
+                                                 for i, f in enumerate(fields[:-2])]))
