@@ -50,7 +50,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, max_bytes: int, column: str = "text"):
+def slices(batches, max_bytes: int, column: str = "text", rows: int = 1 << 30):
     """Cut Arrow batches into runs of whole rows of about ``max_bytes`` of
     text, so that numpy work arrays stay bounded whatever a batch holds (a
     longer row makes a run of its own)."""
@@ -63,6 +63,7 @@ def slices(batches, max_bytes: int, column: str = "text"):
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
+            stop = min(stop, start + rows)
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -27,9 +27,13 @@ from pyspark.sql import types as T
 
 from sessionlab.llm.common import col, keyed_text, slices, unkey, utf8
 
-WINDOW, ERROR, Q = 80, 0.1, 7
+WINDOW, ERROR, Q = 80, 0.1, 8
 BLOCK_BYTES = 2 << 20
-_BITS = 22
+_BITS = 20
+#: Added to diagonals, which may start before a text.
+_SHIFT = 1 << 12
+#: Rows of one numpy pass (a document's number has 14 bits in a key).
+_ROWS = 1 << 14
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -54,12 +58,20 @@ def normalised(raw: np.ndarray, offsets: np.ndarray):
 
 
 def codes(c: np.ndarray, q: int) -> np.ndarray:
+    """The q (at most 8) bytes from each place as one integer, by doubling."""
     n = len(c) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(q):
-        out = out << np.uint64(8) | c[i:i + n].astype(np.uint64)
+    powers, size = {1: c.astype(np.uint64)}, 1
+    while size * 2 <= q:
+        h = powers[size]
+        powers[size * 2] = h[:-size] << np.uint64(8 * size) | h[size:]
+        size *= 2
+    out, have = powers[size][:n], size
+    while have < q:
+        size = 1 << ((q - have).bit_length() - 1)
+        out = out << np.uint64(8 * size) | powers[size][have:have + n]
+        have += size
     return out
 
 
@@ -157,27 +169,26 @@ def matches(raw: np.ndarray, offsets: np.ndarray, p: Probes, q: int = Q):
     if not len(hit):
         return none
     counts = p.begin[i + 1] - p.begin[i]
-    pos = np.repeat(hit, counts)
-    flat = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(p.begin[i], counts)
-    probe, offset = p.probe[flat], p.offset[flat]
+    flat = np.arange(counts.sum()) + np.repeat(p.begin[i] - (np.cumsum(counts) - counts), counts)
+    probe = p.probe[flat]
     step = max(1, int(p.edits.max(initial=1)))
-    diagonal = pos - offset
-    # hits before a document's first place are of the document before or none:
-    # bands are keyed with their document
-    band = (diagonal + (1 << 20)) // step
-    key_doc = np.repeat(doc, counts)
-    bands = np.concatenate((band, band - 1))           # width 2 * step >= step + edits
-    keys = np.concatenate((key_doc, key_doc)) * np.int64(len(p.text)) + np.concatenate((probe, probe))
-    order = np.lexsort((bands, keys))
-    keys, bands = keys[order], bands[order]
-    new = np.flatnonzero(np.concatenate(([True], (np.diff(keys) != 0) | (np.diff(bands) != 0))))
+    band = (np.repeat(hit, counts) - p.offset[flat] + _SHIFT) // step
+    # one integer per hit and band: document, probe, band; a band is two steps
+    # wide (at least step + edits diagonals) and starts every step
+    keys = (np.repeat(doc.astype(np.uint64), counts) << np.uint64(49) | probe.astype(np.uint64) << np.uint64(28)
+            | band.astype(np.uint64))
+    keys = np.sort(np.concatenate((keys, keys - np.uint64(1))))
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     n = np.diff(np.concatenate((new, [len(keys)])))
-    pr = keys[new] % len(p.text)
+    keys = keys[new]
+    pr = (keys >> np.uint64(28) & np.uint64((1 << 21) - 1)).astype(np.int64)
     good = n >= p.bound[pr]
-    pr, d, b = pr[good], keys[new][good] // len(p.text), bands[new][good]
+    pr, keys = pr[good], keys[good]
+    d = (keys >> np.uint64(49)).astype(np.int64)
+    b = (keys & np.uint64((1 << 28) - 1)).astype(np.int64)
     if not len(pr):
         return none
-    low = b * step - (1 << 20)                         # first diagonal of the band
+    low = b * step - _SHIFT                         # first diagonal of the band
     sizes = np.array([len(t) for t in p.text])[pr]
     out = []
     width = 2 * step + 2 * step + 1                    # the band and e more on both sides
@@ -217,7 +228,7 @@ _FOUND = "k long, item_id long, edits int, probes int, start long, end long"
 
 def _find(batches: Iterator[pa.RecordBatch], p: Probes):
     names = [x.split()[0] for x in _FOUND.split(", ")]
-    for part in slices(batches, 1 << 21):
+    for part in slices(batches, 1 << 20, rows=_ROWS):
         raw, at = utf8(part.column("text"))
         m = matches(raw, at, p)
         if not len(m):
