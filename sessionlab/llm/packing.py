@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 #: Windows a task may number.
 WINDOWS_PER_TASK = 2 ** 40
+SLICE_BYTES = 1 << 20
 
 
 class SumOfSquares:
@@ -103,42 +105,128 @@ class SumOfSquares:
         return out
 
 
+_SIGNS = ".,;:!?#$%&*()-_+=/|"
+
+
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes, by way of the chunks between
     spaces and line feeds: a tokenizer whose pre-tokenizer drops white space
     (as the word-end BPE's does) gives a text the ids of its chunks in order.
     Short chunks are remembered, as most words of a corpus come again."""
 
-    REMEMBERED, CHUNK = 400_000, 64
+    REMEMBERED, CHUNK, JOINED = 700_000, 64, 4096
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.known: dict[str, bytes] = {}
+        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.special = list(special)
+        self.mark, self.mark_id = next(reversed(special.items()), (None, None))
+        # words need be encoded once without case and closing signs if the
+        # tokenizer lower-cases and cuts before signs
+        probe = dict(zip(["Mixed$$,", "mixed", "$$,"], self._alone(["Mixed$$,", "mixed", "$$,"])))
+        self.reduces = probe["Mixed$$,"] == probe["mixed"] + probe["$$,"]
+        vocab = tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone.  Each is one word of the tokenizer,
+        whose last token is marked as a word's end, so they are encoded
+        joined by spaces and cut after the ends; a group in which words and
+        ends do not count the same is encoded the careful way."""
+        groups = [words[i:i + self.JOINED] for i in range(0, len(words), self.JOINED)]
+        out = []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups],
+                                                                     add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()
+            if len(ends) == len(group) and ends[-1] == 4 * len(ids):
+                raw, a = ids.tobytes(), 0
+                for b in ends:
+                    out.append(raw[a:b])
+                    a = b
+            else:
+                out += self._encode(group)
+        return out
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk.  Chunks are joined by a special token, which
+        the tokenizer cuts out before anything else, and the ids are cut at
+        its id; one that itself holds a special token is encoded alone."""
+        if self.mark is None:
+            return self._alone(chunks)
+        own = [i for i, c in enumerate(chunks) if any(t in c for t in self.special)]
+        alone = dict(zip(own, self._alone([chunks[i] for i in own])))
+        plain = [c for i, c in enumerate(chunks) if i not in alone] if alone else chunks
+        out = []
+        joined = [self.mark.join(plain[i:i + self.JOINED]) for i in range(0, len(plain), self.JOINED)]
         # encode_batch_fast leaves out character offsets, which nothing reads
+        for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+        if alone:
+            rest = iter(out)
+            out = [alone[i] if i in alone else next(rest) for i in range(len(chunks))]
+        return out
+
+    def _new(self, new: set[str]) -> dict[str, bytes]:
+        """Encode chunks not seen before; short ones are remembered, the
+        others returned."""
+        known, parts = self.known, []
+        letters, wanted = set(), []
+        for c in new:
+            if self.reduces and len(c) <= self.CHUNK:
+                core = c.rstrip(_SIGNS)
+                if core.isalpha():
+                    low = core.lower() if core.isascii() else core
+                    letters.add(low)
+                    if low != c:
+                        tail = c[len(core):]
+                        parts.append((c, low, tail))
+                        if tail and tail not in known:
+                            known[tail] = self._alone([tail])[0]
+                    continue
+            wanted.append(c)
+        letters = [w for w in letters if w not in known]
+        known.update(zip(letters, self._words(letters)))
+        for c, low, tail in parts:
+            known[c] = known[low] + known[tail] if tail else known[low]
+        ids = dict(zip(wanted, self._encode(wanted)))
+        known.update((c, i) for c, i in ids.items() if len(c) <= self.CHUNK)
+        return {c: i for c, i in ids.items() if len(c) > self.CHUNK}
+
+    def _alone(self, chunks: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.REMEMBERED:
             self.known = {}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for chunks in split for c in chunks}.difference(self.known))
-        ids = dict(zip(new, self._encode(new)))
-        self.known.update((c, i) for c, i in ids.items() if len(c) <= self.CHUNK)
-        ids = {c: i for c, i in ids.items() if len(c) > self.CHUNK}
         known = self.known
-        if ids:
-            return [b"".join([known[c] if len(c) <= self.CHUNK else ids[c] for c in chunks]) for chunks in split]
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(known.get, chunks)) for chunks in split]
+        long = self._new({c for chunks, ids in zip(split, found) if None in ids
+                          for c, i in zip(chunks, ids) if i is None})
+        for n, (chunks, ids) in enumerate(zip(split, found)):
+            if None in ids:
+                found[n] = [(known[c] if c in known else long[c]) if i is None else i for c, i in zip(chunks, ids)]
+        return [b"".join(ids) for ids in found]
 
 
-def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, width: int):
+@lru_cache(maxsize=2)
+def encoder(path: str) -> ChunkEncoder:
+    """One per Python worker: later tasks of the worker find its words."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    encode = ChunkEncoder(Tokenizer.from_file(tokenizer_path))
+    return ChunkEncoder(Tokenizer.from_file(path))
+
+
+def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, width: int):
+    encode = encoder(tokenizer_path)
     packer, out = SumOfSquares(width), []
     next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) * WINDOWS_PER_TASK
 
@@ -156,7 +244,7 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, w
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, _ARROW)], schema=_ARROW)
 
-    for part in slices(batches, 1 << 21):
+    for part in slices(batches, SLICE_BYTES):
         keys = part.column("k").to_pylist()
         for doc, raw in zip(keys, encode(part.column("text").to_pylist())):
             ids = np.frombuffer(raw + int(end_id).to_bytes(4, "little"), dtype="<u4")
