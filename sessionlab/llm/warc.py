@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import col, slices
+from sessionlab.llm.common import col, shuffle_partitions, slices
 from sessionlab.session import checkpoint_dir
 from sessionlab.sources.store import stage
 
@@ -237,7 +237,8 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str):
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """All records of the index's bundles, frame by frame, payloads checked
     against their digests (html is null for revisits)."""
-    bundles = index.select("bundle").distinct()
+    # few bytes a row but a whole bundle's work: spread by number, not by size
+    bundles = index.select("bundle").distinct().repartition(shuffle_partitions(index.sparkSession), "bundle")
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, bundle string, frame int, offset long, html string")
     return bundles.mapInArrow(lambda it: _read(it, folder), schema)
