@@ -182,17 +182,15 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
         if not len(at):
             continue
         order = at[np.lexsort((lo[at], v[at], k[at]))]
-        cut = np.flatnonzero((np.diff(k[order]) != 0) | (np.diff(v[order]) != 0)) + 1
-        groups = np.split(order, cut)
+        k, v = k[order], v[order]
+        cut = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (v[1:] != v[:-1]))))
+        out = np.empty(len(order), dtype=_STRETCH)
+        out["h"], out["lo"], out["n"] = h[order], lo[order], n[order]
+        raw = out.tobytes()
+        ends = (np.append(cut[1:], len(order)) * _STRETCH.itemsize).tolist()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[g[0]] for g in groups], pa.int64()), pa.array([v[g[0]] for g in groups], pa.int64()),
-             pa.array([_stretch_bytes(h[g], lo[g], n[g]) for g in groups], pa.binary())], names=["k", "v", "at"])
-
-
-def _stretch_bytes(h, lo, n) -> bytes:
-    out = np.empty(len(h), dtype=[("h", "<u8"), ("lo", "<u4"), ("n", "<u2")])
-    out["h"], out["lo"], out["n"] = h, lo, n
-    return out.tobytes()
+            [pa.array(k[cut]), pa.array(v[cut]),
+             pa.array([raw[x:y] for x, y in zip([0, *ends[:-1]], ends)], pa.binary())], names=["k", "v", "at"])
 
 
 _STRETCH = np.dtype([("h", "<u8"), ("lo", "<u4"), ("n", "<u2")])
@@ -227,11 +225,12 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         step = min(done, depth - done)
         members = sa[open_]
         g = rank[members]
-        second = rank[np.minimum(members + step, n)]
-        order = np.lexsort((second, g))
-        members, g, second = members[order], g[order], second[order]
+        second = rank[np.minimum(members + step, n)] + 1
+        pair = g * (n + 2) + second                # one integer sorts faster than two
+        order = np.argsort(pair)
+        members, pair = members[order], pair[order]
         sa[open_] = members
-        new = np.concatenate(([True], (g[1:] != g[:-1]) | (second[1:] != second[:-1])))
+        new = np.concatenate(([True], pair[1:] != pair[:-1]))
         place = np.maximum.accumulate(np.where(new, open_, 0))
         rank[members] = place
         last = np.concatenate((new[1:], [True]))
@@ -240,6 +239,28 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return sa
 
 
+def _equal_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Length, up to about ``most``, of the common prefix at places a and b,
+    eight bytes at a time."""
+    n = len(text)
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    word = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n + 1]
+    word = np.ascontiguousarray(word).view("<u8").reshape(-1)
+    room = n - np.maximum(a, b)
+    found = np.zeros(len(a), np.int64)
+    live = np.arange(len(a))
+    for d in range(0, most, 8):
+        x = word[np.minimum(a[live] + d, n)] ^ word[np.minimum(b[live] + d, n)]
+        # equal low bytes: a zero byte below the lowest set bit
+        low = x & (~x + np.uint64(1))
+        equal = np.where(x == 0, 8, np.bitwise_count(low - np.uint64(1)) // 8)
+        found[live] = d + equal
+        live = live[(x == 0) & (d + 8 < room[live])]
+        if not len(live):
+            break
+    return np.minimum(found, room)
+
+
 def common_prefixes(text: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
     """Kasai: common prefix, up to ``depth``, of each suffix with its
     predecessor in the array.  In text order the value falls by at most one
@@ -254,16 +275,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
     prior[i[follows]] = text[i[follows] - 1] == text[before[i[follows]] - 1]
     lcp = np.zeros(n, np.int64)
     fresh = np.flatnonzero(~prior & (before >= 0))
-    a, b, live = fresh, before[fresh], np.arange(len(fresh))
-    found = np.zeros(len(fresh), np.int64)
-    for d in range(2 * depth):                     # twice: values carried on fall by one a place
-        inside = (a[live] + d < n) & (b[live] + d < n)
-        live = live[inside]
-        same = text[a[live] + d] == text[b[live] + d]
-        live = live[same]
-        if not len(live):
-            break
-        found[live] = d + 1
+    found = _equal_bytes(text, fresh, before[fresh], 2 * depth)   # twice: values carried on fall by one a place
     lcp[fresh] = found
     # carried on: value at the last fresh place, less the distance
     place = np.maximum.accumulate(np.where(prior, 0, np.arange(n)))
@@ -382,14 +394,18 @@ def _merge_equal(contexts: list[bytes], place: np.ndarray):
     """First occurrence of each distinct context, and the others' places."""
     order = np.lexsort((place["lo"], place["v"], place["k"]))
     seen: dict[bytes, int] = {}
-    firsts, rest = [], []
-    for i in order.tolist():
-        j = seen.setdefault(contexts[i], i)
-        if j == i:
-            firsts.append(i)
-        elif place[i] != place[j]:
-            rest.append(i)
-    return firsts, rest
+    first = np.array([seen.setdefault(contexts[i], i) for i in order.tolist()], dtype=np.int64)
+    firsts = order[first == order]
+    # the same place met twice is no copy
+    differs = np.zeros(len(order), dtype=bool)
+    for f in ("k", "v", "lo"):
+        differs |= place[f][order] != place[f][first]
+    return firsts, order[differs]
+
+
+def _runs_of(values: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``rows`` cut where their (sorted) values change."""
+    return np.split(rows, np.flatnonzero(np.diff(values)) + 1) if len(rows) else []
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
@@ -397,29 +413,26 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
     those found equal to an earlier one travel along as finished runs."""
     unzip = zstandard.ZstdDecompressor()
     contexts: list[bytes] = []
-    hashes: list[int] = []
+    hashes: list = []
     places: list = []
     held = 0
 
     def batch():
         nonlocal contexts, hashes, places, held
-        place = np.array(places, dtype=_PLACE)
+        place, h = np.concatenate(places), np.concatenate(hashes)
         firsts, rest = _merge_equal(contexts, place)
-        h = np.array(hashes, dtype=np.uint64)
         bucket = ((h >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
-        rows: dict[int, list] = {}
-        for i in sorted(firsts, key=lambda i: (bucket[i], h[i])):
-            rows.setdefault(int(bucket[i]), []).append(i)
         out = []
-        for b, which in rows.items():
-            body = b"".join(contexts[i] for i in which)
-            out.append((b, place[which].tobytes(), h[which].tobytes(), len(body).to_bytes(4, "little") + _Z.compress(body)))
+        firsts = firsts[np.lexsort((h[firsts], bucket[firsts]))]
+        for which in _runs_of(bucket[firsts], firsts):
+            body = b"".join([contexts[i] for i in which.tolist()])
+            out.append((int(bucket[which[0]]), place[which].tobytes(), h[which].tobytes(),
+                        len(body).to_bytes(4, "little") + _Z.compress(body)))
         # finished places by their own document: a hot stretch's copies spread
-        other: dict[int, list] = {}
-        for i in rest:
-            other.setdefault(int(place["k"][i] % buckets), []).append(i)
-        for b, which in other.items():
-            out.append((b, place[which].tobytes(), b"", None))
+        own = (place["k"][rest] % buckets).astype(np.int64)
+        rest = rest[np.argsort(own, kind="stable")]
+        for which in _runs_of(np.sort(own), rest):
+            out.append((int(place["k"][which[0]] % buckets), place[which].tobytes(), b"", None))
         contexts, hashes, places, held = [], [], [], 0
         cols = list(zip(*out)) or [[]] * 4
         return pa.RecordBatch.from_arrays(
@@ -430,10 +443,13 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
         for k, v, size, text, ats in zip(*(b.column(c).to_pylist() for c in ("k", "v", "size", "z", "ats"))):
             raw = unzip.decompress(text, max_output_size=max(1, size))
             s = np.frombuffer(b"".join(ats), dtype=_STRETCH)
-            for h, lo, n in zip(s["h"].tolist(), s["lo"].tolist(), s["n"].tolist()):
-                contexts.append(raw[lo:lo + n + length - 1])
-                hashes.append(h)
-                places.append((k, v, lo, n))
+            begin = s["lo"].astype(np.int64)
+            end = begin + s["n"] + length - 1
+            contexts += [raw[a:z] for a, z in zip(begin.tolist(), end.tolist())]
+            hashes.append(s["h"])
+            place = np.empty(len(s), dtype=_PLACE)
+            place["k"], place["v"], place["lo"], place["n"] = k, v, s["lo"], s["n"]
+            places.append(place)
             held += int(s["n"].sum()) + len(s) * (length + 80)
             if held > 1 << 25:
                 yield batch()
@@ -480,7 +496,7 @@ def _settle(batches: Iterator[pa.RecordBatch], length: int, shard_bytes: int):
             done.append(place[rest])
             # stretches whose anchor is left once have nothing to meet
             _, inverse, counts = np.unique(h[firsts], return_inverse=True, return_counts=True)
-            firsts = np.array(firsts)[counts[inverse] > 1]
+            firsts = firsts[counts[inverse] > 1]
             firsts = firsts[np.argsort(h[firsts], kind="stable")]
             if len(firsts):
                 p = place[firsts]
@@ -526,7 +542,7 @@ def _kept(raw: bytes, spans: np.ndarray) -> bytes:
 
 
 def _zipped(batches: Iterator[pa.RecordBatch]):
-    z = zstandard.ZstdCompressor(level=3)
+    z = zstandard.ZstdCompressor(level=1)
     for part in slices(batches, 1 << 22):
         texts = [t.as_py() for t in part.column("text").cast(pa.large_binary())]
         yield pa.RecordBatch.from_arrays(
