@@ -34,7 +34,7 @@ from sessionlab.llm.common import NO_ID, col, hashed_sample, key, keyed_text, sl
 LENGTH, SPAN, DECAY = 4, 6, 0.7
 TABLE_BITS = 21
 TABLE = 1 << TABLE_BITS
-PER_CLASS = 1500
+PER_CLASS = 1000
 LANDMARKS = 300
 #: Offsets of the further characters after the first.
 _OFFSETS = [(*x, b) for b in range(LENGTH - 1, SPAN) for x in combinations(range(1, b), LENGTH - 2)]
@@ -123,16 +123,30 @@ def word_scores(c, word, n_words: int, table: np.ndarray) -> np.ndarray:
 
 
 def _sparse(texts: list[bytes]):
-    """(word index, slot, value) of distinct words, rows of unit norm."""
+    """Features of distinct words, word after word, rows of unit norm: where
+    each word begins, slots, values (narrow types: this is the largest thing
+    the driver holds)."""
     c = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint32)
-    word = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    norm = np.maximum(_norms(np.bincount(word, minlength=len(texts))), 1e-12)
-    rows, slots, values = [], [], []
-    for at, slot, weight in _features(c, word):
-        rows.append(word[at])
-        slots.append(slot)
-        values.append(weight / norm[word[at]])
-    return np.concatenate(rows), np.concatenate(slots).astype(np.int64), np.concatenate(values)
+    size = np.array([len(t) for t in texts])
+    word = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+    norm = np.maximum(_norms(size), 1e-12).astype(np.float32)
+    found = list(_features(c, word))
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for at, _, _ in found:
+        counts += np.bincount(word[at], minlength=len(texts))
+    begin = np.concatenate(([0], np.cumsum(counts)))
+    slots = np.empty(begin[-1], dtype=np.int32)
+    values = np.empty(begin[-1], dtype=np.float32)
+    fill = begin[:-1].copy()
+    while found:
+        at, slot, weight = found.pop()
+        w = word[at]                                 # in word order
+        per = np.bincount(w, minlength=len(texts))
+        to = np.arange(len(w)) + np.repeat(fill - (np.cumsum(per) - per), per)
+        slots[to] = slot
+        values[to] = weight / norm[w]
+        fill += per
+    return begin, slots, values
 
 
 @dataclass
@@ -163,13 +177,20 @@ def _svm(phi: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float):
     return w[:-1], w[-1]
 
 
+def _per_word(x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of a feature column by word."""
+    total = np.concatenate(([0.0], np.cumsum(x, dtype=np.float64)))
+    return total[begin[1:]] - total[begin[:-1]]
+
+
 def _distinct(members, n_names: int, sketch: int = 48, alike: float = 0.3) -> np.ndarray:
     """Of documents that share words as copies do, the first: true for those
     kept.  A sketch of minimal word hashes estimates the shared part."""
     rng = np.random.default_rng(11)
-    hashes = rng.permuted(np.tile(np.arange(n_names, dtype=np.int32), (sketch, 1)), axis=1)
-    sig = np.stack([hashes[:, m].min(axis=1) if len(m) else np.full(sketch, -1 - i, np.int32)
-                    for i, m in enumerate(members)])
+    sig = np.empty((len(members), sketch), dtype=np.int32)
+    for j in range(sketch):
+        order = rng.permutation(n_names).astype(np.int32)
+        sig[:, j] = [order[m].min() if len(m) else -1 - i for i, m in enumerate(members)]
     keep = np.ones(len(members), dtype=bool)
     for i in range(len(sig)):
         if keep[i]:
@@ -183,19 +204,21 @@ def _first_view(members, toxic, slots, begin, passes: int = 4):
     that, one after the other, explain most toxic documents not yet explained
     while clean documents lack them.  A further pass leaves out the words
     found so far, so a document may be explained by several words."""
+    def features_of(m):
+        return np.unique(np.concatenate([slots[begin[j]:begin[j + 1]] for j in m])) if len(m) else slots[:0]
+
     def incidence(which):
-        sets = [np.unique(np.concatenate([slots[begin[j]:begin[j + 1]] for j in m])) if len(m) else slots[:0]
-                for m in which]
-        return np.repeat(np.arange(len(which)), [len(x) for x in sets]), np.concatenate(sets)
+        sets = [features_of(m) for m in which]
+        return np.repeat(np.arange(len(which), dtype=np.int32), [len(x) for x in sets]), np.concatenate(sets)
 
-    doc, slot = incidence(members)
     n1, n0 = toxic.sum(), (~toxic).sum()
-    s1 = np.bincount(slot[toxic[doc]], minlength=TABLE)
-    s0 = np.bincount(slot[~toxic[doc]], minlength=TABLE)
+    s1, s0 = np.zeros(TABLE, dtype=np.int32), np.zeros(TABLE, dtype=np.int32)
+    for m, t in zip(members, toxic):
+        (s1 if t else s0)[features_of(m)] += 1
     odds = np.log((s1 + 0.5) / (n1 + 1)) - np.log((s0 + 0.5) / (n0 + 1))
     error = np.sqrt(1 / (s1 + 0.5) + 1 / (s0 + 0.5))
     table = np.sign(odds) * np.maximum(np.abs(odds) - 2 * error, 0)
-    marks = np.zeros(TABLE)
+    marks = np.zeros(TABLE, dtype=np.float32)
     members = [m if t else m[:0] for m, t in zip(members, toxic)]
     for n in range(passes):
         # with all documents open again, more features cover some by chance
@@ -211,14 +234,16 @@ def _first_view(members, toxic, slots, begin, passes: int = 4):
             covered[doc[slot == best]] = True
             left = ~covered[doc]
             doc, slot = doc[left], slot[left]
-        found = np.add.reduceat(np.append(marks[slots], 0), begin[:-1]) > 0
+        found = _per_word(marks[slots], begin) > 0
         members = [m[~found[m]] for m in members]
     return table, marks
 
 
 def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDMARKS, rounds: int = 3,
-              c: float = 4.0) -> ToxicityModel | None:
-    """Model from each sampled document's distinct words and its label."""
+              c: float = 4.0, prior: float | None = None) -> ToxicityModel | None:
+    """Model from each sampled document's distinct words and its label.
+    ``prior``: share of toxic documents among all, for the calibration (the
+    sample holds more of them)."""
     if not len(docs) or toxic.all() or not toxic.any():
         return None
     names = sorted({w for d in docs for w in d if len(w) >= _MIN_WORD})
@@ -232,22 +257,19 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
     members, toxic = [m for m, k in zip(members, kept) if k], toxic[kept]
     owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
     flat = np.concatenate(members)
-    rows, slots, values = _sparse(names)
-
-    order = np.argsort(rows, kind="stable")
-    begin = np.searchsorted(rows[order], np.arange(len(names) + 1))
+    begin, slots, values = _sparse(names)
     n1, n0 = toxic.sum(), (~toxic).sum()
-    table, marks = _first_view(members, toxic, slots[order], begin)
+    table, marks = _first_view(members, toxic, slots, begin)
     bias = 0.0
     clean_df = np.bincount(flat, weights=(~toxic)[owner], minlength=len(names))
     explained = np.zeros(0, dtype=np.int64)
     for step in range(rounds):
-        score = np.bincount(rows, weights=table[slots] * values, minlength=len(names)) + bias
+        score = _per_word(table[slots] * values, begin) + bias
         s = score[flat]
         by = np.lexsort((-s, owner))
         place = np.arange(len(by)) - np.searchsorted(owner[by], owner[by])
         if step == 0:          # a word with a feature that explains its document
-            marked = np.bincount(rows, weights=marks[slots], minlength=len(names)) > 0
+            marked = _per_word(marks[slots], begin) > 0
             hit = by[marked[flat[by]] & toxic[owner[by]]]
             top1 = hit
         else:
@@ -268,18 +290,18 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         pick = np.concatenate([positive[np.argsort(-score[positive], kind="stable")][:: max(1, len(positive) // (landmarks // 2) or 1)][:landmarks // 2],
                                negative[np.argsort(-score[negative], kind="stable")][:: max(1, len(negative) // (landmarks // 2) or 1)][:landmarks // 2]])
         # landmark vectors over the table, and kernel values against them
-        used = np.unique(np.concatenate([slots[order[begin[j]:begin[j + 1]]] for j in pick]))
-        column = np.full(TABLE, len(used))           # slots no landmark has: a last column of zeros
-        column[used] = np.arange(len(used))
+        used = np.unique(np.concatenate([slots[begin[j]:begin[j + 1]] for j in pick]))
+        column = np.full(TABLE, len(used), dtype=np.int32)           # slots no landmark has: a last column of zeros
+        column[used] = np.arange(len(used), dtype=np.int32)
         z = np.zeros((len(pick), len(used) + 1))
         for r, j in enumerate(pick):
-            at = order[begin[j]:begin[j + 1]]
+            at = slice(begin[j], begin[j + 1])
             np.add.at(z[r], column[slots[at]], values[at])
 
         def kernel(which):
             k = np.zeros((len(which), len(pick)))
             for r, j in enumerate(which):
-                at = order[begin[j]:begin[j + 1]]
+                at = slice(begin[j], begin[j + 1])
                 k[r] = z[:, column[slots[at]]] @ values[at]
             return k
 
@@ -290,18 +312,21 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         phi = kernel(train) @ root
         weight = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
         beta, bias = _svm(phi, y, weight, c)
-        table = np.zeros(TABLE)
+        table = np.zeros(TABLE, dtype=np.float32)
         table[used] = (z.T @ (root @ beta))[:-1]
-    score = np.bincount(rows, weights=table[slots] * values, minlength=len(names))
+    score = _per_word(table[slots] * values, begin)
     top = np.full(len(members), -4.0 - bias)
     np.maximum.at(top, owner, score[flat])
     # logistic fit of the label on a document's highest word
     x = np.column_stack([top + bias, np.ones(len(top))])
     t, a = toxic.astype(float), np.zeros(2)
+    share = t.mean()
+    prior = share if prior is None else prior
+    by = np.where(toxic, prior / share, (1 - prior) / (1 - share))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
-        g = x.T @ (p - t) + 1e-2 * a
-        h = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x + 1e-2 * np.eye(2)
+        g = x.T @ (by * (p - t)) + 1e-2 * a
+        h = (x.T * np.maximum(by * p * (1 - p), 1e-6)) @ x + 1e-2 * np.eye(2)
         a -= np.clip(np.linalg.solve(h, g), -2, 2)
     return ToxicityModel(table.astype(np.float32), float(bias), float(max(a[0], 1e-3)), float(a[1]))
 
@@ -311,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col="toxic", id_col="doc_id",
     """Fit on at most about ``per_class`` labelled documents of each class
     (hashed choice).  Their distinct words reach the driver."""
     known = (labels.select(key(labels, label_id_col).alias("k"), col(labels, label_col).cast("int").alias("y"))
-             .where(f"y is not null and k <> {NO_ID}").groupBy("k").agg(F.max("y").alias("y")))
+             .where(f"y in (0, 1) and k <> {NO_ID}").groupBy("k").agg(F.max("y").alias("y")))
     chosen = hashed_sample(known, "y", per_class)
 
     def distinct_words(batches):
@@ -329,7 +354,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col="toxic", id_col="doc_id",
     got = (keyed_text(docs, id_col, text_col).join(F.broadcast(chosen), "k")
            .mapInArrow(distinct_words, "y int, words binary").collect())
     got = sorted((bytes(r.words), r.y) for r in got)
-    return fit_words([w.split() for w, _ in got], np.array([y == 1 for _, y in got], dtype=bool))
+    prior = known.agg(F.avg("y")).first()[0]
+    return fit_words([w.split() for w, _ in got], np.array([y == 1 for _, y in got], dtype=bool), prior=prior)
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: ToxicityModel | None):
