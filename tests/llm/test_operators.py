@@ -1,0 +1,532 @@
+"""Operators of sessionlab.llm against brute force on small fixtures."""
+import base64
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import SF001
+from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, warc
+from sessionlab.llm.queries import ORACLE, QUERIES, tokenizer_path
+
+DOC = "doc_id long, text string, k string, score string, fp int"
+
+
+def docs_df(spark, rows):
+    """Documents with further columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], DOC)
+
+
+EDGE = [(1, None), (2, ""), (3, "   \n\t"), (4, "a"), (None, "no id"), (5, "word " * 20000), (6, "same text here"),
+        (7, "same text here"), (7, "same text here"), (8, "Ünïcödé ß 漢字 \x00 end"), (9, "12345 !!! ---")]
+
+
+# ------------------------------------------------------------------ WARC
+
+def test_warc_round_trip(spark, tmp_out):
+    rows = [(1, "http://a", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u", None), (4, "u", ""), (None, "n", "<p>x</p>"),
+            (5, "big", "é" * 300000), (6, "u", "only"), (6, "u", "only")]
+    pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, k string")
+    folder = f"file://{tmp_out}/warc"
+    index = warc.write_bundles(pages, folder, frame_bytes=64, bundle_frames=3)
+    got = warc.read_bundles(index, folder).collect()
+    assert len(got) == len(rows)
+    top = {}
+    for i, _, h in rows:
+        top[h or ""] = max(top.get(h or "", -1), -1 if i is None else i)
+    for r in got:
+        h = next((h or "") for i, _, h in rows if i == r.page_id)
+        own = -1 if r.page_id is None else r.page_id
+        assert r.payload_bytes == len(h.encode())
+        assert r.payload_digest == base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+        assert r.record_type == ("response" if own == top[h] else "revisit")
+        assert r.refers_to == (None if own == top[h] else top[h])
+    at = index.where("page_id = 5").first()
+    headers, payload = warc.read_record(folder, at.bundle, at.frame, at.offset)
+    assert payload.decode() == "é" * 300000 and headers["WARC-Target-URI"] == "big"
+    assert warc.read_bundles(warc.write_bundles(pages.limit(0), folder), folder).count() == 0
+    small = warc.read_bundles(warc.write_bundles(pages, folder, min_bytes=1), folder)
+    assert small.where("payload_bytes = 0 and record_type = 'revisit'").count() == 0
+
+
+# --------------------------------------------------------------- packing
+
+def test_packing_covers_every_id(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    rows = EDGE + [(i, " ".join(f"Word{j}, it's" for j in range(i * 7))) for i in range(20, 60)]
+    out = packing.pack(docs_df(spark, rows), tokenizer_path()).collect()
+    want = collections.Counter()
+    for i, t in rows:
+        ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        want[(i, ids.tobytes())] += 1
+    pieces = collections.defaultdict(list)
+    for r in out:
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+        pieces[r.doc_id].append(r)
+    for i in {i for i, _ in rows}:
+        whole = collections.Counter()
+        parts = sorted(pieces[i], key=lambda r: r.start)
+        for (d, ids), n in want.items():
+            if d == i:
+                whole[ids] += n
+        rebuilt = b"".join(r.ids for r in parts if True) if sum(whole.values()) == 1 else None
+        if rebuilt is not None:
+            assert rebuilt == next(iter(whole))
+        assert sum(r.length for r in parts) == sum(len(x) // 4 * n for x, n in whole.items())
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.sequence_id].append(r)
+    for w in by.values():
+        w.sort(key=lambda r: r.offset)
+        at = 0
+        for r in w:
+            assert r.offset == at
+            at += r.length
+        assert at == 2048 or at & (at - 1) == 0
+    assert packing.pack(docs_df(spark, rows).limit(0), tokenizer_path()).count() == 0
+
+
+def test_sum_of_squares_level():
+    p = packing.SumOfSquares(8)
+    rng = random.Random(3)
+    for _ in range(300):
+        size = rng.randint(1, 7)
+        n = p.count.copy()
+
+        def total(h):
+            m = n.copy()
+            if h:
+                m[h] -= 1
+            if h + size < 8:
+                m[h + size] += 1
+            return int((m[1:8] ** 2).sum())
+
+        options = [0] + [h for h in range(1, 8) if n[h] and h + size <= 8]
+        assert total(p.level_for(size)) == min(map(total, options))
+        p.place((0, 0, size, np.zeros(size, "<u4"), size))
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b c", " x", "é b\x1cc\td 's it's", "ÀÉ ﬁ Σας ΟΔΟΣ İstanbul", "it's,, we'll.",
+                                  "Abc... DEF$$ x" * 10, "a" * 200, "ä̈ ö"])
+def test_chunk_encoder_equals_tokenizer(text):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    enc = packing.ChunkEncoder(tok)
+    for _ in range(2):
+        assert enc([text, "the"])[0] == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+# ----------------------------------------------------------- classifiers
+
+def test_toxicity_learns_gapped_insults(spark):
+    rng = random.Random(5)
+    syl = ["on", "er", "the", "tion", "and", "ing", "re", "ha", "st"]
+    word = lambda: "".join(rng.choice(syl) for _ in range(rng.randint(1, 3)))
+    rows, labels = [], []
+    for i in range(400):
+        w = [word() for _ in range(60)]
+        bad = i % 4 == 0
+        if bad:
+            for _ in range(3):
+                w[rng.randrange(60)] = rng.choice(["idiot", "scumbag", "moronic"])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad), "en"))
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    model = toxicity.fit(docs_df(spark, rows), lab.where("doc_id < 300"))
+    test = rows[300:] + [(1000, "the on i.d.i*o_t reon"), (1001, "reon id-iot ing"), (1002, "then s c u m b a g ha")] + EDGE
+    got = {(r.doc_id): r for r in toxicity.predict(docs_df(spark, test), model).collect()}
+    assert all(got[i].predicted == (i % 4 == 0) for i in range(300, 400))
+    assert got[1000].predicted == got[1001].predicted == got[1002].predicted == 1
+    assert got[1].predicted == 0 and all(0 <= r.score <= 1 and r.score == r.score for r in got.values())
+    assert toxicity.fit(docs_df(spark, rows), lab.limit(0)) is None
+    assert {r.score for r in toxicity.predict(docs_df(spark, test), None).collect()} == {0.0}
+
+
+def test_subsequence_kernel_is_the_explicit_sum():
+    a, b = b"\x01idiot", b"\x01idxiot"
+    begin, slots, values = toxicity._sparse([a, b])
+    k = collections.defaultdict(float)
+
+    def features(w):
+        out = collections.Counter()
+        for off in toxicity._OFFSETS:
+            for i in range(len(w) - off[-1]):
+                out[bytes([w[i], *(w[i + o] for o in off)])] += toxicity.DECAY ** (off[-1] + 1)
+        return out
+
+    fa, fb = features(a), features(b)
+    norm = [toxicity._norms(np.array([len(w)]))[0] for w in (a, b)]
+    want = sum(v * fb[x] for x, v in fa.items()) / norm[0] / norm[1]
+    for j, s in zip(slots[:begin[1]], values[:begin[1]]):
+        k[j] += s
+    got = sum(k[j] * s for j, s in zip(slots[begin[1]:], values[begin[1]:]) if j in k)
+    assert math.isclose(got, want, rel_tol=1e-5)
+
+
+def test_language_id(spark):
+    base = {"en": "the and with from house street", "de": "der und mit aus haus straße", "fr": "le et avec de maison où"}
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(base[lg].split()) for _ in range(12)), lg) for i in range(150)
+            for lg in [sorted(base)[i % 3]]]
+    df = spark.createDataFrame([(*r, "x") for r in rows] + [(900, None, "en", "x"), (901, "text", None, "x")],
+                               "doc_id long, text string, lang string, k string")
+    model = langid.fit(df.where("doc_id < 100"))
+    got = {r.doc_id: r for r in langid.predict(docs_df(spark, [(i, t) for i, t, _ in rows] + [(2000 + i, t) for i, (_, t) in enumerate(EDGE)]), model).collect()}
+    assert all(got[i].lang_pred == lg for i, _, lg in rows)
+    und = [got[2000 + i].lang_pred == "und" for i in range(len(EDGE))]
+    assert und == [not any(c.isalpha() for c in (t or "")) for _, t in EDGE]
+    kept = langid.determined(docs_df(spark, EDGE), model)
+    assert kept.columns == ["doc_id", "text", "k", "score", "fp"] and kept.count() == und.count(False)
+    assert langid.fit(df.limit(0)) is None
+    assert langid.predict(docs_df(spark, EDGE), None).where("lang_pred <> 'und'").count() == 0
+
+
+def test_presence_is_the_set_of_grams():
+    texts = ["Abc ab", "", "é1x"]
+    raw, at = common.utf8(pa.array(texts))
+    x = langid.presence(raw, at)
+    assert x[1].sum() == 0
+    assert (langid.presence(*common.utf8(pa.array(["abc ab"])))[0] == x[0]).all()
+    assert x[0].sum() == len({g for n in (1, 2, 3) for g in ("abc ab"[i:i + n] for i in range(7 - n))})
+
+
+def test_quality_positive_unlabelled(spark):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(600):
+        good = i % 4 != 0
+        w = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(50)]
+        if not good:
+            w = [x.upper() + "$$#" for x in w] if i % 8 else w[:2] * 25
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(good)))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    df = docs_df(spark, rows)
+    model = quality.fit(df, lab.where("doc_id < 450"), df)
+    assert 0.5 < model.prior < 0.95
+    got = {r.doc_id: r for r in quality.predict(docs_df(spark, rows[450:] + [(5000 + i, t) for i, (_, t) in enumerate(EDGE)]), model).collect()}
+    assert sum(got[i].predicted == (i % 4 != 0) for i in range(450, 600)) >= 145
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert quality.fit(df, lab.limit(0), df) is None
+    assert {r.predicted for r in quality.predict(df, None).collect()} == {0}
+
+
+# --------------------------------------------------------------- simhash
+
+def brute_fingerprint(text):
+    w = [x for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ").replace("\n", " ")
+         .replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if x]
+    if not w:
+        return 0
+    h = [xxhash.xxh64(" ".join(s).encode(), seed=42).intdigest() for s in ([w[i:i + 3] for i in range(len(w) - 2)] or [w])]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps, radius):
+    n, root = len(fps), list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            if bin(fps[i][1] ^ fps[j][1]).count("1") <= radius:
+                root[find(i)] = find(j)
+    groups = collections.defaultdict(list)
+    for i in range(n):
+        groups[find(i)].append(fps[i][0])
+    return {tuple(sorted(g)): min(g) for g in groups.values()}
+
+
+def test_simhash_near_dedup(spark):
+    got = simhash.near_dedup(docs_df(spark, EDGE + [(50, "A B c d"), (51, "x\x0by\x0cz w v")])).collect()
+    assert len(got) == len(EDGE) + 2
+    for r in got:
+        t = next(t for i, t in EDGE + [(50, "A B c d"), (51, "x\x0by\x0cz w v")] if i == r.doc_id)
+        assert r.fingerprint == f"{brute_fingerprint(t):016x}"
+    assert {r.doc_id: r.component_id for r in got}[7] == 6
+    kept = simhash.representatives(docs_df(spark, EDGE))
+    assert kept.columns == ["doc_id", "text", "k", "score", "fp"]
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 4, 5, 6, 8, 9]
+    assert simhash.near_dedup(docs_df(spark, EDGE).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_links_are_exact(spark, tile):
+    rng = random.Random(tile)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    fps = set(base)
+    for b in base:
+        x = b
+        for _ in range(25):
+            for _ in range(rng.randint(1, 3)):
+                x ^= 1 << rng.randrange(64)
+            fps.add(x)
+    fps = sorted(fps)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    comp = simhash.components(simhash.links(df, 2, tile)).collect()
+    root = {r.node: r.root for r in comp}
+    groups = collections.defaultdict(list)
+    for x in signed:
+        groups[root.get(x, x)].append(x)
+    assert {tuple(sorted(g)) for g in groups.values()} == set(brute_components(list(zip(signed, fps)), 2))
+
+
+def test_components_of_a_long_chain(spark):
+    n = 60
+    got = simhash.components(spark.createDataFrame([(i, i + 1) for i in range(n)], "u long, v long")).collect()
+    assert {r.node: r.root for r in got} == {i: 0 for i in range(1, n + 1)}
+    assert simhash.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# ------------------------------------------------------------- substrings
+
+def brute_removed(rows, length):
+    seen, out = set(), {}
+    for k, t in rows:
+        cover, dup = [False] * len(t), []
+        for p in range(len(t) - length + 1):
+            s = t[p:p + length]
+            if s in seen:
+                dup.append(p)
+            seen.add(s)
+        for p in dup:
+            cover[p:p + length] = [True] * length
+        out[k] = cover
+    return out
+
+
+def test_shards_against_brute_force():
+    rng = random.Random(1)
+    for trial in range(120):
+        length, gram = rng.choice([6, 10, 17]), rng.choice([3, 4, 5])
+        letters = rng.choice([b"ab", b"abcd", b"a", bytes(range(97, 117)), b"\x00a"])
+        texts = []
+        for _ in range(rng.randint(1, 8)):
+            t = bytes(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+            if texts and rng.random() < .5:
+                b = rng.choice(texts)
+                a = rng.randint(0, len(b))
+                t += b[a:a + rng.randint(0, 50)] + t[:5]
+            texts.append(t)
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        _, d, lo, n = substring.stretches(raw, np.cumsum([0] + [len(t) for t in texts]), length, gram)
+        ctx = [texts[a][b:b + c + length - 1] for a, b, c in zip(d, lo, n)]
+        for shard in (1 << 20, 40):
+            found = substring.duplicates(ctx, d, np.zeros(len(d), np.int64), lo, length, shard)
+            got = collections.defaultdict(set)
+            for c, o in found.tolist():
+                got[int(d[c])].add(int(lo[c] + o))
+            seen = set()
+            for i, t in enumerate(texts):
+                want = set()
+                for p in range(len(t) - length + 1):
+                    if t[p:p + length] in seen:
+                        want.add(p)
+                    seen.add(t[p:p + length])
+                assert got[i] == want
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = random.Random(4)
+    for _ in range(60):
+        t = bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(0, 80))) * rng.randint(1, 3)
+        text = np.frombuffer(t, np.uint8)
+        sa = substring.suffix_array(text, 12)
+        assert [t[i:i + 12] for i in sa] == sorted(t[i:i + 12] for i in range(len(t)))
+        if len(t):
+            lcp = substring.common_prefixes(text, sa, 12)
+            for x, y, got in zip(sa[:-1], sa[1:], lcp[1:]):
+                want = next((d for d in range(12) if max(x, y) + d >= len(t) or t[x + d] != t[y + d]), 12)
+                assert got == want
+
+
+def test_substring_dedup(spark):
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghij é") for _ in range(180))
+    rows = [(i, "".join(rng.choice("klmnopqr ") for _ in range(rng.randint(0, 300))) + (passage if i % 3 else "") +
+             "".join(rng.choice("stuvwxyz") for _ in range(50))) for i in range(10, 40)]
+    rows += [(100, "ab" * 400), (101, passage), (102, passage[:80]), (1, None), (2, ""), (103, "ab" * 60)]
+    got = {r.doc_id: r for r in substring.dedup(docs_df(spark, rows)).collect()}
+    want = brute_removed(sorted((i, (t or "").encode()) for i, t in rows), 100)
+    for i, t in rows:
+        b, cover, r = (t or "").encode(), want[i], got[i]
+        kept = bytes(x for x, c in zip(b, cover) if not c)
+        spans = sum(c and (p == 0 or not cover[p - 1]) for p, c in enumerate(cover))
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(cover), spans, hashlib.sha256(kept).hexdigest())
+    out = {r.doc_id: r.text for r in substring.rewrite(docs_df(spark, rows)).collect()}
+    assert 101 not in out and out[1] is None and out[2] == "" and out[102] == passage[:80]
+    assert all(out[i] == bytes(x for x, c in zip((t or "").encode(), want[i]) if not c).decode("utf-8", "ignore")
+               for i, t in rows if i in out and t is not None)
+    twice = substring.dedup(docs_df(spark, [(7, passage), (7, passage), (None, passage)])).collect()
+    assert sorted((r.doc_id or -1, r.n_removed) for r in twice) == [(-1, len(passage.encode())), (7, 0), (7, 0)]
+    assert substring.dedup(docs_df(spark, rows).limit(0)).count() == 0
+
+
+# --------------------------------------------------------- contamination
+
+def edit_distance_within(probe, text):
+    row = list(range(len(probe) + 1))
+    best = row[-1]
+    for c in text:
+        new = [0]
+        for j, p in enumerate(probe, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != c)))
+        row, best = new, min(best, new[-1])
+    return best
+
+
+def test_alignment_equals_brute_force():
+    rng = random.Random(8)
+    for _ in range(150):
+        m, width = rng.randint(3, 12), rng.randint(1, 6)
+        p = [rng.randint(1, 3) for _ in range(m)]
+        t = [rng.randint(1, 3) for _ in range(m + width)]
+        cost, first, last = decontam.align(np.array([p], np.uint8), np.array([t], np.uint8), width)
+        # the band holds every path whose edits keep it inside: compare where it must
+        exact = edit_distance_within(p, t)
+        assert cost[0] >= exact
+        if width >= 5:
+            wide = decontam.align(np.array([p], np.uint8), np.array([[0] * m + t + [0] * (2 * m)], np.uint8), width + 2 * m)
+            assert wide[0][0] == exact
+
+
+def test_decontamination(spark):
+    rng = random.Random(6)
+    words = [w + str(i) for i, w in enumerate(["alpha", "beta", "gamma", "delta", "omega", "sigma"] * 30)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(20)) for i in range(6)] + [(90, None), (91, "")]
+    planted = []
+    for i in range(60):
+        t = text(60)
+        if i % 4 == 0:
+            body = items[i % 6][1]
+            if i % 8 == 0:                        # case, signs and a few edits
+                body = body.upper().replace(" ", " - ", 5).replace("A", "", 3)
+            t = text(20) + ", " + body + "\n" + text(20)
+        planted.append((i, t))
+    it = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.contaminated(docs_df(spark, planted + EDGE), it).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i % 6) for i in range(0, 60, 4)}
+    for r in got:
+        if r.doc_id % 8:
+            raw = dict(planted)[r.doc_id].encode()[r.start:r.end].decode()
+            assert raw == items[r.item_id][1] and r.edits == 0
+    kept = decontam.clean(docs_df(spark, planted + EDGE), it)
+    assert kept.count() == 45 + len(EDGE) and kept.columns[0] == "doc_id"
+    assert decontam.contaminated(docs_df(spark, planted), it.limit(0)).count() == 0
+    blocks = list(decontam.blocks(it, block_bytes=300))
+    assert len(blocks) > 1 and sum(len(set(b.item.tolist())) for b in blocks) == 6
+
+
+# ----------------------------------------------------------------- top-k
+
+@pytest.mark.parametrize("scale", [1, 3e5])
+def test_topk_against_brute_force(spark, scale):
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) * scale for x in rng.normal(size=20)]) for i in range(300)]
+    rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 20), (550, [float("inf")] * 20), (600, [1.0, 2.0]),
+             (None, [1.0] * 20), (7, rows[7][1]), (650, rows[3][1]), (701, rows[3][1]), (702, rows[3][1])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, tile int")
+    got = collections.defaultdict(list)
+    for r in topk.search(df, query=lambda c: c % 50 == 0, k=5, tile=37).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    ints = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            ints[i] = [math.floor(256 * x) for x in v]
+    for q in [i for i in ints if i % 50 == 0]:
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
+        hold = lambda x: max(-2 ** 63, min(2 ** 63 - 1, x))
+        assert got.get(q, []) == [(i, hold(-s)) for s, i in scores[:5]]
+    assert topk.search(df.limit(0), query=lambda c: c % 50 == 0).count() == 0
+
+
+def test_topk_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{SF001}/embeddings.parquet')")
+    want = con.execute(ORACLE["op9_topk"]).fetchall()
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in QUERIES["op9_topk"](spark, SF001).collect()]
+    assert sorted(got) == sorted(want)
+
+
+# ------------------------------------------------------------------ HTML
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></li><li>About</li></ul></nav><div class="cookie-notice">We use cookies.</div>
+<div id=main><div class="sidebar"><p>Latest news, more news.</p></div><article><h1>A  title</h1><p>First <b>bold<br>text</b>,
+with&nbsp;references &lt;here&gt; &#233;.<p>Second paragraph, quite long, with words. And more words, and so on.</p>
+<form><input value=x>Sign up</form><div class="ad-box ads">Buy now.</div><ul><li>one<li>two</ul><p>Short.</p></article>
+<section class="comments"><p>Great article, thanks a lot, really!</p></section></div><footer>&copy; 2024</footer></body></html>"""
+
+
+def test_main_text(spark):
+    want = ("A title\nFirst bold text, with references <here> é.\nSecond paragraph, quite long, with words. "
+            "And more words, and so on.\none\ntwo\nShort.")
+    assert html.main_text(PAGE) == want
+    assert html.main_text("") == html.main_text("<nav>menu</nav>") == html.main_text("<!-- only") == ""
+    assert html.main_text("plain words, no tags.") == "plain words, no tags."
+    assert html.main_text("<p>a &amp b<p unclosed") == "a & b"
+    pages = spark.createDataFrame([(1, "u", PAGE, "z"), (2, None, None, "z"), (None, "u", "<p>x", "z"), (1, "u", PAGE, "z")],
+                                  "page_id long, url string, html string, text string")
+    got = html.extract(pages).collect()
+    assert sorted(r.n_chars for r in got) == [0, 1, len(want), len(want)]
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
+# ------------------------------------------------------ queries, pipeline
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as cp
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = docs.collect()
+    bench = [" ".join(html_free(r.text)) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    steps = dict(cp.STAGES)
+    assert list(steps) == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
+    one = cp.stage(steps["language_id"](spark, docs, SF001), "t1")
+    assert {r.doc_id for r in one.collect()} == {r.doc_id for r in rows if any(c.isalpha() for c in r.text or "")}
+    two = cp.stage(steps["near_dedup"](spark, one, SF001), "t2")
+    comps = brute_components([(r.doc_id, brute_fingerprint(r.text)) for r in one.collect()], 2)
+    assert sorted(r.doc_id for r in two.collect()) == sorted(comps.values())
+    three = cp.stage(steps["substring_dedup"](spark, two, SF001), "t3")
+    cover = brute_removed(sorted((r.doc_id, r.text.encode()) for r in two.collect()), 100)
+    kept = {r.doc_id: bytes(x for x, c in zip(r.text.encode(), cover[r.doc_id]) if not c) for r in two.collect()}
+    assert {r.doc_id: r.text for r in three.collect()} == {i: t.decode("utf-8", "ignore") for i, t in kept.items() if t}
+    assert all(r.n_chars == len(r.text) for r in three.collect())
+    four = cp.stage(steps["decontamination"](spark, three, SF001), "t4")
+    left = {r.doc_id for r in four.collect()}
+    for r in three.collect():
+        hit = any(b in " ".join(html_free(r.text)) for b in bench if len(b) >= 80)
+        assert (r.doc_id not in left) if hit else True
+    assert len(left) >= 0.9 * len(kept)
+    for s in (one, two, three, four):
+        assert s.columns == docs.columns
+    five = cp.run(spark, SF001)
+    assert {r.doc_id for r in five.select("doc_id").collect()} == left
+
+
+def html_free(text):
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
+def test_registered_queries(spark):
+    assert [q.split("_")[0] for q in QUERIES if q.startswith("op")] == [f"op{i}" for i in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+    n = spark.read.parquet(f"{SF001}/documents.parquet").count()
+    for name in ("op3_toxicity", "op4_language_id", "op8_quality"):
+        out = QUERIES[name](spark, SF001)
+        assert out.count() == n and dict(out.dtypes)["held_out"] == "boolean"
+    held = QUERIES["op4_language_id"](spark, SF001).where("held_out")
+    assert {r.doc_id for r in held.collect()} == {i for i in range(n) if zlib.crc32(str(i).encode()) % 3 == 1}
