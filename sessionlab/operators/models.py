@@ -37,7 +37,7 @@ CONFIG = {
                  "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "early_stopping": True},
     "xgboost": {"kind": "gbt", "maxIter": 500, "stepSize": 0.05, "maxDepth": 8, "minInstancesPerNode": 3,
                 "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
-    "catboost": {"kind": "gbt", "maxIter": 500, "stepSize": 0.05, "maxDepth": 8},
+    "catboost": {"kind": "gbt", "maxIter": 500, "stepSize": 0.05, "maxDepth": 8, "early_stopping": True},
     "random_forest": {"kind": "rf", "numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 8,
                       "featureSubsetStrategy": "sqrt"},
 }
@@ -49,22 +49,20 @@ CONSERVATIVE_WEIGHTS = (0.6, 0.4)
 CONSERVATIVE_CLIP = (5.0, 300.0)
 VALIDATION_FOREST = {"kind": "rf", "numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 10,
                      "featureSubsetStrategy": "0.7"}
-SMALL_FOREST = {"kind": "rf", "numTrees": 50}
-EARLY_STOP_SHARE = 0.1       # share of a fold's training rows used as validation
-EARLY_STOP_TOL = 0.01
+SMALL_FOREST = {"kind": "rf", "numTrees": 50, "maxDepth": 30, "featureSubsetStrategy": "all"}
+EARLY_STOP_SHARE = 0.1       # share of a fold's training rows that choose the iteration
+EARLY_STOP_PATIENCE = 100    # rounds without a better one before training would end
 
 
 # Tree training: node ids cached between levels, a larger histogram budget per
 # pass (fewer passes over the data for deep or many trees).
-TREE_DEFAULTS = {"cacheNodeIds": True, "maxMemoryInMB": 512}
+TREE_DEFAULTS = {"cacheNodeIds": True, "maxMemoryInMB": 512, "maxBins": 256}
 
 
 def _regressor(spec: dict, features_col: str, label: str, pred: str):
     kw = dict(TREE_DEFAULTS)
     kw.update({k: v for k, v in spec.items() if k not in ("kind", "early_stopping")})
     if spec["kind"] == "gbt":
-        if spec.get("early_stopping"):
-            kw.update(validationIndicatorCol="_is_val", validationTol=EARLY_STOP_TOL)
         return GBTRegressor(featuresCol=features_col, labelCol=label, predictionCol=pred, seed=SEED,
                             checkpointInterval=10, **kw)
     if spec["kind"] == "rf":
@@ -128,13 +126,38 @@ def fit_model(df: DataFrame, features: list[str], spec: dict, name: str = "model
               pred: str = "prediction", prepared: bool = False) -> FittedModel:
     """Fit one tree model (M2-M5, M13) on ``features`` -> ``label``."""
     data = df if prepared else _prepared(df, features, label)
-    if spec.get("early_stopping") and "_is_val" not in data.columns:
-        data = data.withColumn("_is_val", (hash_fold(SESSION, 1000) < int(EARLY_STOP_SHARE * 1000)))
     va = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep")
+    if spec.get("early_stopping") and spec["kind"] == "gbt":
+        held = hash_fold(SESSION, 1000) < int(EARLY_STOP_SHARE * 1000)
+        kept = data.filter(~held)
+        best = best_iteration(_held_out_errors(kept, data.filter(held), va, spec, label))
+        if best:
+            # the seed makes the first rounds of a shorter fit the same trees
+            data, spec = kept, dict(spec, maxIter=best)
     pm = Pipeline(stages=[va, _regressor(spec, "_v", label, pred)]).fit(data)
     return FittedModel(name, features, pm, pred)
 
 
+def _held_out_errors(train: DataFrame, held: DataFrame, va: VectorAssembler, spec: dict, label: str) -> list[float]:
+    """Squared error on ``held`` after each boosting round on ``train``."""
+    if held.isEmpty() or train.isEmpty():
+        return []
+    model = _regressor(spec, "_v", label, "_p").fit(va.transform(train))
+    return model.evaluateEachIteration(va.transform(held), "squared")
+
+
+def best_iteration(errors: list[float], patience: int = EARLY_STOP_PATIENCE) -> int:
+    """M7: number of rounds up to the best one, where ``patience`` rounds
+    without a better one end the search; 0 if there are no errors."""
+    best = 0
+    for i, e in enumerate(errors):
+        if not best or e < errors[best - 1]:
+            best = i + 1
+        elif i + 1 - best >= patience:
+            break
+    return best
+
+
 def fit_ridge(df: DataFrame, features: list[str], alpha: float, name: str = "ridge", label: str = TARGET,
               pred: str = "prediction", prepared: bool = False) -> FittedModel:
     data = df if prepared else _prepared(df, features, label)
@@ -187,15 +210,16 @@ class EnsembleModel:
         for name, m in self.members.items():
             m.write(f"{path}/{name}")
         spark = next(iter(self.members.values()))._spark()
-        spark.createDataFrame([(json.dumps(self.weights), json.dumps(self.features),
-                                json.dumps(self.importance))], "weights string, features string, imp string") \
+        spark.createDataFrame([(json.dumps(self.weights), json.dumps(self.features), json.dumps(self.importance),
+                                json.dumps(list(self.members)))],
+                              "weights string, features string, imp string, members string") \
             .write.mode("overwrite").parquet(f"{path}/meta")
 
     @classmethod
     def load(cls, spark, path: str) -> "EnsembleModel":
         meta = spark.read.parquet(f"{path}/meta").first()
         weights = json.loads(meta["weights"])
-        members = {n: FittedModel.load(spark, f"{path}/{n}") for n in weights}
+        members = {n: FittedModel.load(spark, f"{path}/{n}") for n in json.loads(meta["members"])}
         return cls(members, weights, json.loads(meta["features"]),
                    importance=[tuple(x) for x in json.loads(meta["imp"])])
 
@@ -224,9 +248,9 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                  weights: dict[str, float] | None = None, k: int = DEFAULT_FOLDS,
                  label: str = TARGET, parallelism: int = 8) -> EnsembleModel:
     """M6: k hash folds -> out-of-fold predictions per member, then every
-    member refit on all rows; M9 weighted mean importance.  Early stopping of
-    the first member uses a separate hashed validation share of the fold's
-    training rows, never the fold being predicted.
+    member refit on all rows; M9 weighted mean importance.  Early stopping in
+    the fold fits uses a separate hashed share of the fold's training rows,
+    never the fold being predicted; the final fits hold nothing out.
 
     Independent fits are submitted from ``parallelism`` driver threads, as
     Spark ML's ``CrossValidator(parallelism=...)`` does, so small fits share
@@ -241,7 +265,8 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
         return f, name, fit_model(tr, features, spec, name, label, pred="_p", prepared=True)
 
     def full_fit(task):
-        name, spec = task
+        name, spec = task                     # every row, all rounds: nothing is held out
+        spec = {x: v for x, v in spec.items() if x != "early_stopping"}
         return name, fit_model(data, features, spec, name, label, pred=name, prepared=True)
 
     tasks = [(f, name, spec) for f in range(k) for name, spec in config.items()]

@@ -114,8 +114,11 @@ def scale_features(train: DataFrame, *others: DataFrame, method: str = "robust",
 
 
 def iqr_bounds(df: DataFrame, target: str = TARGET, factor: float = 1.5,
-               exact: bool = True) -> tuple[float, float]:
+               exact: bool = True) -> tuple[float | None, float | None]:
+    """Lower and upper bound; none without a non-null value."""
     q1, q3 = quantiles(df, [target], [0.25, 0.75], exact)[target]
+    if q1 is None or q3 is None:
+        return None, None
     iqr = q3 - q1
     return q1 - factor * iqr, q3 + factor * iqr
 
@@ -126,6 +129,8 @@ def remove_outliers(df: DataFrame, target: str = TARGET, method: str = "iqr",
     if method != "iqr":
         raise ValueError(f"unsupported outlier method {method!r}")
     lo, hi = iqr_bounds(df, target, factor, exact)
+    if lo is None:
+        return df.filter(F.lit(False))
     return df.filter(F.col(target).between(F.lit(lo), F.lit(hi)))
 
 

@@ -29,6 +29,7 @@ class Workspace:
         self._clicks: DataFrame | None = None
         self._rates: dict = {}
         self._features: dict = {}
+        self.ensemble = None              # fitted by the model queries
 
     @property
     def clicks(self) -> DataFrame:

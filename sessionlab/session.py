@@ -47,11 +47,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a folder under ``$SESSIONLAB_SCRATCH`` or ``/tmp``.
+    Read from ``spark.checkpoint.dir``; when it is unset, a local master
+    falls back to a folder under ``$SESSIONLAB_SCRATCH`` or ``/tmp``, and a
+    cluster is refused: executors would write to their own disks.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = os.path.join(os.environ.get("SESSIONLAB_SCRATCH", "/tmp"), "sessionlab-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,11 +75,15 @@ def create_submission(scored: DataFrame, path: str, pred: str = "prediction", fm
 # ---------------------------------------------------------------- S5
 
 def input_fingerprint(*dfs: DataFrame) -> str:
-    """Hash of the input files (path, size, modification time): file
-    metadata only, no data is read."""
+    """Hash of the input files (path, size, modification time) and of what
+    is read of them (the analysed plan without expression numbers): metadata
+    only, no data is read.  An input without files has no fingerprint."""
     items = []
     for df in dfs:
         spark = df.sparkSession
+        if not df.inputFiles():
+            raise ValueError("an input that reads no files cannot be recognised again")
+        items.append(re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString()))
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for f in sorted(df.inputFiles()):
@@ -94,6 +99,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cached_feature_tables(spark: SparkSession, path: str, builders: dict, config: dict,
                           inputs: list[DataFrame], force: bool = False) -> dict[str, DataFrame]:
     """``builders`` maps split name -> zero-argument callable returning
@@ -106,6 +117,7 @@ def cached_feature_tables(spark: SparkSession, path: str, builders: dict, config
         old = spark.read.parquet(mpath).first()["manifest"]
         ok = json.loads(old) == json.loads(json.dumps(manifest))
     if not ok:
+        _delete(spark, mpath)             # a rebuild that dies half-way leaves no valid manifest
         for s, build in builders.items():
             build().write.mode("overwrite").parquet(f"{path}/{s}")
         spark.createDataFrame([(json.dumps(manifest),)], "manifest string") \
