@@ -17,6 +17,7 @@ a repeated task gives the same windows.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -105,7 +106,7 @@ class SumOfSquares:
         return out
 
 
-_SIGNS = ".,;:!?#$%&*()-_+=/|"
+_SIGNS_END = re.compile(r"[.,;:!?#$%&*()\-_+=/|]+(?= |\Z)")
 
 
 class ChunkEncoder:
@@ -177,19 +178,25 @@ class ChunkEncoder:
         others returned."""
         known, parts = self.known, []
         letters, wanted = set(), []
-        for c in new:
-            if self.reduces and len(c) <= self.CHUNK:
-                core = c.rstrip(_SIGNS)
-                if core.isalpha():
-                    low = core.lower() if core.isascii() else core
+        if self.reduces:
+            # case and closing signs go from all chunks at once: a chunk has
+            # no space, so they stay aligned
+            for plain in (True, False):
+                chunks = [c for c in new if c.isascii() == plain]
+                joined = " ".join(chunks)
+                cores = _SIGNS_END.sub("", joined.lower() if plain else joined).split(" ") if chunks else []
+                for c, low in zip(chunks, cores):
+                    if not low.isalpha() or len(c) > self.CHUNK:
+                        wanted.append(c)
+                        continue
                     letters.add(low)
                     if low != c:
-                        tail = c[len(core):]
+                        tail = c[len(low):]
                         parts.append((c, low, tail))
                         if tail and tail not in known:
                             known[tail] = self._alone([tail])[0]
-                    continue
-            wanted.append(c)
+        else:
+            wanted = list(new)
         letters = [w for w in letters if w not in known]
         known.update(zip(letters, self._words(letters)))
         for c, low, tail in parts:
@@ -206,14 +213,20 @@ class ChunkEncoder:
         if len(self.known) > self.REMEMBERED:
             self.known = {}
         known = self.known
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(known.get, chunks)) for chunks in split]
-        long = self._new({c for chunks, ids in zip(split, found) if None in ids
-                          for c, i in zip(chunks, ids) if i is None})
-        for n, (chunks, ids) in enumerate(zip(split, found)):
-            if None in ids:
-                found[n] = [(known[c] if c in known else long[c]) if i is None else i for c, i in zip(chunks, ids)]
-        return [b"".join(ids) for ids in found]
+        chunks, ends = [], [0]
+        for t in texts:
+            chunks += t.replace("\n", " ").split(" ")
+            ends.append(len(chunks))
+        ids = list(map(known.get, chunks))
+        missing, at = [], -1
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at + 1)
+            missing.append(at)
+        long = self._new({chunks[i] for i in missing})
+        for i in missing:
+            c = chunks[i]
+            ids[i] = known[c] if c in known else long[c]
+        return [b"".join(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -225,7 +238,8 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(Tokenizer.from_file(path))
 
 
-def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, width: int):
+def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, width: int, with_ids: bool = True):
+    schema = _ARROW if with_ids else pa.schema(list(_ARROW)[:-1])
     encode = encoder(tokenizer_path)
     packer, out = SumOfSquares(width), []
     next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) * WINDOWS_PER_TASK
@@ -235,14 +249,14 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, w
         at = 0
         for doc, start, n, ids, total in window:
             raw = ids.tobytes()
-            out.append((None if doc == NO_ID else doc, start, n, crc32(raw), total, next_id, at, raw))
+            out.append((None if doc == NO_ID else doc, start, n, crc32(raw), total, next_id, at, raw)[:len(schema)])
             at += n
         next_id += 1
 
     def batch():
-        rows = list(zip(*out)) or [[]] * len(_ARROW)
+        rows = list(zip(*out)) or [[]] * len(schema)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, _ARROW)], schema=_ARROW)
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema)], schema=schema)
 
     for part in slices(batches, SLICE_BYTES):
         keys = part.column("k").to_pylist()
@@ -262,9 +276,10 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, w
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         width: int = 2048, end_id: int = 1) -> DataFrame:
-    """One row per piece: document, its place there, its ids and their crc,
-    and its window and place there.
+         width: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+    """One row per piece: document, its place there, the crc of its ids, its
+    window and place there, and the ids themselves (little-endian, left out
+    without ``with_ids``).
 
     Null and empty texts are a run of the closing id alone; a null id stays
     null; repeated rows are packed each; an empty table gives no rows; other
@@ -272,4 +287,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     t * 2**40.
     """
     return keyed_text(docs, id_col, text_col).mapInArrow(
-        lambda it: _pack(it, tokenizer_path, end_id, width), SCHEMA)
+        lambda it: _pack(it, tokenizer_path, end_id, width, with_ids), SCHEMA if with_ids else SCHEMA.rpartition(",")[0])

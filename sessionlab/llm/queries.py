@@ -41,7 +41,7 @@ def op1(spark, sf_dir):
 
 @register("op2_packing")
 def op2(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
 @register("op3_toxicity")
