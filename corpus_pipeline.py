@@ -41,7 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 ids."""
-    return packing.pack(docs, tokenizer_path()).drop("ids")
+    return packing.pack(docs, tokenizer_path(), with_ids=False)
 
 
 STAGES = [
