@@ -4,8 +4,8 @@ The reference has no streaming operators (no watermarks, windows or state).
 The one flow that maps onto Structured Streaming is scoring (3.2): feature
 rows of finished sessions arrive as files, every micro-batch is scored by
 the fitted ensemble and appended to the submission sink.  The operation is
-stateless, so each micro-batch is an ordinary batch DataFrame and the
-checkpoint location gives exactly-once file output.
+stateless, so each micro-batch is an ordinary batch DataFrame.  A batch that
+is replayed after a failure is written again: output is at least once.
 """
 
 from __future__ import annotations
