@@ -76,3 +76,13 @@ def test_outliers_of_an_empty_frame(spark):
     df = spark.createDataFrame([], "user_session string, session_value double")
     assert P.remove_outliers(df).count() == 0
     assert P.remove_outliers(spark.createDataFrame([("a", None)], df.schema)).count() == 0
+
+
+def test_correlation_matrix_is_pairwise_complete(spark):
+    from sessionlab.operators.select import correlation_matrix
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 4.0, 0.0), (3.0, 6.0, 1.0), (None, 50.0, 1.0), (9.0, None, 0.0)],
+                               "a double, b double, c double")
+    m = correlation_matrix(df, ["a", "b", "c"])
+    assert m[0][1] == m[1][0] == pytest.approx(1.0)
+    assert m[0][2] == pytest.approx(df.toPandas()[["a", "c"]].corr().iloc[0, 1])
+    assert correlation_matrix(df, []) == []
