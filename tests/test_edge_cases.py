@@ -9,7 +9,7 @@ import pytest
 from sessionlab.operators.features import FAMILIES, build_features
 from sessionlab.operators.rates import fit_rates
 from sessionlab.plans import oracle as O
-from sessionlab.plans.compare import rows_of
+from compare import rows_of
 from sessionlab.schema import CLICK_SCHEMA
 
 T0 = dt.datetime(2024, 1, 10, 12, 0, 0)

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from sessionlab.plans import catalog
-from sessionlab.plans.compare import compare, duck
+from compare import compare, duck
 from conftest import SF001
 
 SF = os.environ.get("SESSIONLAB_ORACLE_SF", SF001)

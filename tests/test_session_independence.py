@@ -5,7 +5,7 @@ import pytest
 
 from sessionlab.plans import catalog
 from sessionlab.plans import workspace as W
-from sessionlab.plans.compare import compare, duck
+from compare import compare, duck
 from conftest import SF001
 
 NAMES = ["feature_table", "temporal_split_counts", "robust_scale", "temporal_folds", "selected_features"]
