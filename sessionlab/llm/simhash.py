@@ -235,7 +235,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = 3, radius: int = 2,
                seed: int = 42, tile: int = TILE) -> DataFrame:
-    """(k, v, doc_id, fingerprint, component_id, component) per row of ``docs``.
+    """(k, v, doc_id, fingerprint, component_id, component, root) per row of
+    ``docs``; ``root``, the class's smallest fingerprint, tells classes apart.
 
     Null and empty texts and texts of white space have fingerprint zero and
     link like any other; a null id stays null and names a class only if no
@@ -247,17 +248,18 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     comp = components(links(distinct.select("fp"), radius, tile))
     roots = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("k").alias("component"))
-    classes = roots.join(least, "root").select("fp", "component")
+    classes = roots.join(least, "root").select("fp", "component", "root")
     return fps.join(classes, "fp").select(
         "k", "v", unkey(F.col("k")).alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        unkey(F.col("component")).alias("component_id"), F.col("component"))
+        unkey(F.col("component")).alias("component_id"), "component", "root")
 
 
 def representatives(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
     """Rows of ``docs`` (all columns), one of each class: that of the smallest
     id; of several such rows that of the smallest text hash, once."""
     found = near_dedup(docs, id_col, text_col, **how)
-    chosen = (found.where("k = component").groupBy("k", "component").agg(F.min("v").alias("v"))
+    # by root: classes without an id, or with one id, share their component
+    chosen = (found.where("k = component").groupBy("root", "k").agg(F.min("v").alias("v"))
               .select(F.col("k").alias("_kept_k"), F.col("v").alias("_kept_v")))
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
     rows = docs.withColumn("_kept_k", key(docs, id_col)).withColumn("_kept_v", F.xxhash64(text))

@@ -263,6 +263,19 @@ def test_simhash_near_dedup(spark):
     assert simhash.near_dedup(docs_df(spark, EDGE).limit(0)).count() == 0
 
 
+def test_representatives_of_unnumbered_and_shared_ids(spark):
+    """Classes without an id, and classes that share their smallest id, each
+    keep a document."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 9) for _ in range(60)) for _ in range(9)]
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0]), (3, texts[5]), (3, texts[6]), (4, texts[5]), (4, texts[7]),
+                                             (5, texts[7]), (None, texts[8]), (6, texts[8]), (6, texts[8])]
+    assert len(set(brute_components([(t, brute_fingerprint(t)) for t in texts], 2).values())) == len(texts)
+    kept = [(r.doc_id, r.text) for r in simhash.representatives(docs_df(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, t) for t in texts[:5]] + [
+        (3, texts[5]), (3, texts[6]), (4, texts[7]), (6, texts[8])], key=str)
+
+
 @pytest.mark.parametrize("tile", [4, 1024])
 def test_links_are_exact(spark, tile):
     rng = random.Random(tile)
