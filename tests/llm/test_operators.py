@@ -445,6 +445,37 @@ def test_decontamination(spark):
     assert len(blocks) > 1 and sum(len(set(b.item.tolist())) for b in blocks) == 6
 
 
+def test_decontamination_of_passages_at_any_offset(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [(i, noise(200 + 7 * i)) for i in range(4)] + [(50, "xyzzy"), (51, "q8w9e0r1t2")]
+    rows, want = [], {}
+    for n in range(20):
+        i, size = n % 4, rng.choice([76, 80, 81, 85, 90, 95, 120])
+        at = rng.randrange(0, len(items[i][1]) - size)
+        piece = list(items[i][1][at:at + size])
+        for _ in range(rng.choice([0, 0, 4, 7, 11])):
+            j = rng.randrange(len(piece))
+            piece[j:j + 1] = rng.choice([[], [rng.choice(letters)], [piece[j], "7"]])
+        rows.append((n, noise(rng.randrange(90)) + "".join(piece) + noise(rng.randrange(90))))
+    rows += [(200, noise(30) + " XyZzY. "), (201, noise(30) + " xyzy "), (202, noise(9) + "q8w9e1r1t2" + noise(9)),
+             (203, noise(9) + "q8w9f1r1t2" + noise(9)), (204, items[2][1])]
+    for n, t in rows:
+        for i, item in items:
+            item, t = item.lower(), " ".join(html_free(t))
+            size = min(80, len(item))
+            costs = [edit_distance_within(item[s:s + size], t) for s in range(len(item) - size + 1)] \
+                if n >= 200 or i == n % 4 else [99]
+            good = [x for x in costs if x <= size // 10]
+            if good:
+                want[n, i] = (min(good), len(good))
+    got = {(r.doc_id, r.item_id): (r.edits, r.probes) for r in decontam.contaminated(
+        docs_df(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+    assert {(200, 50), (202, 51)} <= set(want) and not {(201, 50), (203, 51)} & set(want)
+
+
 # ----------------------------------------------------------------- top-k
 
 @pytest.mark.parametrize("scale", [1, 3e5])
