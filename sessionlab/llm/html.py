@@ -6,9 +6,9 @@ the like are honoured, unclosed tags end with their parent).  Per path, text
 length and punctuation are summed and divided by the number of its nodes;
 the node series is smoothed, both ratios are fused, and paths over the
 threshold are content.  The main block is the smallest element that holds
-nearly all content text; its blocks make up the text, without elements
-that are by name or class menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts or styles.
+all blocks on such paths (the article or main around it, if any); its blocks
+make up the text, without elements that are by name or class menus, headers,
+footers, sidebars, notices, adverts, forms, comments, scripts or styles.
 """
 
 from __future__ import annotations
@@ -191,42 +191,31 @@ def main_text(html: str) -> str:
     if not found:
         return ""
     chosen = content_paths(found)
-    weight = 0
-    seen = {}
-    for e, text in found:
-        if e.path in chosen:
-            weight += len(text)
-            at = e
-            while at is not None:
-                at.size += len(text)
-                seen[id(at)] = at
-                at = at.parent
-    # the smallest element with nearly all content: deepest on the chain
-    top = found[0][0]
-    while top.parent is not None:
-        top = top.parent
-    best, depth = top, -1
-    for e in seen.values():
-        d = e.path.count("/")
-        if e.size >= 0.8 * weight and d > depth and e.tag not in ("p", "li", "h1", "h2", "h3", "td", "th", "blockquote", "pre"):
-            best, depth = e, d
-
-    def inside(e):
-        while e is not None:
-            if e is best:
-                return True
-            e = e.parent
-        return False
-
-    return "\n".join(text for e, text in found if inside(e) or (e.path in chosen and _article(e)))
-
-
-def _article(e) -> bool:
+    # the smallest element with all content: where its blocks' chains meet
+    chain = None
+    for e in {id(e): e for e, _ in found if e.path in chosen}.values():
+        own = _chain(e)
+        if chain is not None:
+            same = 0
+            while same < min(len(own), len(chain)) and own[same] is chain[same]:
+                same += 1
+            own = own[:same]
+        chain = own
+    best = len(chain) - 1
+    while best and chain[best].tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "blockquote", "pre"):
+        best -= 1
+    around = [i for i in range(best + 1) if chain[i].tag in ("article", "main")]
+    best = chain[around[-1] if around else best]
+    return "\n".join(text for e, text in found if any(x is best for x in _chain(e)))
+
+
+def _chain(e: _Element) -> list[_Element]:
+    """The element and those around it, from the root."""
+    out = []
     while e is not None:
-        if e.tag in ("article", "main"):
-            return True
+        out.append(e)
         e = e.parent
-    return False
+    return out[::-1]
 
 
 def _extract(batches: Iterator[pa.RecordBatch]):

@@ -531,6 +531,16 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_main_text_of_several_containers():
+    part = lambda n: ("Words of the article, and more of them. " * n).strip()
+    page = f"<body><nav>Home</nav><div id=content><div class=part><p>{part(22)}</p></div><div class=part><p>{part(5)}</p></div></div>"
+    assert html.main_text(page) == part(22) + "\n" + part(5)
+    page = f"<body><div id=c><p>{part(4)}</p><ul>" + f"<li>{part(4)}</li>" * 6 + "</ul></div><footer>Foot.</footer>"
+    assert html.main_text(page) == "\n".join([part(4)] * 7)
+    page = f"<article><h2>Head</h2><p>Short.</p><section><p>{part(30)}</p><p>{part(20)}</p></section></article>"
+    assert html.main_text(page) == "\n".join(["Head", "Short.", part(30), part(20)])
+
+
 # ------------------------------------------------------ queries, pipeline
 
 def test_pipeline_stages(spark):
