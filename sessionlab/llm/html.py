@@ -9,6 +9,10 @@ threshold are content.  The main block is the smallest element that holds
 all blocks on such paths (the article or main around it, if any); its blocks
 make up the text, without elements that are by name or class menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts or styles.
+Names, classes and ids of layouts and whole-page forms do not drop the page:
+an element that a class, an id, a role or its form tag speaks against stays
+if it holds more than half of the text of article and main (of the page, if
+it has neither).
 """
 
 from __future__ import annotations
@@ -54,32 +58,60 @@ _PUNCTUATION = re.compile(r"[.,;:!?。，…]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "size")
+    __slots__ = ("tag", "parent", "path", "dropped", "doubtful", "article", "size")
 
-    def __init__(self, tag, parent, dropped):
+    def __init__(self, tag, parent, noise):
         self.tag, self.parent, self.size = tag, parent, 0
         self.path = (parent.path if parent else "") + "/" + tag
-        self.dropped = dropped or bool(parent and parent.dropped)
+        self.dropped = noise == _SURE or bool(parent and parent.dropped)
+        self.doubtful = noise == _DOUBTFUL
+        self.article = tag in ("article", "main") or bool(parent and parent.article)
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
-    if tag in _DROP:
-        return True
-    if tag in ("html", "body", "article", "main") or not attributes:
-        return False
+_SURE, _DOUBTFUL = 2, 1
+
+
+def _noise(tag: str, attributes: str) -> int:
+    if tag in _DROP and tag not in ("form", "fieldset"):
+        return _SURE
+    if tag in ("html", "body", "article", "main"):
+        return 0
+    if _HIDDEN.search(attributes):
+        return _SURE
+    if tag in ("form", "fieldset"):
+        return _DOUBTFUL
     for name, a, b, c in _ATTR.findall(attributes):
         value = a or b or c
         if name.lower() == "role":
             if value.lower() in _ROLES:
-                return True
+                return _DOUBTFUL
         elif _NOISE.search(value):
-            return True
-    return bool(_HIDDEN.search(attributes))
+            return _DOUBTFUL
+    return 0
+
+
+def _without_noise(found: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """Blocks outside doubtful elements that hold at most half of the text."""
+    content = [(e, t) for e, t in found if e.article] or found
+    total = sum(len(t) for _, t in content)
+    for e, text in content:
+        while e is not None:
+            e.size += len(text)
+            e = e.parent
+
+    def stays(e):
+        while e is not None:
+            if e.doubtful and 2 * e.size <= total:
+                return False
+            e = e.parent
+        return True
+
+    return [(e, t) for e, t in found if stays(e)]
 
 
 def blocks(html: str) -> list[tuple[_Element, str]]:
     """Text blocks in page order with their block element."""
-    root = _Element("", None, False)
+    root = _Element("", None, 0)
     stack = [root]
     inline: list[tuple[str, bool]] = []        # open inline tags that drop their text
     out: list[tuple[_Element, str]] = []
@@ -131,14 +163,14 @@ def blocks(html: str) -> list[tuple[_Element, str]]:
         if tag in _RAW and tag != "plaintext":
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
             at = end.start() if end else n
-        noise = _is_noise(tag, attributes)
+        noise = _noise(tag, attributes)
         if tag in _VOID:
             if tag == "hr":
                 flush()
             continue
         if tag in _INLINE:
             if not attributes.rstrip().endswith("/"):
-                inline.append((tag, noise))
+                inline.append((tag, bool(noise)))
             continue
         if tag in _RAW:
             continue                           # its text was skipped above
@@ -160,7 +192,7 @@ def blocks(html: str) -> list[tuple[_Element, str]]:
         inline.clear()
         stack.append(_Element(tag, stack[-1], noise))
     flush()
-    return out
+    return _without_noise(out)
 
 
 def content_paths(found: list[tuple[_Element, str]]) -> set[str]:

@@ -541,6 +541,17 @@ def test_main_text_of_several_containers():
     assert html.main_text(page) == "\n".join(["Head", "Short.", part(30), part(20)])
 
 
+def test_main_text_in_layout_wrappers_and_forms():
+    body = "Words of the article, and more of them. " * 9
+    want = "Head\n" + body.strip()
+    for name in ("layout with-sidebar", "page no-sidebar", "sidebar-left-layout", "content has-social"):
+        for inner in (f"<article><h1>Head</h1><p>{body}</p></article>", f"<h1>Head</h1><p>{body}</p>"):
+            page = f'<body><div class="{name}">{inner}<div class="sidebar"><p>Latest news.</p></div></div></body>'
+            assert html.main_text(page) == want
+            assert html.main_text(f"<body><form id=aspnet>{page}<form class=search>Search</form></form>") == want
+    assert html.main_text(f"<main><div class='no-sidebar'><h1>Head</h1><p>{body}</p></div></main>") == want
+
+
 # ------------------------------------------------------ queries, pipeline
 
 def test_pipeline_stages(spark):
