@@ -49,11 +49,22 @@ def _pack(table: pa.Table, scale: int) -> pa.Table:
 _TILE_SCHEMA = "dim int, tile long, ids binary, kind string, data binary"
 
 
+def distinct_integers(rows: DataFrame, scale: int) -> DataFrame:
+    """Rows with the vector as whole doubles floor(scale * x), repeated rows
+    once; beyond 2**52 a double has no fraction."""
+    def whole(x):
+        y = x * F.lit(float(scale))
+        return F.when(F.abs(y) < float(2 ** 52), F.floor(y).cast("double")).otherwise(y)
+
+    return rows.withColumn("v", F.transform("v", whole)).dropDuplicates(["vec_id", "dim", "v"])
+
+
 def tiles(vectors: DataFrame, size: int, scale: int, name: str) -> tuple[DataFrame, int]:
-    """Packed tiles of about ``size`` rows, by a hash of the id, and their
-    number; staged, as both sides of the search read them."""
+    """Packed tiles of about ``size`` rows, by a hash of the id and vector (an
+    id of many rows is in many tiles), and their number; staged, as both
+    sides of the search read them."""
     n = max(1, -(-vectors.count() // size))
-    packed = (vectors.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
+    packed = (vectors.withColumn("tile", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)))
               .groupBy("dim", "tile").applyInArrow(lambda t: _pack(t.select(["tile", "vec_id", "v"]), scale), _TILE_SCHEMA))
     return stage(packed, name), n
 
@@ -114,9 +125,10 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", query=No
                           col(vectors, vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite).withColumn("dim", F.size("v"))
+    rows = distinct_integers(rows, scale)
     cond = query(F.col("vec_id")) if query else F.lit(True)
-    c, nc = tiles(rows, tile, scale, "topk_candidates")
-    q, nq = tiles(rows.where(cond), max(1, tile // 2), scale, "topk_queries")
+    c, nc = tiles(rows, tile, 1, "topk_candidates")
+    q, nq = tiles(rows.where(cond), max(1, tile // 2), 1, "topk_queries")
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     c = c.withColumnRenamed("tile", "ct").withColumn("qt", spread(nq))
     q = q.withColumnRenamed("tile", "qt").withColumn("ct", spread(nc))

@@ -499,6 +499,17 @@ def test_topk_against_brute_force(spark, scale):
     assert topk.search(df.limit(0), query=lambda c: c % 50 == 0).count() == 0
 
 
+def test_topk_spreads_an_id_of_many_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(7, [float(x) for x in rng.normal(size=4)], 4) for _ in range(400)]
+    df = spark.createDataFrame(rows + rows[:1] * 200, "vec_id long, v array<double>, dim int")
+    once = topk.distinct_integers(df, 256)
+    assert once.count() == len({tuple(math.floor(256 * x) for x in v) for _, v, _ in rows})
+    packed, n = topk.tiles(once, 50, 1, "topk_hot_id")
+    sizes = [len(r.ids) // 8 for r in packed.collect()]
+    assert len(sizes) == n >= 7 and max(sizes) < 120
+
+
 def test_topk_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view embeddings as select * from read_parquet('{SF001}/embeddings.parquet')")
