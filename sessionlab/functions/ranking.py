@@ -1,38 +1,41 @@
 """Global row index in a total order without a single-partition window.
 
 ``row_number() over (order by ...)`` with no partition moves every row into
-one task.  Instead: range-partition on the order key (sampled bounds),
-checkpoint (the bounds must not be re-sampled), count rows per partition
-(one row per partition reaches the driver), and add each partition's offset
-to a row number computed inside the partition.
+one task.  Instead the order key alone is range-partitioned and sorted, and
+rows are numbered where they lie: ``monotonically_increasing_id`` holds the
+partition and the place within it, so no window and no second exchange is
+needed.  The numbered keys are written once (range bounds are sampled and
+must not be taken twice); one count per partition is summed up in partition
+order and joined back, a table as long as the number of partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.session import checkpoint_dir
+from sessionlab.sources.store import stage
 
+# monotonically_increasing_id: partition number in the upper bits.
+_PLACE_BITS = 33
 
-def global_row_index(df: DataFrame, order_cols: list[str], out_col: str = "row_index",
+
+def global_row_index(keys: DataFrame, order_cols: list[str | Column], out_col: str = "row_index",
                      partitions: int | None = None) -> DataFrame:
-    """Add a 0-based index of every row in ``order_cols`` order (the order
-    key should be unique, or ties get an arbitrary but consistent order)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    counts = sorted((r["_pid"], r["cnt"]) for r in
-                    ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("cnt")).collect())
-    offsets, acc = [], 0
-    for pid, c in counts:
-        offsets.append((pid, acc))
-        acc += c
-    off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
-    w = Window.partitionBy("_pid").orderBy(*order_cols)
-    return (ranged.join(F.broadcast(off), "_pid")
-            .withColumn(out_col, F.col("_off") + F.row_number().over(w) - 1)
-            .drop("_pid", "_off"))
+    """``keys`` with a 0-based index of every row in ``order_cols`` order.
+
+    Every column of ``keys`` goes through the range exchange: pass the order
+    key and an identifier, and join the index to wide rows by the identifier.
+    Rows equal in the whole order key get consecutive indexes in no
+    particular order.  An empty frame gives an empty frame."""
+    n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stage(keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                   .withColumn("_at", F.monotonically_increasing_id()), "row_index")
+    part = F.shiftright("_at", _PLACE_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0))
+                                      - F.shiftleft(F.col("_part"), _PLACE_BITS)).alias("_shift"))
+    # one row per range partition, whatever the table holds
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(out_col, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"))
