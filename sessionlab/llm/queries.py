@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, warc
+from sessionlab.llm import decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, trie, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -113,6 +113,48 @@ def op10(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+_TRIE_SQL = """
+with t as (
+  select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  where conv_id is not null),
+o as (
+  select c, list({'d': d, 'b': b} order by turn nulls first, d) as own
+  from (select c, turn, sha256(length(role) || ':' || role || text) as d, cast(strlen(text) as bigint) as b from t) x
+  group by c),
+h as (
+  select *, xor(list_reduce(
+      list_concat([4294967295::bigint], list_transform(string_split(cast(c as varchar), ''), lambda x: ascii(x)::bigint)),
+      lambda r, x: list_reduce(list_concat([xor(r, x)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda v, z: case when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end)),
+      4294967295::bigint) % 9 as h from o),
+r as (
+  select h.c, list_concat(coalesce(b.own[1:h], []), h.own[h + 1:]) as r
+  from h left join o b on b.c = h.c - h.c % 5),
+p as (select c, r, cast(unnest(range(0, len(r) + 1)) as bigint) as depth from r),
+n as (
+  select r[1:depth] as k, depth, min(c) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where len(r) = depth), '')) as ends_sha256
+  from p group by r[1:depth], depth),
+kids as (select k[1:depth - 1] as k, depth - 1 as depth, count(*) as n_children from n where depth > 0 group by all),
+e as (
+  select n.*, coalesce(n_children, 0) as n_children,
+         case when n.depth > 0 then (n_convs - 1) * n.k[n.depth].b else 0 end as saved
+  from n left join kids on kids.k = n.k and kids.depth = n.depth),
+above as (
+  select k[1:up] as k, up as depth, count(*) filter (where n_children = 0) as n_leaves, sum(saved) as saved_tokens
+  from (select *, cast(unnest(range(0, depth + 1)) as bigint) as up from e) x group by all)
+select e.conv_id, e.depth, m.conv_id as parent_conv_id, e.n_convs, e.n_children, a.n_leaves,
+       cast(a.saved_tokens as bigint) as saved_tokens, e.ends_sha256
+from e join above a on a.k = e.k and a.depth = e.depth
+left join n m on m.depth = e.depth - 1 and m.k = e.k[1:e.depth - 1]
+"""
+
+
+@register("op12_prefix_trie", _TRIE_SQL)
+def op12(spark, sf_dir):
+    return trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
-from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, warc
+from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, trie, warc
 from sessionlab.llm.queries import ORACLE, QUERIES, tokenizer_path
 
 DOC = "doc_id long, text string, k string, score string, fp int"
@@ -606,3 +606,87 @@ def test_registered_queries(spark):
         assert out.count() == n and dict(out.dtypes)["held_out"] == "boolean"
     held = QUERIES["op4_language_id"](spark, SF001).where("held_out")
     assert {r.doc_id for r in held.collect()} == {i for i in range(n) if zlib.crc32(str(i).encode()) % 3 == 1}
+
+
+# ------------------------------------------------------- conversation trie
+
+def trie_brute(rows):
+    """The contract, word by word, over (conv_id, turn, role, text) tuples."""
+    turns = collections.defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            r, x = r or "", x or ""
+            turns[c].append((t is not None, t or 0, hashlib.sha256(f"{len(r)}:{r}{x}".encode()).hexdigest(), r, x))
+    own = {c: [(r, x) for *_, r, x in sorted(v)] for c, v in turns.items()}
+    whole = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + v[h:]
+    nodes = collections.defaultdict(list)
+    for c, v in whole.items():
+        for d in range(len(v) + 1):
+            nodes[tuple(v[:d])].append(c)
+    kids = collections.Counter(k[:-1] for k in nodes if k)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for k, m in nodes.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not kids[k]
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1].encode()) if k else 0
+    out = []
+    for k, m in nodes.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(whole[c]) == len(k))
+        out.append((min(m), len(k), min(nodes[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+CONV = "conv_id long, turn long, role string, text string, c long, depth string, node int"
+
+
+def conversations_df(spark, rows):
+    return spark.createDataFrame([(*r, 7, "x", 1) for r in rows], CONV)
+
+
+def random_conversations(rng, n, vocabulary):
+    rows = []
+    for c in rng.sample(range(-40, 400), n):
+        for t in range(rng.randrange(1, 14)):
+            rows.append((c, t, rng.choice(["user", "assistant", None]), rng.choice(vocabulary)))
+    return rows
+
+
+@pytest.mark.parametrize("bucket,last_runs", [(4, 3), (8192, 4096)])
+def test_trie_against_brute_force(spark, bucket, last_runs):
+    rng = random.Random(5)
+    rows = random_conversations(rng, 60, ["a", "", None, "é" * 3])
+    rows += [(1000 + i, t, "user", f"same {t}") for i in range(30) for t in range(4)]       # copies
+    rows += [(3, None, "user", "first"), (3, None, "user", "first"), (3, 2, "user", "tie"), (3, 2, "user", "eit")]
+    rows += [(None, 1, "user", "no id"), (7001, 0, "user", "alone")]
+    rows += [(5000, t, "user", f"long {t % 7}") for t in range(700)]
+    got = trie.trie(conversations_df(spark, rows), bucket=bucket, last_runs=last_runs)
+    assert sorted(map(tuple, got.collect()), key=str) == trie_brute(rows)
+
+
+def test_trie_of_empty_and_turnless(spark):
+    assert trie.trie(conversations_df(spark, []).limit(0)).count() == 0
+    # 3 borrows five turns at most and has none of its own after them: a member of the root only
+    turnless = next(c for c in range(1, 500) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 1)
+    rows = [(turnless, 0, "user", "gone")]
+    got = trie.trie(conversations_df(spark, rows)).collect()
+    assert [tuple(r) for r in got] == trie_brute(rows) and got[0].depth == 0
+
+
+def test_list_rank_of_a_shuffled_list(spark):
+    order = list(range(500))
+    random.Random(2).shuffle(order)
+    arcs = spark.createDataFrame(list(zip(order, order[1:] + [-1])), "a long, after long")
+    got = {r.a: r.position for r in trie.list_rank(arcs, bucket=8, last_runs=20).collect()}
+    assert got == {a: i for i, a in enumerate(order)}
+
+
+def test_trie_digest_of_many_ends(spark):
+    ends = spark.createDataFrame([(i % 3 if i % 5 else 9, i) for i in range(4000)], "node long, c long")
+    got = {r.node: r.ends_sha256 for r in trie.ends_digest(ends).collect()}
+    for node in (0, 1, 2, 9):
+        ids = [i for i in range(4000) if (i % 3 if i % 5 else 9) == node]
+        assert got[node] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
