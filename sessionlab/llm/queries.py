@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, trie, warc
+from sessionlab.llm import decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -155,6 +155,11 @@ def op12(spark, sf_dir):
     return trie.trie(_table(spark, sf_dir, "conversations"))
 
 
+@register("op13_spelling")
+def op13(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

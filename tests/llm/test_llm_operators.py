@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
-from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, substring, topk, toxicity, trie, warc
+from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
 from sessionlab.llm.queries import ORACLE, QUERIES, tokenizer_path
 
 DOC = "doc_id long, text string, k string, score string, fp int"
@@ -690,3 +690,89 @@ def test_trie_digest_of_many_ends(spark):
     for node in (0, 1, 2, 9):
         ids = [i for i in range(4000) if (i % 3 if i % 5 else 9) == node]
         assert got[node] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+# ------------------------------------------------------- spelling variants
+
+def one_edit(w, x):
+    if len(w) == len(x):
+        return sum(a != b for a, b in zip(w, x)) == 1
+    w, x = sorted((w, x), key=len)
+    return len(x) == len(w) + 1 and any(x[:i] + x[i + 1:] == w for i in range(len(x)))
+
+
+def variants_brute(rows):
+    lower = {c: c + 32 for c in range(65, 91)}
+    n = collections.Counter()
+    for doc, text in rows:
+        run = ""
+        for ch in (text or "").translate(lower) + " ":
+            if "a" <= ch <= "z" or "\u00c0" <= ch <= "\u00ff":
+                run += ch
+                continue
+            if run:
+                h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+                if h % 199 == 0:
+                    run = run[:h % len(run)] + run[h % len(run) + 1:]
+                n[run] += 1
+            run = ""
+    n = {w: k for w, k in n.items() if len(w) >= 6 and k >= 5}
+    by_length = collections.defaultdict(list)
+    for w in n:
+        by_length[len(w)].append(w)
+    form, near = {}, {}
+    for w in n:
+        x = [x for d in (-1, 0, 1) for x in by_length[len(w) + d] if one_edit(w, x)]
+        near[w] = len(x)
+        best = min(x, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best and n[best] >= 5 * n[w] else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+    return sorted((w, form[w], root(w), n[w], near[w], n[form[w]] if form[w] else None) for w in n)
+
+
+def misspelt_rows(rng):
+    letters = "abcé"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(6, 10))) for _ in range(60)]
+    rows, doc = [], 0
+    for w in words:
+        other = list(w)
+        other[rng.randrange(len(w))] = rng.choice(letters)
+        third = list(other)
+        third.insert(rng.randrange(len(w)), rng.choice(letters))
+        text = " ".join([w] * rng.choice([5, 30, 160]) + ["".join(other)] * rng.choice([0, 6, 30]) + ["".join(third)] * 5)
+        rows.append((doc, text.upper() if doc % 7 == 0 else text))
+        doc += 1
+    return rows
+
+
+@pytest.mark.parametrize("bucket_chars,file_words", [(65_536, 4_096), (300, 6), (60, 1)])
+def test_variants_against_brute_force(spark, bucket_chars, file_words):
+    rows = misspelt_rows(random.Random(3)) + EDGE + [(None, "straße straße, straße; straße straße")]
+    rows += [(200 + i, "aaaaaaa aaaaaa aaaaaaaa " + "prefix" + chr(97 + i % 26) + "x ") for i in range(160)]   # a hot half
+    got = spelling.variants(docs_df(spark, rows), bucket_chars=bucket_chars, file_words=file_words)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == variants_brute(rows)
+
+
+def test_variants_of_a_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    got = spelling.variants(docs_df(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[0]) == variants_brute(rows)
+    assert spelling.variants(docs_df(spark, []).limit(0)).count() == 0
+    assert spelling.variants(docs_df(spark, [(1, None), (2, "")])).count() == 0
+
+
+def test_near_words_in_any_zones():
+    rng = random.Random(8)
+    for size in (1, 2, 40, 150):
+        words = sorted({"".join(rng.choice("abé") for _ in range(rng.randrange(4, 9))) for _ in range(size)})
+        query, a, b = [], [], []
+        for i, w in enumerate(words):
+            cuts = sorted({0, len(w), *(rng.randrange(len(w)) for _ in range(rng.randrange(4)))})
+            for x, y in zip(cuts, cuts[1:]):
+                query.append(i), a.append(x), b.append(y)
+        query, a, b = map(np.array, (query, a, b))
+        row, near = spelling.near_words(words, query, a, b)
+        assert sorted((words[query[i]], words[j]) for i, j in zip(row, near)) \
+            == sorted((w, x) for w in words for x in words if one_edit(w, x))
