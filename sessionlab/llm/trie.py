@@ -232,11 +232,12 @@ def trie(conversations: DataFrame, id_col="conv_id", turn_col="turn", role_col="
     above = nodes.where("depth > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"),
                                             (F.col("depth") + 1).alias("depth"), *[F.col(f"p{i}").alias(f"q{i}") for i in lanes])
     deep = nodes.where("depth > 1").join(above, ["depth", *[f"q{i}" for i in lanes]])
-    top = nodes.where("depth <= 1").crossJoin(F.broadcast(root.select(F.col("conv_id").alias("root_id"))))
+    top = nodes.where("depth <= 1").join(F.broadcast(root.select(F.lit(1).cast("long").alias("depth"), F.col("conv_id").alias("root_id"))),
+                                         "depth", "left")
     keep = ["node", "conv_id", "depth", "n_convs", "bytes", *[f"p{i}" for i in lanes]]
     linked = stage(deep.select(*keep, "parent", "parent_conv_id").unionByName(top.select(
         *keep, F.when(F.col("depth") > 0, zero).alias("parent"),
-        F.when(F.col("depth") > 0, F.col("root_id")).alias("parent_conv_id"))), "trie_nodes")
+        F.col("root_id").alias("parent_conv_id"))), "trie_nodes")
 
     placed = global_row_index(linked.where("parent is not null").select("parent", "node"), ["parent", "node"], "r")
     mine = F.floor(F.col("r") / bucket)
