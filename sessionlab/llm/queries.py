@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm import decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
+from sessionlab.llm import ann, decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
 from sessionlab.llm.common import fold
 
 QUERIES: dict[str, Callable] = {}
@@ -113,6 +113,11 @@ def op10(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+@register("op11_neighbours")
+def op11(spark, sf_dir):
+    return ann.search(_table(spark, sf_dir, "embeddings"), query=lambda c: c % 50 == 0, k=5)
+
+
 _TRIE_SQL = """
 with t as (
   select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
-from sessionlab.llm import common, decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
+from sessionlab.llm import ann, common, decontam, html, langid, packing, quality, simhash, spelling, substring, topk, toxicity, trie, warc
 from sessionlab.llm.queries import ORACLE, QUERIES, tokenizer_path
 
 DOC = "doc_id long, text string, k string, score string, fp int"
@@ -776,3 +776,75 @@ def test_near_words_in_any_zones():
         row, near = spelling.near_words(words, query, a, b)
         assert sorted((words[query[i]], words[j]) for i, j in zip(row, near)) \
             == sorted((w, x) for w in words for x in words if one_edit(w, x))
+
+
+# ------------------------------------------------------ nearest neighbours
+
+def cosine(x, y):
+    x, y = np.array(x, float), np.array(y, float)
+    return (x * y).sum() / np.sqrt((x * x).sum()) / np.sqrt((y * y).sum())
+
+
+def vectors_df(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "z") for i, v in rows], "vec_id long, embedding array<float>, part int, ids string")
+
+
+def neighbours_brute(rows, queries, k=5):
+    good = {(i, tuple(v)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
+    out = {}
+    for i, v in good:
+        if i in queries:
+            for j, w in good:
+                if j != i and len(w) == len(v):
+                    out.setdefault(i, {})[j] = max(out.get(i, {}).get(j, -2), cosine(v, w))
+    return {i: sorted(s.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k] for i, s in out.items()}
+
+
+def by_query(found):
+    out = collections.defaultdict(list)
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        assert r.rank == len(out[r.query_id]) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def test_neighbours_edge_cases(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6)]) for i in range(120)]
+    rows += [(200 + i, [1.0, 2.0, 0.0, 0.0, 0.0, -0.0]) for i in range(60)]                     # a hot vector, ties
+    rows += [(300, None), (350, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (400, [float("nan")] * 6), (450, [float("inf")] * 6),
+             (500, [0.0] * 6), (None, [1.0] * 6), (550, [1.0, 2.0]), (600, [2.0, 1.0]), (650, []), (700, [3.0]),
+             (50, rows[50][1]), (750, rows[1][1]), (750, rows[2][1])]
+    got = by_query(ann.search(vectors_df(spark, rows), query=lambda c: c % 50 == 0, block=16).collect())
+    want = neighbours_brute(rows, set(range(0, 1000, 50)))
+    assert set(got) == set(want)
+    for i, w in want.items():
+        assert [v for v, _ in got[i]] == [v for v, _ in w], i
+        assert np.allclose([s for _, s in got[i]], [s for _, s in w], atol=1e-12)
+    assert ann.search(vectors_df(spark, rows).limit(0)).count() == 0
+
+
+def test_neighbours_recall_in_parts(spark):
+    rng = np.random.default_rng(1)
+    middle = rng.normal(size=(40, 16))
+    x = middle[rng.integers(0, 40, 3000)] + 0.6 * rng.normal(size=(3000, 16))
+    rows = [(i, [float(np.float32(v)) for v in r]) for i, r in enumerate(x)]
+    df = vectors_df(spark, rows)
+    router = ann.fit(ann.entries(ann.usable(df), 5), parts=16)[16]
+    assert router.parts == 16 and router.probes < 12          # the parts do save work on such data
+    got = by_query(ann.search(df, query=lambda c: c % 50 == 0, parts=16, block=100).collect())
+    want = neighbours_brute(rows, set(range(0, 3000, 50)))
+    hits = sum(len({v for v, _ in got[i]} & {v for v, _ in w}) for i, w in want.items())
+    assert set(got) == set(want) and hits >= 0.9 * 5 * len(want)
+    for i, w in got.items():
+        assert len(w) == 5 and all(abs(s - cosine(rows[i][1], rows[v][1])) < 1e-12 for v, s in w)
+
+
+def test_parts_are_balanced_and_cut_few_edges():
+    rng = np.random.default_rng(2)
+    x = ann._unit(np.repeat(rng.normal(size=(8, 10)), 100, axis=0) + 0.3 * rng.normal(size=(800, 10)))
+    graph = ann.neighbour_graph(x)
+    part = ann.balanced_parts(x, graph, 8)
+    start = ann.halved(x, 8)
+    cut = lambda p: (p[graph] != p[:, None]).mean()
+    assert np.bincount(part, minlength=8).max() <= 111 and cut(part) < cut(start)
