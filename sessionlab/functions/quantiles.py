@@ -1,43 +1,34 @@
 """Exact, distributed percentiles (linear interpolation, as numpy / pandas).
 
 ``percentile()`` keeps every value of a group in one aggregation buffer and
-``percentile_approx`` is not exact.  Here:
-
-1. values of all requested columns are stacked and reduced to
-   (column, value, count) with map-side partial aggregation, so a value held
-   by a third of all rows is one row;
-2. that table is range-partitioned on (column, value) and checkpointed
-   (range bounds come from sampling and must not be recomputed);
-3. per-partition totals (at most partitions + columns rows) give each
-   partition's offset; a running sum inside each partition gives global
-   cumulative counts;
-4. only the rows that hold a requested rank (two per probability and
-   column) reach the driver, where the interpolation is done.
+``percentile_approx`` is not exact.  Selection by brackets is both exact and
+bounded, with two scans of the data whatever its size:
+
+1. one sketch per column (``percentile_approx``, rank error at most
+   n / accuracy) gives, for each wanted rank, two values that enclose it;
+2. one aggregate counts, per column, the values between the brackets and the
+   distinct values inside them; nothing else is shuffled, and a value held by
+   a third of all rows is one row;
+3. the rows inside, a few in ``accuracy``, are narrowed by further sketches
+   until each bracket holds a bounded number, which one window then ranks.
+
+A bracket that misses its rank is found out by the exact counts and opened.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.session import checkpoint_dir
+from sessionlab.sources.store import stage
 
-
-# Largest proven row count reduced by one exact ``percentile`` aggregate.
-SINGLE_PASS_ROWS = 100_000
-
-
-def _single_pass(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)
-        aggs.append(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])).alias(f"q{i}"))
-    row = df.agg(*aggs).first()
-    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
-            for i, c in enumerate(cols)}
+ACCURACY = 10_000          # of the sketches
+MAX_INSIDE = 100_000       # distinct values of one bracket that a window ranks
+GRID = 256                 # cells a bracket above that size is cut into
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -47,78 +38,178 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, hi, pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    partitions: int | None = None,
-                    known_rows: int | None = None) -> dict[str, list[float | None]]:
-    """{column: [quantile(p) for p in probs]} over non-null, non-NaN values.
-
-    ``known_rows``: a proven row count of ``df`` (a fitted dimension table);
-    at most ``SINGLE_PASS_ROWS`` rows are reduced by one ``percentile``
-    aggregate, whose buffer then has a checked bound."""
+def _value(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Disjoint closed intervals that cover ``brackets``."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _cell(x: Column, brackets: list[tuple[float, float]]) -> Column:
+    """2 j below bracket j, 2 j + 1 inside it; null above the last one."""
+    e = None
+    for j, (lo, hi) in enumerate(brackets):
+        e = F.when(x < lo, 2 * j) if e is None else e.when(x < lo, 2 * j)
+        e = e.when(x <= hi, 2 * j + 1)
+    return e
+
+
+def _narrowed(inside: DataFrame, wanted: dict[tuple[int, int], list[int]], accuracy: int) -> tuple[DataFrame, dict]:
+    """Keep, of every bracket, the grid cells that hold a wanted rank."""
+    sketch = F.percentile_approx("x", [i / GRID for i in range(1, GRID)], accuracy)
+    cuts = {(r["c"], r["b"]): sorted(set(r["cuts"])) for r in inside.groupBy("c", "b").agg(sketch.alias("cuts")).collect()}
+    spark = inside.sparkSession
+    table = spark.createDataFrame([(c, b, v) for (c, b), v in cuts.items()], "c int, b int, cuts array<double>")
+    # one row per wanted bracket; the odd cells are the cuts themselves, so that
+    # a value of many rows is a cell of its own
+    under = F.size(F.filter("cuts", lambda v: v < F.col("x")))
+    celled = inside.join(F.broadcast(table), ["c", "b"]).withColumn(
+        "g", 2 * under + F.when(F.array_contains("cuts", F.col("x")), 1).otherwise(0))
+    counts: dict[tuple[int, int], list] = {}
+    for r in celled.groupBy("c", "b", "g").agg(F.sum("cnt").alias("t")).collect():
+        counts.setdefault((r["c"], r["b"]), []).append((r["g"], r["t"]))
+    keep, left = [], {}
+    for (c, b), ranks in wanted.items():
+        cells = sorted(counts[c, b])
+        ends, acc = [], 0
+        for _, t in cells:
+            acc += t
+            ends.append(acc)
+        for rank in ranks:
+            i = bisect_right(ends, rank)
+            new = b * (2 * GRID + 2) + cells[i][0]
+            if (c, new) not in left:
+                keep.append((c, b, cells[i][0], new))
+            left.setdefault((c, new), []).append((rank, rank - (ends[i] - cells[i][1])))
+    chosen = spark.createDataFrame(keep, "c int, b int, g int, nb int")
+    out = celled.join(F.broadcast(chosen), ["c", "b", "g"]).select("c", F.col("nb").alias("b"), "x", "cnt")
+    return stage(out, "quantiles"), left
+
+
+def select_ranks(df: DataFrame, columns: dict[str, Column], ranks, shares: list[float], accuracy: int = ACCURACY,
+                 max_inside: int = MAX_INSIDE) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
+    """Count of non-null values of every column, and the values at the
+    0-based ranks ``ranks(n)`` of its ascending order.  ``shares``: about where
+    the ranks lie (rank / n); a wrong share costs time, not the result."""
     spark = df.sparkSession
     checkpoint_dir(spark)
+    names = list(columns)
+    rows = df.select(*[columns[c].alias(f"x{i}") for i, c in enumerate(names)])
+    slack = 2 / accuracy
+
+    # scan 1: counts and sketches
+    grid = sorted({min(1.0, max(0.0, p + d)) for p in shares for d in (-slack, slack)})
+    aggs = []
+    for i in range(len(names)):
+        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.percentile_approx(f"x{i}", grid, accuracy).alias(f"s{i}")]
+    first = rows.agg(*aggs).first()
+    count = {c: first[f"n{i}"] for i, c in enumerate(names)}
+    want = {i: sorted(set(ranks(count[c]))) for i, c in enumerate(names) if count[c]}
+    result: dict[str, dict[int, float]] = {c: {} for c in names}
+    brackets: dict[int, list[tuple[float, float]]] = {}
+    for i, targets in want.items():
+        n, at = count[names[i]], dict(zip(grid, first[f"s{i}"]))
+        pairs = []
+        for r in targets:
+            share = r / max(1, n - 1)
+            lower, upper = [p for p in grid if p <= share - slack / 2], [p for p in grid if p >= share + slack / 2]
+            pairs.append((at[lower[-1]] if lower else -math.inf, at[upper[0]] if upper else math.inf))
+        brackets[i] = _merged(pairs)
+
+    while want:
+        # scan 2: values inside the brackets by value, all others by their cell
+        structs = []
+        for i in want:
+            cell = _cell(F.col(f"x{i}"), brackets[i])
+            structs.append(F.struct(F.lit(i).alias("c"), cell.alias("b"), F.when(cell % 2 == 1, F.col(f"x{i}")).alias("x")))
+        cells = stage(rows.select(F.explode(F.array(*structs)).alias("s")).select("s.*").where("b is not null")
+                      .groupBy("c", "b", "x").agg(F.count(F.lit(1)).alias("cnt")), "quantiles")
+        held: dict[int, list] = {i: [] for i in want}
+        for r in cells.groupBy("c", "b").agg(F.sum("cnt").alias("t"), F.count(F.lit(1)).alias("d")).collect():
+            held[r["c"]].append((r["b"], r["t"], r["d"]))
+        wanted: dict[tuple[int, int], list] = {}
+        missed = {}
+        for i, targets in want.items():
+            acc, spans = 0, []
+            for b, t, d in sorted(held[i]):
+                spans.append((acc, acc + t, b, d))
+                acc += t
+            for r in targets:
+                hit = next(((b, a, d) for a, z, b, d in spans if a <= r < z and b % 2), None)
+                if hit is None:
+                    missed.setdefault(i, []).append(r)
+                else:
+                    wanted.setdefault((i, hit[0]), []).append((r, r - hit[1], hit[2]))
+        _rank_inside(cells, wanted, names, result, accuracy, max_inside)
+        want = missed
+        brackets = {i: [(-math.inf, math.inf)] for i in missed}
+    return count, result
+
+
+def _rank_inside(cells: DataFrame, wanted: dict, names: list[str], result: dict, accuracy: int, max_inside: int) -> None:
+    if not wanted:
+        return
+    spark = cells.sparkSession
+    places = spark.createDataFrame(list(wanted), "c int, b int")
+    inside = cells.join(F.broadcast(places), ["c", "b"])
+    # (bracket) -> [(wanted rank, rank inside the bracket)]
+    todo = {k: [(r, rel) for r, rel, _ in v] for k, v in wanted.items()}
+    size = max(d for v in wanted.values() for _, _, d in v)
+    while size > max_inside:
+        asked = {k: [rel for _, rel in v] for k, v in todo.items()}
+        inside, left = _narrowed(inside, asked, accuracy)
+        names_of = {(k, rel): r for k, v in todo.items() for r, rel in v}
+        todo = {}
+        for (c, nb), pairs in left.items():
+            old = (c, nb // (2 * GRID + 2))
+            todo[c, nb] = [(names_of[old, rel], new) for rel, new in pairs]
+        smaller = inside.groupBy("c", "b").count().agg(F.max("count")).first()[0]
+        # brackets get new numbers, so that they stay small
+        numbers = {k: j for j, k in enumerate(todo)}
+        renamed = spark.createDataFrame([(c, b, j) for (c, b), j in numbers.items()], "c int, b int, j int")
+        inside = inside.join(F.broadcast(renamed), ["c", "b"]).select("c", F.col("j").alias("b"), "x", "cnt")
+        todo = {(c, numbers[c, b]): v for (c, b), v in todo.items()}
+        size = smaller
+    rows = [(c, b, r, rel) for (c, b), v in todo.items() for r, rel in v]
+    asked = spark.createDataFrame(rows, "c int, b int, r long, rel long")
+    upto = Window.partitionBy("c", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.withColumn("upto", F.sum("cnt").over(upto))
+    hit = ranked.join(F.broadcast(asked), ["c", "b"]).where("rel < upto and rel >= upto - cnt").select("c", "r", "x")
+    for r in hit.collect():
+        result[names[r["c"]]][r["r"]] = r["x"]
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = ACCURACY,
+                    max_inside: int = MAX_INSIDE) -> dict[str, list[float | None]]:
+    """{column: [quantile(p) for p in probs]} over non-null, non-NaN values;
+    None for a column without any."""
     if not cols:
         return {}
-    if known_rows is not None and known_rows <= SINGLE_PASS_ROWS:
-        return _single_pass(df, cols, probs)
-    structs = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)]
-    stacked = (df.select(F.explode(F.array(*structs)).alias("s")).select("s.c", "s.x")
-               .filter(F.col("x").isNotNull() & ~F.isnan("x")))
-    vc = stacked.groupBy("c", "x").agg(F.count(F.lit(1)).alias("cnt"))
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (vc.repartitionByRange(nparts, "c", "x")
-              .withColumn("pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-
-    totals = ranged.groupBy("pid", "c").agg(F.sum("cnt").alias("t")).collect()
-    per_col: dict[int, list[tuple[int, int]]] = {}
-    for r in totals:
-        per_col.setdefault(r["c"], []).append((r["pid"], r["t"]))
-    offsets, n_of, wanted = [], {}, {}
-    for c, parts in per_col.items():
-        acc = 0
-        for pid, t in sorted(parts):
-            offsets.append((pid, c, acc))
-            acc += t
-        n_of[c] = acc
-        ranks = set()
-        for p in probs:
-            lo, hi, _ = _ranks(acc, p)
-            ranks.update((lo, hi))
-        wanted[c] = sorted(ranks)
-    result = {c: [None] * len(probs) for c in cols}
-    if not offsets:
-        return result
-
-    # offsets: at most (partitions + columns) rows, broadcast by construction
-    off_df = spark.createDataFrame(offsets, "pid int, c int, off long")
-    w = Window.partitionBy("pid", "c").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (ranged.join(F.broadcast(off_df), ["pid", "c"])
-           .withColumn("cum", F.col("off") + F.sum("cnt").over(w)))
-    want_map = F.create_map(*[v for c, rs in wanted.items()
-                              for v in (F.lit(c), F.array(*[F.lit(r) for r in rs]))])
-    hit = cum.filter(F.exists(F.element_at(want_map, F.col("c")),
-                              lambda r: (r >= F.col("cum") - F.col("cnt")) & (r < F.col("cum"))))
-    rows = hit.select("c", "x", "cnt", "cum").collect()
-
-    for i, c in enumerate(cols):
-        if i not in n_of:
-            continue
-        mine = sorted((r["cum"] - r["cnt"], r["cum"], r["x"]) for r in rows if r["c"] == i)
-
-        def value_at(rank: int) -> float:
-            for start, end, x in mine:
-                if start <= rank < end:
-                    return x
-            raise RuntimeError("rank not found")  # pragma: no cover
-
-        out = []
+
+    def ranks(n: int) -> list[int]:
+        return [r for p in probs for r in _ranks(n, p)[:2]]
+
+    count, at = select_ranks(df, {c: _value(c) for c in cols}, ranks, probs, accuracy, max_inside)
+    out: dict[str, list[float | None]] = {}
+    for c in cols:
+        out[c] = []
         for p in probs:
-            lo, hi, frac = _ranks(n_of[i], p)
-            a, b = value_at(lo), value_at(hi)
-            out.append(a + (b - a) * frac)
-        result[c] = out
-    return result
+            if not count[c]:
+                out[c].append(None)
+                continue
+            lo, hi, frac = _ranks(count[c], p)
+            a, b = at[c][lo], at[c][hi]
+            out[c].append(a + (b - a) * frac if frac else a)
+    return out
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],

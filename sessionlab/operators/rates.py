@@ -44,10 +44,9 @@ def product_rates(clicks: DataFrame) -> DataFrame:
                     F.try_divide(F.col("n_buy").cast("double"), F.col("n_sessions")).alias("buy_rate"))
 
 
-def rate_thresholds(cat_rates: DataFrame, known_rows: int | None = None) -> tuple[float | None, float | None]:
-    """A4 over the fitted category table (``known_rows``: its checked size)."""
-    q = exact_quantiles(cat_rates, ["buy_rate"], [HIGH_RATE_PERCENTILE, ULTRA_HIGH_RATE_PERCENTILE],
-                        known_rows=known_rows)
+def rate_thresholds(cat_rates: DataFrame) -> tuple[float | None, float | None]:
+    """A4 over the fitted category table."""
+    q = exact_quantiles(cat_rates, ["buy_rate"], [HIGH_RATE_PERCENTILE, ULTRA_HIGH_RATE_PERCENTILE])
     return q["buy_rate"][0], q["buy_rate"][1]
 
 
@@ -106,5 +105,5 @@ def fit_rates(train_clicks: DataFrame, with_page_values: bool = False,
     rows = {"category_rates": cr.count(), "product_rates": pr.count()}
     if pv is not None:
         rows["page_values"] = pv.count()
-    hi, uhi = rate_thresholds(cr, known_rows=rows["category_rates"])
+    hi, uhi = rate_thresholds(cr)
     return RateModel(Lookups(cr, pr, pv, max_broadcast_rows, rows), hi, uhi)

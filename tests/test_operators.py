@@ -52,7 +52,7 @@ def test_exact_quantiles_match_numpy(spark):
     c = np.full(2000, 4.25)                                               # constant column
     df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)], "a double, b double, c double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]
-    got = exact_quantiles(df, ["a", "b", "c"], probs, partitions=7)
+    got = exact_quantiles(df, ["a", "b", "c"], probs)
     for name, arr in (("a", a), ("b", b), ("c", c)):
         assert got[name] == pytest.approx(list(np.percentile(arr, [p * 100 for p in probs])), abs=1e-12)
 
@@ -88,14 +88,29 @@ def test_split_lag_under_dst_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_single_pass_quantiles_equal_distributed(spark):
+@pytest.mark.parametrize("accuracy,max_inside", [(10_000, 100_000), (10, 100_000), (20, 40), (100, 3)])
+def test_selection_narrows_and_opens_brackets(spark, accuracy, max_inside):
     rnd = np.random.default_rng(5)
-    vals = [(float(x),) for x in np.concatenate([rnd.normal(size=300), np.zeros(50)])] + [(None,), (float("nan"),)]
-    df = spark.createDataFrame(vals, "x double")
-    probs = [0.1, 0.5, 0.75, 0.9]
-    a = exact_quantiles(df, ["x"], probs)["x"]
-    b = exact_quantiles(df, ["x"], probs, known_rows=len(vals))["x"]
-    assert a == pytest.approx(b, abs=1e-12)
+    a = np.concatenate([rnd.normal(size=2500), np.zeros(1500), np.full(900, 1.5), [np.inf, -np.inf]])
+    b = rnd.integers(-5, 2000, size=len(a)).astype(float)
+    rows = [(float(x), float(y), None) for x, y in zip(a, b)] + [(None, float("nan"), None)] * 7
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    probs = [0.01, 0.25, 0.5, 0.501, 0.75, 0.9]
+    got = exact_quantiles(df, ["a", "b", "c"], probs, accuracy, max_inside)
+    for name, arr in (("a", a), ("b", b)):
+        assert got[name] == pytest.approx(list(np.percentile(arr, [p * 100 for p in probs])), abs=1e-12)
+    assert got["c"] == [None] * len(probs)
+
+
+def test_selection_shuffles_only_brackets(spark):
+    """Two scans; outside the brackets one row per cell and task is shuffled."""
+    from sessionlab.functions.quantiles import _cell, _merged
+    assert _merged([(3, 5), (1, 2), (4, 9), (2, 2)]) == [(1, 2), (3, 9)]
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("x"))
+    cell = _cell(F.col("x"), [(99_000.0, 101_000.0)])
+    inside = df.select(cell.alias("b"), F.when(cell % 2 == 1, F.col("x")).alias("x")).where("b is not null")
+    assert inside.groupBy("b", "x").count().count() == 2001 + 1
+    assert exact_quantiles(df, ["x"], [0.5])["x"] == [99_999.5]
 
 
 @pytest.mark.parametrize("bucket", [60.0, 3600.0, 43200.0, 86400.0 * 3])
