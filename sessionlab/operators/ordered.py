@@ -3,11 +3,17 @@
 A window ``partitionBy(key).orderBy(time)`` sorts a whole group in one task;
 if one key holds a third of all rows that task holds a third of the data.
 Here every group is split into monotone time buckets: windows run on
-``(key, bucket)``, and the few values that cross a bucket edge (last rows,
+``(key, bucket)``, and the few values that cross a bucket edge (last values,
 counts, sums per bucket) come from a per-bucket summary table whose size is
-bounded by the number of non-empty buckets, not by the number of rows.  The
-summary goes through a small window on ``key`` and is joined back on
-``(key, bucket)``, which keeps the big side's partitioning.
+bounded by the number of non-empty buckets, not by the number of rows.
+
+A per-group result needs no row again: ``operators.sessions.main_stats`` merges
+the summaries themselves.  Where rows must carry the values (``split_lag``,
+``split_running_sum``), the summary goes through a small window on ``key`` and
+is joined back by plain equality on ``(key, bucket)``: the rows keep the
+partitioning that their window already has.  Rows without a time share one
+last bucket, and a key is compared inside a struct, so neither a null time nor
+a null key needs a null-safe join, which would shuffle the rows again.
 """
 
 from __future__ import annotations
@@ -19,34 +25,29 @@ from sessionlab.functions.exprs import epoch_micros, is_ntz, time_bucket
 
 BUCKET = "_bucket"
 LRN = "_lrn"
+KEY = "_key"
 
 # Default split width: one hour of event time per window partition.
 DEFAULT_BUCKET_SECONDS = 3600.0
 
+# Bucket of the rows without a time: after every other.
+NO_TIME_BUCKET = 2 ** 63 - 1
+
 
 def add_bucket(df: DataFrame, time_col: str, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     if BUCKET in df.columns:
         return df
-    return df.withColumn(BUCKET, time_bucket(time_col, bucket_seconds, is_ntz(df, time_col)))
+    bucket = time_bucket(time_col, bucket_seconds, is_ntz(df, time_col))
+    return df.withColumn(BUCKET, F.coalesce(bucket, F.lit(NO_TIME_BUCKET)))
 
 
-def _local_window(key: str, order: list):
+def local_window(key: str, order: list):
     """Window on (key, bucket); string order columns sort nulls last, like
     the buckets (a row without a time comes after every timed row)."""
     cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     return Window.partitionBy(key, BUCKET).orderBy(*cols)
 
 
-def _attach(local: DataFrame, per_bucket: DataFrame, key: str) -> DataFrame:
-    """Left join of the per-bucket values on (key, bucket), null-safe: rows
-    with a null time (bucket) keep their values, and the preserved side gets
-    no inferred filters, so its plan stays identical to the other consumers
-    of the same shuffle."""
-    r = per_bucket.withColumnRenamed(key, "_rk").withColumnRenamed(BUCKET, "_rb")
-    cond = local[key].eqNullSafe(r["_rk"]) & local[BUCKET].eqNullSafe(r["_rb"])
-    return local.join(r, cond, "left").drop("_rk", "_rb")
-
-
 def split_lag(df: DataFrame, key: str, order: list[str], lags: dict[str, tuple[str, int]],
               rn_col: str | None = None, time_col: str | None = None,
               bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -55,37 +56,36 @@ def split_lag(df: DataFrame, key: str, order: list[str], lags: dict[str, tuple[s
     ``lags`` maps output name -> (source column, k) with k in {1, 2}.  With
     ``rn_col`` also adds the 1-based ``row_number()`` over the same order.
     Result equals the plain window; the work of one key is spread over its
-    time buckets.
+    time buckets.  ``order`` holds column names.
     """
     time_col = time_col or order[0]
-    df = add_bucket(df, time_col, bucket_seconds)
-    wl = _local_window(key, order)
+    keyed = add_bucket(df, time_col, bucket_seconds).withColumn(KEY, F.struct(key))
+    wl = local_window(KEY, order)
     srcs = sorted({src for src, _ in lags.values()})
-    local = df.withColumn(LRN, F.row_number().over(wl))
-    for s in srcs:
-        local = local.withColumn(f"_l1_{s}", F.lag(s, 1).over(wl)).withColumn(f"_l2_{s}", F.lag(s, 2).over(wl))
-
-    # One row per (key, bucket): row count and the bucket's whole last row
-    # (with its local lags, i.e. the row before it).  Carrying every input
-    # column keeps this branch's scan and exchange identical to the main
-    # branch's, so Spark reuses one shuffle instead of shuffling a pruned copy.
-    last_row = F.struct(*[F.col(c) for c in local.columns if c not in (key, BUCKET)])
-    tails = (local.groupBy(key, BUCKET)
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.max_by(last_row, F.col(LRN)).alias("_last"))
-             .select(key, BUCKET, "_cnt",
-                     *[F.col(f"_last.{s}").alias(f"_last_{s}") for s in srcs],
-                     *[F.col(f"_last._l1_{s}").alias(f"_last2_{s}") for s in srcs]))
-
-    wb = Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_last())
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn(LRN, F.row_number().over(wl))
+        for s in srcs:
+            rows = rows.withColumn(f"_l1_{s}", F.lag(s, 1).over(wl)).withColumn(f"_l2_{s}", F.lag(s, 2).over(wl))
+        return rows
+
+    # One row per (key, bucket): its row count and the sources' last two values.
+    narrow = keyed.select(KEY, BUCKET, *dict.fromkeys([*order, *srcs]))
+    tails = numbered(narrow).groupBy(KEY, BUCKET).agg(
+        F.max(LRN).alias("_cnt"),
+        F.max_by(F.struct(*[F.struct(F.col(s).alias("a"), F.col(f"_l1_{s}").alias("b")).alias(s) for s in srcs])
+                 if srcs else F.lit(0), F.col(LRN)).alias("_last"))
+
+    wb = Window.partitionBy(KEY).orderBy(BUCKET)
     prior = wb.rowsBetween(Window.unboundedPreceding, -1)
-    bcols = [F.col(key), F.col(BUCKET), F.coalesce(F.sum("_cnt").over(prior), F.lit(0)).alias("_offset")]
+    bcols = [F.col(KEY), F.col(BUCKET), F.coalesce(F.sum("_cnt").over(prior), F.lit(0)).alias("_offset")]
     for s in srcs:
-        bcols.append(F.lag(f"_last_{s}", 1).over(wb).alias(f"_p1_{s}"))
-        bcols.append(F.when(F.lag("_cnt", 1).over(wb) >= 2, F.lag(f"_last2_{s}", 1).over(wb))
-                     .otherwise(F.lag(f"_last_{s}", 2).over(wb)).alias(f"_p2_{s}"))
-    bounds = tails.select(*bcols)
+        last, before = F.col("_last")[s]["a"], F.col("_last")[s]["b"]
+        bcols.append(F.lag(last, 1).over(wb).alias(f"_p1_{s}"))
+        bcols.append(F.when(F.lag("_cnt", 1).over(wb) >= 2, F.lag(before, 1).over(wb))
+                     .otherwise(F.lag(last, 2).over(wb)).alias(f"_p2_{s}"))
+    j = numbered(keyed).join(tails.select(*bcols), [KEY, BUCKET])
 
-    j = _attach(local, bounds, key)
     out = [F.col(c) for c in df.columns]
     for name, (s, k) in lags.items():
         if k == 1:
@@ -108,13 +108,12 @@ def split_running_sum(df: DataFrame, key: str, order: list[str], value_col: str,
     """``sum(value) over (partition by key order by order rows unbounded
     preceding)`` computed per bucket plus a prefix over bucket totals."""
     time_col = time_col or order[0]
-    df = add_bucket(df, time_col, bucket_seconds)
-    wl = _local_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_lsum", F.sum(value_col).over(wl))
-    totals = local.groupBy(key, BUCKET).agg(F.sum(value_col).alias("_btot"))
-    wb = Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(key, BUCKET, F.coalesce(F.sum("_btot").over(wb), F.lit(0)).alias("_bpre"))
-    j = _attach(local, prefix, key)
+    keyed = add_bucket(df, time_col, bucket_seconds).withColumn(KEY, F.struct(key))
+    wl = local_window(KEY, order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = keyed.groupBy(KEY, BUCKET).agg(F.sum(value_col).alias("_btot"))
+    wb = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(KEY, BUCKET, F.coalesce(F.sum("_btot").over(wb), F.lit(0)).alias("_bpre"))
+    j = keyed.withColumn("_lsum", F.sum(value_col).over(wl)).join(prefix, [KEY, BUCKET])
     return j.select(*[F.col(c) for c in df.columns], (F.col("_bpre") + F.col("_lsum")).alias(out_col))
 
 
@@ -150,4 +149,6 @@ def gap_sessions(df: DataFrame, key: str, time_col: str, gap_seconds: float, sid
         totals = runs.groupBy(key, sid_col).agg(F.sum("_bsum").alias(sum_out or f"{sum_col}_total"))
         runs = runs.join(totals, [key, sid_col], "inner")
         keep.append(sum_out or f"{sum_col}_total")
-    return _attach(df, runs.select(*keep), key)
+    r = runs.select(*keep).withColumnRenamed(key, "_rk").withColumnRenamed(BUCKET, "_rb")
+    # events are shuffled by this join alone; a null key is a key of its own
+    return df.join(r, df[key].eqNullSafe(r["_rk"]) & (df[BUCKET] == r["_rb"]), "left").drop("_rk", "_rb")

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.functions.quantiles import exact_quantiles, quantiles
+from sessionlab.functions.exprs import epoch_micros
+from sessionlab.functions.quantiles import exact_quantiles, quantiles, select_ranks
+from sessionlab.functions.ranking import global_row_index
 from sessionlab.schema import SESSION, TARGET, TIME, tie_columns
+from sessionlab.sources.store import stage
 
 # Default validation split date of the test data, fill token.
 DEFAULT_SPLIT_DATE = "2024-01-24"
@@ -156,10 +159,29 @@ def session_starts(clicks: DataFrame) -> DataFrame:
     return clicks.filter(F.col(SESSION).isNotNull()).groupBy(SESSION).agg(F.min(order).alias("start"))
 
 
+def first_session_starts(clicks: DataFrame, n: int) -> DataFrame:
+    """K3: (user_session, start) of the first ``n`` sessions in time order, ties
+    by the tie columns and the session id; a start without a time comes first.
+
+    The start time of the n-th session is found by selection
+    (``functions.quantiles``) over the session starts, which are written once;
+    the rest is a filter.  Only sessions that start exactly then are ordered."""
+    starts = stage(session_starts(clicks), "session_starts")
+    total = starts.count()
+    if n >= total or n <= 0:
+        return starts if n > 0 else starts.limit(0)
+    at = F.col(f"start.{TIME}")
+    micros = epoch_micros(at, isinstance(starts.schema["start"].dataType[TIME].dataType, T.TimestampNTZType))
+    micros = F.coalesce(micros.cast("double"), F.lit(float("-inf")))
+    cut = select_ranks(starts, {"t": micros}, lambda _: [n - 1], [n / total])[1]["t"][n - 1]
+    before = starts.where(micros < cut)
+    ties = global_row_index(starts.where(micros == cut), ["start", SESSION])
+    return before.unionByName(ties.where(F.col("row_index") < n - before.count()).drop("row_index"))
+
+
 def first_sessions(clicks: DataFrame, n: int) -> DataFrame:
-    """K3: the first ``n`` sessions in time order (ties by session id).
-    A top-n: each task keeps its own n best, the driver merges n per task."""
-    return session_starts(clicks).orderBy("start", SESSION).limit(n).select(SESSION)
+    """K3: the ids of the first ``n`` sessions."""
+    return first_session_starts(clicks, n).select(SESSION)
 
 
 def sample_sessions(clicks: DataFrame, n: int, max_broadcast_rows: int = 2_000_000) -> DataFrame:

@@ -1,24 +1,26 @@
 """Per-session statistics: the one shared pass behind every feature family.
 
-The reference loops over sessions once per family and split.  Here the
-click log is enriched once with ordered-neighbour columns (previous event
-type / category / time, position in session) and reduced in one
-``groupBy(user_session)`` with partial (map-side) aggregation.  Distinct
-products and categories go through a two-step aggregate, (session, key) then
-session, so no set of keys is ever collected into one row, and the learned
-rate tables are joined on the (session, key) rows.
+The reference loops over sessions once per family and split.  Here the click
+rows are exchanged once, on (session, time bucket); each bucket is reduced to
+a mergeable state (counts, sums, its first two and last two events), and the
+states of a session, a small table, are merged in bucket order: what happens
+between two buckets follows from the states beside the edge.  No click row is
+joined back, and a session that holds a third of all rows is spread over its
+buckets.  Distinct products and categories go through a two-step aggregate,
+(session, key) then session, so no set of keys is ever collected into one row,
+and the learned rate tables are joined on the (session, key) rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import is_ntz, seconds_between
 from sessionlab.operators.lookup import lookup_join
-from sessionlab.operators.ordered import BUCKET, DEFAULT_BUCKET_SECONDS, split_lag
+from sessionlab.operators.ordered import BUCKET, DEFAULT_BUCKET_SECONDS, LRN, add_bucket, local_window
 from sessionlab.schema import ADD_CART, BUY, REMOVE_CART, SESSION, TARGET, TIME, VIEW, tie_columns
 
 # Thresholds of the timing flags, in seconds (fixed values).
@@ -26,61 +28,118 @@ LONG_PAUSE_SECONDS = 300
 QUICK_ACTION_SECONDS = 10
 
 
-def enrich(clicks: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Click log + rn, prev_type, prev2_type, prev_cat, prev_time, gap_s.
+def _is(c: str | Column, v: str):
+    return (F.col(c) if isinstance(c, str) else c) == F.lit(v)
+
+
+# Adjacent steps that are counted (fixed values): name -> event types in order.
+STEPS = {"n_addcart_buy": (ADD_CART, BUY), "n_view_buy": (VIEW, BUY), "n_addcart_remove": (ADD_CART, REMOVE_CART),
+         "n_view_addcart_buy": (VIEW, ADD_CART, BUY)}
+
+
+def _step(types: tuple[str, ...], *columns) -> Column:
+    e = F.lit(True)
+    for c, v in zip(columns, types):
+        e = e & _is(c, v)
+    return e
+
+
+def _changed(before, now) -> Column:
+    """A missing category equals nothing (as NaN != NaN)."""
+    return ~F.coalesce(before == now, F.lit(False))
+
+
+def bucket_states(clicks: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """One mergeable state per (session, bucket).
 
     Order inside a session: event_time (nulls last), then the tie columns.
     Rows without a session are dropped, as a pandas groupby drops null keys.
     """
-    clicks = clicks.filter(F.col(SESSION).isNotNull())
-    order = [F.col(TIME).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_columns(clicks)]
-    e = split_lag(clicks, SESSION, order,
-                  {"prev_type": ("event_type", 1), "prev2_type": ("event_type", 2),
-                   "prev_cat": ("category_id", 1), "prev_time": (TIME, 1)},
-                  rn_col="rn", time_col=TIME, bucket_seconds=bucket_seconds)
-    return e.withColumn("gap_s", seconds_between("prev_time", TIME, is_ntz(clicks, TIME)))
+    clicks = add_bucket(clicks.filter(F.col(SESSION).isNotNull()), TIME, bucket_seconds)
+    w = local_window(SESSION, [TIME, *tie_columns(clicks)])
+    rows = clicks.withColumns({
+        LRN: F.row_number().over(w), "prev_type": F.lag("event_type", 1).over(w),
+        "prev2_type": F.lag("event_type", 2).over(w), "prev_cat": F.lag("category_id", 1).over(w),
+        "prev_time": F.lag(TIME, 1).over(w)})
+    rows = rows.withColumn("gap_s", seconds_between("prev_time", TIME, is_ntz(clicks, TIME)))
+    gap, at = F.col("gap_s"), F.col(LRN)
+    event = F.struct(F.col("event_type").alias("type"), F.col("category_id").alias("cat"), F.col(TIME).alias("time"))
+    aggs = [
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(_is("event_type", v)).alias(c) for c, v in
+          (("n_buy", BUY), ("n_addcart", ADD_CART), ("n_view", VIEW), ("n_remove", REMOVE_CART))],
+        F.min(TIME).alias("t_first"), F.max(TIME).alias("t_last"),
+        F.min_by(event, at).alias("first"), F.max_by(event, at).alias("last"),
+        F.max(F.when(at == 2, F.col("event_type"))).alias("second_type"),
+        F.max_by("prev_type", at).alias("last_but_one_type"),
+        F.min_by("user_id", at).alias("user_id"),
+        F.count(gap).alias("gaps"), F.avg(gap).alias("gap_mean"), F.var_pop(gap).alias("gap_var"), F.max(gap).alias("gap_max"),
+        F.count_if(gap > LONG_PAUSE_SECONDS).alias("n_long_gap"), F.count_if(gap < QUICK_ACTION_SECONDS).alias("n_quick_gap"),
+        *[F.count_if(_step(t, *(["prev_type", "event_type"] if len(t) == 2 else ["prev2_type", "prev_type", "event_type"])))
+          .alias(c) for c, t in STEPS.items()],
+        F.count_if((at > 1) & _changed(F.col("prev_cat"), F.col("category_id"))).alias("n_category_changes"),
+        F.min(F.when(_is("event_type", BUY), at)).alias("first_buy"),
+        F.count("product_id").alias("n_product_events"),
+    ]
+    if TARGET in clicks.columns:
+        aggs.append(F.min_by(TARGET, at).alias(TARGET))
+    return rows.groupBy(SESSION, BUCKET).agg(*aggs)
 
 
-def _is(c: str, v: str):
-    return F.col(c) == F.lit(v)
+def merged_states(states: DataFrame, ntz: bool) -> DataFrame:
+    """One row per session from its bucket states: sums and extremes of the
+    states, and the steps, changes and gaps between neighbouring buckets."""
+    w = Window.partitionBy(SESSION).orderBy(BUCKET)
+    whole = Window.partitionBy(SESSION)
+    before = lambda c, k=1: F.lag(c, k).over(w)
+    s = states.withColumns({
+        "offset": F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "edge": before("n").isNotNull(), "p": before("last"),
+        "pp_type": F.when(before("n") >= 2, before("last_but_one_type")).otherwise(before(F.col("last.type"), 2))})
+    s = s.withColumn("edge_gap", seconds_between("p.time", "first.time", ntz))
+    gap = F.col("edge_gap")
+    # mean of all gaps of the session, then squared deviations from it
+    total = F.sum(F.coalesce(F.col("gap_mean") * F.col("gaps"), F.lit(0.0)) + F.coalesce(gap, F.lit(0.0))).over(whole)
+    many = F.sum(F.col("gaps") + F.when(gap.isNotNull(), 1).otherwise(0)).over(whole)
+    s = s.withColumns({"all_gaps": many, "mean": F.try_divide(total, many)})
+    inside = F.coalesce(F.col("gaps") * (F.col("gap_var") + (F.col("gap_mean") - F.col("mean")) ** 2), F.lit(0.0))
+    square = inside + F.coalesce((gap - F.col("mean")) ** 2, F.lit(0.0))
 
+    def plus(c: str, more) -> Column:
+        return F.sum(F.col(c) + F.coalesce(more.cast("long"), F.lit(0))).alias(c)
 
-def main_stats(enriched: DataFrame) -> DataFrame:
-    """One row per session with every order-dependent statistic."""
-    t = F.col("event_type")
-    gap = F.col("gap_s")
+    p, f = F.col("p.type"), F.col("first.type")
+    steps = []
+    for c, t in STEPS.items():
+        if len(t) == 2:
+            steps.append(plus(c, _step(t, p, f)))
+        else:
+            over = F.coalesce(_step(t, F.col("pp_type"), p, f).cast("long"), F.lit(0)) \
+                + F.coalesce(_step(t, p, f, F.col("second_type")).cast("long"), F.lit(0))
+            steps.append(plus(c, over))
+    first = lambda c: F.min_by(c, F.col(BUCKET))
     aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(_is("event_type", BUY)).alias("n_buy"),
-        F.count_if(_is("event_type", ADD_CART)).alias("n_addcart"),
-        F.count_if(_is("event_type", VIEW)).alias("n_view"),
-        F.count_if(_is("event_type", REMOVE_CART)).alias("n_remove"),
-        F.min_by(t, F.col("rn")).alias("first_type"),
-        F.max_by(t, F.col("rn")).alias("last_type"),
-        F.min_by(F.col("user_id"), F.col("rn")).alias("user_id"),
-        F.min(TIME).alias("t_first"),
-        F.max(TIME).alias("t_last"),
-        F.max(gap).alias("gap_max"),
-        F.avg(gap).alias("gap_avg"),
-        F.stddev_samp(gap).alias("gap_std"),
-        F.count_if(gap > LONG_PAUSE_SECONDS).alias("n_long_gap"),
-        F.count_if(gap < QUICK_ACTION_SECONDS).alias("n_quick_gap"),
-        F.count_if(_is("prev_type", ADD_CART) & _is("event_type", BUY)).alias("n_addcart_buy"),
-        F.count_if(_is("prev_type", VIEW) & _is("event_type", BUY)).alias("n_view_buy"),
-        F.count_if(_is("prev_type", ADD_CART) & _is("event_type", REMOVE_CART)).alias("n_addcart_remove"),
-        F.count_if(_is("prev2_type", VIEW) & _is("prev_type", ADD_CART) & _is("event_type", BUY))
-         .alias("n_view_addcart_buy"),
-        # every step after the first whose categories are not equal; a missing
-        # category equals nothing (as NaN != NaN)
-        F.count_if((F.col("rn") > 1) & ~F.coalesce(F.col("prev_cat") == F.col("category_id"), F.lit(False)))
-         .alias("n_category_changes"),
-        F.min(F.when(_is("event_type", BUY), F.col("rn"))).alias("first_buy_rn"),
-        F.count("product_id").alias("n_product_events"),
+        *[F.sum(c).alias(c) for c in ("n", "n_buy", "n_addcart", "n_view", "n_remove", "n_product_events")],
+        first("first.type").alias("first_type"), F.max_by("last.type", F.col(BUCKET)).alias("last_type"),
+        first("user_id").alias("user_id"),
+        F.min("t_first").alias("t_first"), F.max("t_last").alias("t_last"),
+        F.max(F.greatest("gap_max", gap)).alias("gap_max"), F.max("mean").alias("gap_avg"),
+        F.sqrt(F.when(F.max("all_gaps") > 1, F.sum(square) / (F.max("all_gaps") - 1))).alias("gap_std"),
+        plus("n_long_gap", gap > LONG_PAUSE_SECONDS), plus("n_quick_gap", gap < QUICK_ACTION_SECONDS),
+        *steps,
+        plus("n_category_changes", F.col("edge") & _changed(F.col("p.cat"), F.col("first.cat"))),
+        F.min(F.col("offset") + F.col("first_buy")).alias("first_buy_rn"),
     ]
-    if TARGET in enriched.columns:
-        aggs.append(F.min_by(F.col(TARGET), F.col("rn")).alias(TARGET))
-    st = enriched.groupBy(SESSION).agg(*aggs)
-    return st.withColumn("span_s", seconds_between("t_first", "t_last", is_ntz(enriched, TIME)))
+    if TARGET in states.columns:
+        aggs.append(first(TARGET).alias(TARGET))
+    return s.groupBy(SESSION).agg(*aggs)
+
+
+def main_stats(clicks: DataFrame, bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """One row per session with every order-dependent statistic."""
+    ntz = is_ntz(clicks, TIME)
+    st = merged_states(bucket_states(clicks, bucket_seconds), ntz)
+    return st.withColumn("span_s", seconds_between("t_first", "t_last", ntz))
 
 
 @dataclass
@@ -191,7 +250,7 @@ def session_stats(clicks: DataFrame, lookups: Lookups | None = None, need_produc
     All three sides are keyed and hash-partitioned by ``user_session`` with
     one row per session, so the joins are shuffle-free merges of equal keys.
     """
-    st = main_stats(enrich(clicks, bucket_seconds))
+    st = main_stats(clicks, bucket_seconds)
     if need_products and need_categories:
         return st.join(key_stats(clicks, lookups), SESSION, "inner")
     if need_products:
@@ -201,4 +260,4 @@ def session_stats(clicks: DataFrame, lookups: Lookups | None = None, need_produc
     return st
 
 
-__all__ = ["enrich", "main_stats", "product_stats", "category_stats", "session_stats", "Lookups", "BUCKET"]
+__all__ = ["bucket_states", "merged_states", "main_stats", "product_stats", "category_stats", "session_stats", "Lookups", "BUCKET"]

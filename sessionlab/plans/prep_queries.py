@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import round_doubles
+from sessionlab.functions.ranking import global_row_index
 from sessionlab.operators import prepare as P
 from sessionlab.operators import rates as R
 from sessionlab.plans import oracle as O
@@ -159,13 +160,9 @@ select user_session, cast(row_number() over (order by min(struct_pack(t := event
 from clicks where user_session is not null group by user_session
 qualify start_rank <= {SAMPLE_SESSIONS}"""))
 def q_first_sessions(spark, sf_dir):
-    top = P.first_sessions(_ws(spark, sf_dir).clicks, SAMPLE_SESSIONS)
-    starts = P.session_starts(_ws(spark, sf_dir).clicks)
-    from pyspark.sql import Window
-    # rank inside the bounded top-n result (at most SAMPLE_SESSIONS rows)
-    ranked = F.broadcast(top).join(starts, "user_session")
-    return ranked.select("user_session", F.row_number().over(Window.orderBy("start", "user_session"))
-                         .cast("int").alias("start_rank"))
+    top = P.first_session_starts(_ws(spark, sf_dir).clicks, SAMPLE_SESSIONS)
+    return global_row_index(top, ["start", "user_session"]).select(
+        "user_session", (F.col("row_index") + 1).cast("int").alias("start_rank"))
 
 
 # ------------------------------------------------------------ J1 / P13 join path

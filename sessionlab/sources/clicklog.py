@@ -2,7 +2,7 @@
 
 Reads use an explicit schema (no inference pass over the data).  Time is
 parsed once at read; ordering is not materialised here, it lives in the
-session windows (``operators.sessions.enrich``).
+session states (``operators.sessions``).
 """
 
 from __future__ import annotations

@@ -81,3 +81,51 @@ def test_edge_values(spark, frames):
     assert ft["B"]["max_product_interactions"] == 1
     assert ft["C"]["total_events"] == 3 and ft["C"]["product_revisits"] == 2
     assert ft["D"]["user_id"] is None
+
+
+def _stats_brute(events):
+    """Order-dependent statistics of one session, row by row."""
+    import statistics
+    n, out = len(events), {}
+    types, cats, times = ([e[i] for e in events] for i in (1, 2, 0))
+    gaps = [(b - a).total_seconds() for a, b in zip(times, times[1:]) if a is not None and b is not None]
+    pair = lambda *t: sum(tuple(types[i:i + len(t)]) == t for i in range(n - len(t) + 1))
+    out["n"] = n
+    out["n_addcart_buy"], out["n_view_buy"] = pair("ADD_CART", "BUY"), pair("VIEW", "BUY")
+    out["n_addcart_remove"], out["n_view_addcart_buy"] = pair("ADD_CART", "REMOVE_CART"), pair("VIEW", "ADD_CART", "BUY")
+    out["n_category_changes"] = sum(a is None or b is None or a != b for a, b in zip(cats, cats[1:]))
+    out["first_type"], out["last_type"] = types[0], types[-1]
+    out["first_buy_rn"] = next((i + 1 for i, t in enumerate(types) if t == "BUY"), None)
+    out["gap_max"] = max(gaps, default=None)
+    out["gap_avg"] = sum(gaps) / len(gaps) if gaps else None
+    out["gap_std"] = statistics.stdev(gaps) if len(gaps) > 1 else None
+    out["n_long_gap"], out["n_quick_gap"] = sum(g > 300 for g in gaps), sum(g < 10 for g in gaps)
+    return out
+
+
+@pytest.mark.parametrize("bucket", [5.0, 61.0, 3600.0, 1e8])
+def test_states_merge_to_the_plain_statistics(spark, bucket):
+    """Bucket states of any width give the statistics of the whole session:
+    a hot session, events without a time, missing types and categories."""
+    import random
+    from sessionlab.operators.sessions import main_stats
+    rnd = random.Random(4)
+    base, rows, now = dt.datetime(2024, 3, 1), [], {}
+    for i in range(900):
+        s = "hot" if i % 3 == 0 else f"s{rnd.randrange(60)}"
+        now[s] = now.get(s, base) + dt.timedelta(microseconds=rnd.choice([0, 10 ** 6, 9_999_999, 10 ** 7, 3 * 10 ** 8, 301 * 10 ** 6]))
+        t = None if rnd.random() < 0.05 else now[s]
+        rows.append((i, t, rnd.choice(["VIEW", "ADD_CART", "BUY", "REMOVE_CART", None]),
+                     rnd.choice(["C1", "C2", None]), "P1", "U1", s, 1.0))
+    rows.append((9999, base, "VIEW", "C1", "P1", "U1", None, 1.0))
+    df = spark.createDataFrame(rows, "event_id long, event_time timestamp_ntz, event_type string, category_id string, "
+                                     "product_id string, user_id string, user_session string, session_value double")
+    got = {r["user_session"]: r for r in main_stats(df, bucket).collect()}
+    by = {}
+    for i, t, e, c, *_, s, _ in rows:
+        if s is not None:
+            by.setdefault(s, []).append((t is None, t or base, i, (t, e, c)))
+    assert set(got) == set(by)
+    for s, events in by.items():
+        for name, value in _stats_brute([x[-1] for x in sorted(events)]).items():
+            assert got[s][name] == (pytest.approx(value, abs=1e-9) if isinstance(value, float) else value), (s, name)

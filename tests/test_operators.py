@@ -187,3 +187,25 @@ def test_approximate_quantiles_within_rank_error(spark):
     for p, g in zip([0.25, 0.5, 0.75], got):
         rank = np.searchsorted(srt, g)
         assert abs(rank - p * len(vals)) <= len(vals) / 1000 + 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 40, 200, 5000])
+def test_first_sessions_cut_through_ties(spark, n):
+    """A third of the sessions start at one moment; some have no time."""
+    from sessionlab.operators.prepare import first_session_starts, sample_sessions
+    rnd = random.Random(6)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for s in range(300):
+        t = base + dt.timedelta(minutes=rnd.randrange(50))
+        t = base + dt.timedelta(minutes=9) if s % 3 == 0 else (None if s % 29 == 1 else t)
+        for _ in range(rnd.randrange(1, 4)):
+            rows.append((len(rows), t, f"s{s}"))
+            t = t and t + dt.timedelta(seconds=5)
+    df = spark.createDataFrame(rows, "event_id long, event_time timestamp_ntz, user_session string")
+    start = {}
+    for i, t, s in rows:
+        start[s] = min(start.get(s, (True, base, 10 ** 9)), (t is not None, t or base, i))
+    want = sorted(start, key=lambda s: (start[s], s))[:n]
+    assert sorted(r["user_session"] for r in first_session_starts(df, n).collect()) == sorted(want)
+    assert sample_sessions(df, n).count() == sum(s in set(want) for _, _, s in rows)

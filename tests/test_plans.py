@@ -17,13 +17,48 @@ def final_plan(spark):
     return plan_string(ft)
 
 
-def test_bucket_shuffle_is_reused(final_plan):
-    assert "ReusedExchange" in final_plan
-    full = [ln for ln in final_plan.splitlines()
-            if "Exchange hashpartitioning(user_session" in ln and "_bucket" in ln and "ReusedExchange" not in ln]
+def _exchanges(plan):
+    return [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "ReusedExchange" not in ln]
+
+
+def test_click_rows_are_exchanged_once(spark):
+    """With broadcast off: the rows go through one exchange on (session,
+    bucket), their states through one on the session, and nothing is joined."""
+    from sessionlab.operators.sessions import main_stats
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = main_stats(workspace(spark, SF01).split("train"))
+        stats.collect()
+        plan = plan_string(stats)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows, states = _exchanges(plan)
+    assert sum("_bucket" in ln for ln in (rows, states)) == 1, plan
+    assert "Join" not in plan
+
+
+def test_one_exchange_of_rows_in_the_feature_table(final_plan):
+    full = [ln for ln in _exchanges(final_plan) if "user_session" in ln and "_bucket" in ln]
     assert len(full) == 1, full
 
 
+def test_split_windows_keep_the_partitioning(spark):
+    """The summary is joined back by plain equality: the wide rows are not
+    shuffled again for the join."""
+    from sessionlab.operators.ordered import split_running_sum
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = workspace(spark, SF01).clicks.selectExpr("event_id", "user_id", "event_time", "session_value as wide", "1L as one")
+        out = split_running_sum(df, "user_id", ["event_time", "event_id"], "one", "s")
+        out.collect()
+        plan = plan_string(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "<=>" not in plan and "isnull(_key" not in plan
+    wide = [ln for ln in _exchanges(plan) if "_bucket" in ln]
+    assert 1 <= len(wide) <= 3, plan       # the rows, the totals, the totals by key back on (key, bucket)
+
+
 def test_lookups_are_broadcast(final_plan):
     assert final_plan.count("BroadcastHashJoin") >= 2
 
