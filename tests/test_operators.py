@@ -205,7 +205,7 @@ def test_first_sessions_cut_through_ties(spark, n):
     df = spark.createDataFrame(rows, "event_id long, event_time timestamp_ntz, user_session string")
     start = {}
     for i, t, s in rows:
-        start[s] = min(start.get(s, (True, base, 10 ** 9)), (t is not None, t or base, i))
+        start[s] = min(start.get(s, (True, dt.datetime.max, 0)), (t is not None, t or base, i))
     want = sorted(start, key=lambda s: (start[s], s))[:n]
     assert sorted(r["user_session"] for r in first_session_starts(df, n).collect()) == sorted(want)
     assert sample_sessions(df, n).count() == sum(s in set(want) for _, _, s in rows)
