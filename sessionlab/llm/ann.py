@@ -46,10 +46,11 @@ def neighbour_graph(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     n = len(x)
     k = min(k, n - 1)
     out = np.empty((n, k), np.int64)
-    for i in range(0, n, 2048):
-        s = x[i:i + 2048] @ x.T
-        s[np.arange(len(s)), np.arange(i, i + len(s))] = -np.inf
-        out[i:i + 2048] = np.argpartition(-s, k - 1, axis=1)[:, :k] if k else out[i:i + 2048]
+    x = x.astype(np.float32)
+    for i in range(0, n if k else 0, 256):
+        far = -(x[i:i + 256] @ x.T)
+        far[np.arange(len(far)), np.arange(i, i + len(far))] = np.inf
+        out[i:i + 256] = np.argpartition(far, k - 1, axis=1)[:, :k]
     return out
 
 
