@@ -45,6 +45,9 @@ ENSEMBLE_WEIGHTS = {"lightgbm": 0.4, "xgboost": 0.3, "catboost": 0.2, "random_fo
 CONSERVATIVE_FOREST = {"kind": "rf", "numTrees": 50, "maxDepth": 6, "minInstancesPerNode": 25,
                        "featureSubsetStrategy": "0.5"}
 CONSERVATIVE_RIDGE_ALPHA = 10.0
+# The eight features of the conservative model with a fixed list.
+CONSERVATIVE_FEATURES = ["monetary_proxy", "buy_count", "decisiveness_score", "unique_products", "unique_categories",
+                         "total_category_score", "total_events", "has_comparison_pattern"]
 CONSERVATIVE_WEIGHTS = (0.6, 0.4)
 CONSERVATIVE_CLIP = (5.0, 300.0)
 VALIDATION_FOREST = {"kind": "rf", "numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 10,
@@ -288,6 +291,16 @@ def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                          fold_models=fold_models)
 
 
+def holdout_evaluate(data: DataFrame, fit_fn, label: str = TARGET, flag: str = "is_holdout",
+                     pred: str = "prediction") -> DataFrame:
+    """CV4: fit on the rows before the hold-out (``folds.holdout_split``) and
+    evaluate on the hold-out: n_test and the metrics of E1 and E2."""
+    model = fit_fn(data.filter(~F.col(flag)))
+    held = model.transform(data.filter(F.col(flag)))
+    scored = held.select(F.col(label).alias("actual"), F.col(pred).alias("predicted"))
+    return E.regression_metrics(scored, with_count=True)
+
+
 def cross_validate(data: DataFrame, features: list[str], fit_fn, fold_col: str, k: int,
                    label: str = TARGET, temporal: bool = False, parallelism: int = 2) -> DataFrame:
     """CV3: per fold fit a fresh model (``fit_fn(train_df, features)``),
