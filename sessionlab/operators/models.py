@@ -18,8 +18,8 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlab.functions.quantiles import exact_quantiles
@@ -127,26 +127,40 @@ class FittedModel:
 
 def fit_model(df: DataFrame, features: list[str], spec: dict, name: str = "model", label: str = TARGET,
               pred: str = "prediction", prepared: bool = False) -> FittedModel:
-    """Fit one tree model (M2-M5, M13) on ``features`` -> ``label``."""
+    """Fit one tree model (M2-M5, M13) on ``features`` -> ``label``.  With early
+    stopping (M7) a hashed share of the rows chooses the number of rounds: the
+    boosted model is fitted once and keeps its first trees up to the best."""
     data = df if prepared else _prepared(df, features, label)
     va = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep")
-    if spec.get("early_stopping") and spec["kind"] == "gbt":
-        held = hash_fold(SESSION, 1000) < int(EARLY_STOP_SHARE * 1000)
-        kept = data.filter(~held)
-        best = best_iteration(_held_out_errors(kept, data.filter(held), va, spec, label))
-        if best:
-            # the seed makes the first rounds of a shorter fit the same trees
-            data, spec = kept, dict(spec, maxIter=best)
-    pm = Pipeline(stages=[va, _regressor(spec, "_v", label, pred)]).fit(data)
-    return FittedModel(name, features, pm, pred)
-
-
-def _held_out_errors(train: DataFrame, held: DataFrame, va: VectorAssembler, spec: dict, label: str) -> list[float]:
-    """Squared error on ``held`` after each boosting round on ``train``."""
-    if held.isEmpty() or train.isEmpty():
-        return []
-    model = _regressor(spec, "_v", label, "_p").fit(va.transform(train))
-    return model.evaluateEachIteration(va.transform(held), "squared")
+    stop_early = spec.get("early_stopping") and spec["kind"] == "gbt"
+    held = hash_fold(SESSION, 1000) < int(EARLY_STOP_SHARE * 1000)
+    kept = data.filter(~held) if stop_early else data
+    if stop_early and (kept.isEmpty() or data.filter(held).isEmpty()):
+        stop_early, kept = False, data
+    model = _regressor(spec, "_v", label, pred).fit(va.transform(kept))
+    if stop_early:
+        best = best_iteration(model.evaluateEachIteration(va.transform(data.filter(held)), "squared"))
+        model = prefix_model(model, best)
+    return FittedModel(name, features, PipelineModel([va, model]), pred)
+
+
+def prefix_model(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The boosted model after its first ``rounds`` rounds: boosting only adds
+    trees, so the first trees of a long fit are those of a shorter one.  Built
+    with the model's public constructor (trees, weights, number of features)."""
+    java = model._java_obj
+    weights = model.treeWeights[:rounds]
+    jvm_trees = java.trees()
+    sc = SparkSession.active().sparkContext
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    numbers = sc._gateway.new_array(sc._gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], numbers[i] = jvm_trees[i], weights[i]
+    short = sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, numbers, model.numFeatures)
+    out = GBTRegressionModel(java.copyValues(short, java.extractParamMap()))
+    out._resetUid(model.uid)
+    out._transfer_params_from_java()
+    return out
 
 
 def best_iteration(errors: list[float], patience: int = EARLY_STOP_PATIENCE) -> int:
@@ -228,28 +242,24 @@ class EnsembleModel:
 
 
 def _out_of_fold(data: DataFrame, fold_models: list, names: list[str]) -> DataFrame:
-    """M10 in one pass over the training rows: every fold model scores every
-    row (model application is cheap next to a scan), each member keeps the
-    prediction of the model that did not see the row's fold, and the result
-    is unpivoted to (user_session, model, fold, prediction)."""
-    scored = data
-    for f, name, m in fold_models:
-        scored = m.pipeline.transform(scored).withColumnRenamed("_p", f"_p_{name}_{f}").drop("_v")
-    picks = []
-    for name in names:
-        e = None
-        for f, n, _ in fold_models:
-            if n == name:
-                e = (F.when(F.col("_fold") == f, F.col(f"_p_{name}_{f}")) if e is None
-                     else e.when(F.col("_fold") == f, F.col(f"_p_{name}_{f}")))
-        picks.append(F.struct(F.lit(name).alias("model"), e.alias("prediction")))
-    return (scored.select(SESSION, F.col("_fold").alias("fold"), F.explode(F.array(*picks)).alias("o"))
-            .select(SESSION, "o.model", "fold", "o.prediction"))
+    """Each fold's rows are scored by the models that did not see the
+    fold, one per member, and unpivoted to (user_session, model, fold,
+    prediction).  ``data`` is a checkpointed frame: a fold reads a filter of it."""
+    parts = []
+    for f in sorted({f for f, _, _ in fold_models}):
+        scored = data.filter(F.col("_fold") == f)
+        mine = [(n, m) for g, n, m in fold_models if g == f]
+        for n, m in mine:
+            scored = m.pipeline.transform(scored).withColumnRenamed("_p", f"_p_{n}").drop("_v")
+        picks = [F.struct(F.lit(n).alias("model"), F.col(f"_p_{n}").alias("prediction")) for n, _ in mine if n in names]
+        parts.append(scored.select(SESSION, F.col("_fold").alias("fold"), F.explode(F.array(*picks)).alias("o"))
+                     .select(SESSION, "o.model", "fold", "o.prediction"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_ensemble(df: DataFrame, features: list[str], config: dict | None = None,
                  weights: dict[str, float] | None = None, k: int = DEFAULT_FOLDS,
-                 label: str = TARGET, parallelism: int = 8) -> EnsembleModel:
+                 label: str = TARGET, parallelism: int = 16) -> EnsembleModel:
     """M6: k hash folds -> out-of-fold predictions per member, then every
     member refit on all rows; M9 weighted mean importance.  Early stopping in
     the fold fits uses a separate hashed share of the fold's training rows,

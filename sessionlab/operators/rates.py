@@ -75,17 +75,14 @@ class RateModel:
         if lk.page_values is not None:
             lk.page_values.write.mode(mode).parquet(f"{path}/page_values")
         spark = lk.category_rates.sparkSession
-        spark.createDataFrame([(self.high_threshold, self.ultra_high_threshold)],
-                              "high_threshold double, ultra_high_threshold double") \
+        spark.createDataFrame([(self.high_threshold, self.ultra_high_threshold, lk.page_values is not None)],
+                              "high_threshold double, ultra_high_threshold double, has_page_values boolean") \
             .write.mode(mode).parquet(f"{path}/thresholds")
 
     @classmethod
     def read(cls, spark, path: str) -> "RateModel":
-        try:
-            pv = spark.read.parquet(f"{path}/page_values")
-        except Exception:  # noqa: BLE001 - optional table
-            pv = None
         th = spark.read.parquet(f"{path}/thresholds").first()
+        pv = spark.read.parquet(f"{path}/page_values") if th["has_page_values"] else None
         return cls(Lookups(spark.read.parquet(f"{path}/category_rates"),
                            spark.read.parquet(f"{path}/product_rates"), pv),
                    th["high_threshold"], th["ultra_high_threshold"])

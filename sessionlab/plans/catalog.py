@@ -99,4 +99,4 @@ def oracle_sql() -> dict:
 
 
 # query modules register themselves on import
-from sessionlab.plans import prep_queries, eval_queries, model_queries, linear_queries  # noqa: E402,F401
+from sessionlab.plans import prep_queries, eval_queries, model_queries, linear_queries, io_queries  # noqa: E402,F401

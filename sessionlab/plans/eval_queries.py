@@ -236,13 +236,6 @@ def q_overfit(spark, sf_dir):
 
 # ------------------------------------------------------------ S9 / P11 / P12 / M8 / M14 / A7 / A10
 
-@register("submission", O.compose(_base_ctes(), f"""
-select user_session, {O.rnd(f'greatest({_sql_pred("signed")}, 0.0)')} as session_value from va_"""))
-def q_submission(spark, sf_dir):
-    va = _base(spark, sf_dir, "val")
-    return round_doubles(va.select("user_session", P.clip(_pred("signed"), lo=0.0).alias("session_value")))
-
-
 @register("prediction_summary", O.compose(_base_ctes() + [
     f"p_ as (select greatest({_sql_pred('signed')}, 0.0) as p from va_)"], f"""
 select {O.rnd('avg(p)')} as mean, {O.rnd('quantile_cont(p, 0.5)')} as median, {O.rnd('min(p)')} as min,

@@ -64,11 +64,7 @@ class Workspace:
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    try:
-        stamp = input_fingerprint(events)
-    except Exception:  # noqa: BLE001 - file metadata unavailable: key on the path only
-        stamp = None
+    stamp = input_fingerprint(spark.read.parquet(f"{sf_dir}/events.parquet"))
     key = (spark.sparkContext.applicationId, sf_dir, stamp)
     if key not in _WORKSPACES:
         _WORKSPACES[key] = Workspace(spark, sf_dir)

@@ -67,15 +67,13 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def input_bytes(df) -> int:
-    """Total size of the files behind ``df`` (metadata only, no data read)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+    """Total size of the files behind ``df``: Spark lists them, on the
+    executors where they are many, and sums up; no data is read."""
+    from pyspark.sql import functions as F
+
+    from sessionlab.sources.sinks import input_roots
+    files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(input_roots(df))
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def size_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES,
@@ -85,7 +83,7 @@ def size_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_
     job set it explicitly.  AQE then coalesces small partitions at runtime;
     it cannot split too-large ones, so the start value must scale with the
     data (100 TB -> ~800k partitions of 128 MB)."""
-    if spark.conf.get("spark.sql.shuffle.partitions") != "200":  # set by the job or cluster
+    if "spark.sql.shuffle.partitions" in spark.conf.getAll:  # set by the job or cluster
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     floor = minimum or spark.sparkContext.defaultParallelism
     n = max(floor, -(-input_bytes(df) // target_bytes))

@@ -20,11 +20,18 @@ from sessionlab.session import checkpoint_dir
 _STAGED: dict[str, list[str]] = {}
 
 
+def new_folder(spark, name: str) -> str:
+    """A path in the shared folder that nothing was written to yet; deleted by
+    ``release``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
