@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -62,16 +62,24 @@ EARLY_STOP_PATIENCE = 100    # rounds without a better one before training would
 TREE_DEFAULTS = {"cacheNodeIds": True, "maxMemoryInMB": 512, "maxBins": 256}
 
 
-def _regressor(spec: dict, features_col: str, label: str, pred: str):
-    kw = dict(TREE_DEFAULTS)
-    kw.update({k: v for k, v in spec.items() if k not in ("kind", "early_stopping")})
-    if spec["kind"] == "gbt":
-        return GBTRegressor(featuresCol=features_col, labelCol=label, predictionCol=pred, seed=SEED,
-                            checkpointInterval=10, **kw)
-    if spec["kind"] == "rf":
-        return RandomForestRegressor(featuresCol=features_col, labelCol=label, predictionCol=pred,
-                                     seed=SEED, checkpointInterval=10, **kw)
-    raise ValueError(f"unknown model kind {spec['kind']!r}")
+def _regressor(spec: dict, features_col: str, label: str, pred: str) -> Estimator:
+    """M1: the estimator of a member.  ``kind`` is "gbt", "rf" or "estimator":
+    any regressor of ``pyspark.ml`` under "estimator", with further parameters
+    by name beside it; columns and seed are set where it has them."""
+    own = {k: v for k, v in spec.items() if k not in ("kind", "early_stopping", "estimator")}
+    if spec["kind"] in ("gbt", "rf"):
+        kind = GBTRegressor if spec["kind"] == "gbt" else RandomForestRegressor
+        return kind(featuresCol=features_col, labelCol=label, predictionCol=pred, seed=SEED, checkpointInterval=10,
+                    **(TREE_DEFAULTS | own))
+    if spec["kind"] != "estimator":
+        raise ValueError(f"unknown model kind {spec['kind']!r}")
+    est = spec["estimator"].copy()
+    columns = {"featuresCol": features_col, "labelCol": label, "predictionCol": pred}
+    if est.hasParam("seed") and not est.isSet("seed"):
+        columns["seed"] = SEED
+    for name, value in (columns | own).items():
+        est.set(est.getParam(name), value)
+    return est
 
 
 def ridge(alpha: float, label_std: float, n: int, features_col: str, label: str, pred: str) -> LinearRegression:
@@ -110,8 +118,9 @@ class FittedModel:
     def write(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = self._spark()
-        spark.createDataFrame([(self.name, json.dumps(self.features), self.pred_col)],
-                              "name string, features string, pred_col string") \
+        last = self.pipeline.stages[-1]
+        spark.createDataFrame([(self.name, json.dumps(self.features), self.pred_col, f"{type(last).__module__}.{type(last).__name__}")],
+                              "name string, features string, pred_col string, model_class string") \
             .write.mode("overwrite").parquet(f"{path}/meta")
 
     def _spark(self):

@@ -70,24 +70,29 @@ def q_temporal(spark, sf_dir):
     return round_doubles(df.drop("session_value"))
 
 
-@register("research_features", O.feature_table_sql(["research"], src_cond=O.VAL_COND))
+def both_splits(make) -> DataFrame:
+    """``make(split)`` of train and validation, told apart by ``split``."""
+    return make("train").select(F.lit("train").alias("split"), "*").unionByName(
+        make("val").select(F.lit("validation").alias("split"), "*"))
+
+
+@register("research_features", O.both_splits_sql(["research"]))
 def q_research(spark, sf_dir):
     ws = _ws(spark, sf_dir)
-    return round_doubles(build_features(ws.split("val"), ["research"], ws.rates()))
+    return round_doubles(both_splits(lambda s: build_features(ws.split(s), ["research"], ws.rates())))
 
 
-@register("page_value_features", O.feature_table_sql(["page_value"], src_cond=O.VAL_COND))
+@register("page_value_features", O.both_splits_sql(["page_value"]))
 def q_page_value(spark, sf_dir):
     ws = _ws(spark, sf_dir)
-    return round_doubles(build_features(ws.split("val"), ["page_value"], ws.rates(with_page_values=True)))
+    return round_doubles(both_splits(
+        lambda s: build_features(ws.split(s), ["page_value"], ws.rates(with_page_values=True))))
 
 
-@register("feature_table", O.feature_table_sql(["base", "behavioral", "research", "temporal"],
-                                               src_cond=O.TRAIN_COND))
+@register("feature_table", O.both_splits_sql(["base", "behavioral", "research", "temporal"]))
 def q_feature_table(spark, sf_dir):
-    return round_doubles(_ws(spark, sf_dir).features("train"))
-
-
+    ws = _ws(spark, sf_dir)
+    return round_doubles(both_splits(ws.features))
 
 
 def queries() -> dict:

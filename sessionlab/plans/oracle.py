@@ -321,3 +321,14 @@ def feature_table_sql(families, src_cond: str | None = None, ids: bool = True,
     """Full SQL of the feature table of the clicks matching ``src_cond``."""
     ctes = head_ctes(with_rates) + feature_ctes("ft", families, src_cond, ids, target, with_rates)
     return compose(ctes, "select * from ft")
+
+
+def both_splits_sql(families, label: bool = True, ids: bool = True, target: bool = True, with_rates: bool = True) -> str:
+    """The feature tables of the train and the validation clicks, with lookups
+    fitted on train; ``label`` adds a ``split`` column."""
+    ctes = head_ctes(with_rates)
+    parts = []
+    for name, cond, px in (("train", TRAIN_COND, "a"), ("validation", VAL_COND, "b")):
+        ctes += feature_ctes(f"{px}ft", families, cond, ids, target, with_rates, px=px)
+        parts.append("select " + (f"'{name}' as split, " if label else "") + f"* from {px}ft")
+    return compose(ctes, "\nunion all ".join(parts))

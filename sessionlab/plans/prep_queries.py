@@ -8,13 +8,15 @@ from sessionlab.functions.exprs import round_doubles
 from sessionlab.functions.ranking import global_row_index
 from sessionlab.operators import prepare as P
 from sessionlab.operators import rates as R
+from sessionlab.operators.features import FAMILIES
 from sessionlab.plans import oracle as O
-from sessionlab.plans.catalog import _splits, _ws, register
+from sessionlab.plans.catalog import _splits, _ws, both_splits, register
 from sessionlab.sources.adapter import load_clicks
 
 SAMPLE_SESSIONS = 1000
 BASE = ["base"]
 BASE_COLS = [n for n, _ in O.feature_exprs(BASE)]
+ALL_COLS = [n for n, _ in O.feature_exprs(FAMILIES)]
 
 
 # ------------------------------------------------------------ P1 / P2 / A9 / A14
@@ -37,15 +39,24 @@ def q_split_counts(spark, sf_dir):
 
 # ------------------------------------------------------------ P3 / P4
 
+# Fixed rule of the query: every tenth event twice, and some values missing.
+_MISSING = {"product_id": 7, "category_id": 9, "user_id": 13, "session_value": 11}
+
 @register("clean_clicks", O.compose(O.head_ctes(False) + [
-    "dd_ as (select distinct * from clicks)",
+    "raw_ as (select event_id, event_time, user_session, event_type, " + ", ".join(
+        f"case when event_id % {m} <> 0 then {c} end as {c}" for c, m in _MISSING.items()) + " from clicks)",
+    "dup_ as (select * from raw_ union all select * from raw_ where event_id % 10 = 0)",
+    "dd_ as (select distinct * from dup_)",
     "med_ as (select quantile_cont(session_value, 0.5) as m from dd_)"], """
 select event_id, event_time, coalesce(user_id, 'UNKNOWN') as user_id, user_session, event_type,
        coalesce(product_id, 'UNKNOWN') as product_id, coalesce(category_id, 'UNKNOWN') as category_id,
        coalesce(session_value, (select m from med_)) as session_value
 from dd_"""))
 def q_clean(spark, sf_dir):
-    return P.clean_clicks(load_clicks(spark, sf_dir))
+    """P3 + P4 on a log with repeated rows and missing values."""
+    clicks = load_clicks(spark, sf_dir)
+    raw = clicks.withColumns({c: F.when(F.col("event_id") % m != 0, F.col(c)) for c, m in _MISSING.items()})
+    return P.clean_clicks(raw.unionByName(raw.where("event_id % 10 = 0")))
 
 
 # ------------------------------------------------------------ P5
@@ -105,11 +116,10 @@ def _base_tables(spark, sf_dir):
 
 
 def _scale_sql(method: str) -> str:
-    ctes = O.head_ctes(False) + O.feature_ctes("tr_", BASE, O.TRAIN_COND, with_rates=False, px="a",
-                                               rounded=False) \
-        + O.feature_ctes("va_", BASE, O.VAL_COND, with_rates=False, px="b", rounded=False)
+    ctes = O.head_ctes(True) + O.feature_ctes("tr_", FAMILIES, O.TRAIN_COND, px="a", rounded=False) \
+        + O.feature_ctes("va_", FAMILIES, O.VAL_COND, px="b", rounded=False)
     stats, cols = [], []
-    for c in BASE_COLS:
+    for c in ALL_COLS:
         if method == "robust":
             stats += [f"quantile_cont({c}, 0.5) as m_{c}",
                       f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) as s_{c}"]
@@ -118,21 +128,26 @@ def _scale_sql(method: str) -> str:
         cols.append(f"{O.rnd(f'(cast({c} as double) - m_{c}) / (case when s_{c} = 0 then 1.0 else s_{c} end)')}"
                     f" as {c}")
     ctes.append("st_ as (select " + ", ".join(stats) + " from tr_)")
-    return O.compose(ctes, "select user_session, " + ", ".join(cols) + " from va_, st_")
+    return O.compose(ctes, " union all ".join(
+        f"select '{name}' as split, user_session, " + ", ".join(cols) + f" from {t}, st_"
+        for name, t in (("train", "tr_"), ("validation", "va_"))))
+
+
+def _scaled(spark, sf_dir, method: str):
+    """All features, fitted on train, applied to both splits."""
+    ws = _ws(spark, sf_dir)
+    model = P.fit_scaler(ws.features("train"), ALL_COLS, method)
+    return round_doubles(both_splits(lambda s: model.transform(ws.features(s)).select("user_session", *ALL_COLS)))
 
 
 @register("robust_scale", _scale_sql("robust"))
 def q_robust(spark, sf_dir):
-    tr, va = _base_tables(spark, sf_dir)
-    _, va_s = P.scale_features(tr, va, method="robust", cols=BASE_COLS)
-    return round_doubles(va_s.select("user_session", *BASE_COLS))
+    return _scaled(spark, sf_dir, "robust")
 
 
 @register("standard_scale", _scale_sql("standard"))
 def q_standard(spark, sf_dir):
-    tr, va = _base_tables(spark, sf_dir)
-    _, va_s = P.scale_features(tr, va, method="standard", cols=BASE_COLS)
-    return round_doubles(va_s.select("user_session", *BASE_COLS))
+    return _scaled(spark, sf_dir, "standard")
 
 
 @register("iqr_outliers", O.compose(
@@ -170,10 +185,10 @@ def q_first_sessions(spark, sf_dir):
 MERGED = ["base", "behavioral", "temporal"]
 
 
-@register("merged_families", O.feature_table_sql(MERGED, src_cond=O.TRAIN_COND, with_rates=False))
+@register("merged_families", O.both_splits_sql(MERGED, with_rates=False))
 def q_merged(spark, sf_dir):
     """Families built separately (as from a cache) and merged on user_session;
     equals the one-pass table of the same families."""
     from sessionlab.operators.features import build_features, merge_feature_tables
-    train = _ws(spark, sf_dir).split("train")
-    return round_doubles(merge_feature_tables([build_features(train, [f]) for f in MERGED]))
+    ws = _ws(spark, sf_dir)
+    return round_doubles(both_splits(lambda s: merge_feature_tables([build_features(ws.split(s), [f]) for f in MERGED])))

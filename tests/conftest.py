@@ -23,3 +23,16 @@ def spark():
 @pytest.fixture()
 def tmp_out():
     return tempfile.mkdtemp(prefix="sessionlab-out-")
+
+
+# Rounds and trees of quick tests; the registered queries use the whole configuration.
+QUICK_ROUNDS = {"gbt": 10, "rf": 20}
+
+
+def reduced(config: dict) -> dict:
+    import copy
+    out = copy.deepcopy(config)
+    for spec in out.values():
+        name = "maxIter" if spec["kind"] == "gbt" else "numTrees"
+        spec[name] = min(spec[name], QUICK_ROUNDS[spec["kind"]])
+    return out

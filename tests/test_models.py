@@ -8,9 +8,10 @@ from sessionlab.operators import evaluate as E
 from sessionlab.operators import folds as CV
 from sessionlab.operators import models as M
 from sessionlab.operators import select as S
-from sessionlab.plans.model_queries import reduced
+from sessionlab.operators.features import build_features
+from sessionlab.operators.rates import RateModel
 from sessionlab.plans.workspace import workspace
-from conftest import SF01
+from conftest import SF01, reduced
 
 
 @pytest.fixture(scope="module")
@@ -96,12 +97,22 @@ def test_train_score_and_validation_flows(spark, tmp_out):
     cfg = reduced(M.CONFIG)
     for spec in cfg.values():
         spec.update({"maxIter": 2} if spec["kind"] == "gbt" else {"numTrees": 3})
-    res = flows.train_flow(clicks, f"{tmp_out}/run", config=cfg, run_cv=False)
+    test_clicks = clicks.where("event_id % 2 = 0").drop("session_value")
+    res = flows.train_flow(clicks, f"{tmp_out}/run", config=cfg, run_cv=False, test_clicks=test_clicks)
     assert res.history.select("model_name").distinct().count() == 2
+    # one fitted engine for all three: the test features use the rates of train
+    rates = RateModel.read(spark, f"{tmp_out}/run/rates")
+    again = build_features(test_clicks, rates=rates).select("user_session", "avg_engagement", "max_product_score")
+    assert sorted(again.collect()) == sorted(res.tables["test"].select(*again.columns).collect())
+    sub = spark.read.option("header", True).csv(f"{tmp_out}/run/submission")
+    assert sub.count() == test_clicks.select("user_session").distinct().count()
+    from sessionlab.sources import sinks
+    assert sinks.read_text(spark, f"{tmp_out}/run/evaluation_report_text")[0] == "=== MODEL EVALUATION REPORT ==="
     small = {"random_forest": {"kind": "rf", "numTrees": 3, "maxDepth": 3}}
     cv = flows.train_flow(clicks, f"{tmp_out}/run_cv", config=small, cv_folds=2, ensemble_folds=2).cv.first()
     assert cv["rmse_mean"] > 0
-    ft_path = f"{tmp_out}/run/features/validation"
+    ft_path = f"{tmp_out}/validation_features"
+    res.tables["validation"].write.parquet(ft_path)
     scored = flows.score_feature_table(spark, ft_path, f"{tmp_out}/run", f"{tmp_out}/sub2").first()
     assert scored["min"] >= 0
     from sessionlab.operators.evaluate import report_text
@@ -111,10 +122,24 @@ def test_train_score_and_validation_flows(spark, tmp_out):
     full = flows.full_data_flow(clicks, f"{tmp_out}/full", f"{tmp_out}/run/selected_features",
                                 config=small, ensemble_folds=2)
     assert full.features == res.features
+    tr, va = res.tables["train"], res.tables["validation"]
+    table = flows.full_training_table(clicks)[0]
+    assert table.count() == tr.count() + va.count()
+    assert sorted(table.select("user_session", "total_category_score").collect()) == sorted(
+        tr.unionByName(va).select("user_session", "total_category_score").collect())
+    fixed = flows.conservative_flow(clicks, test_clicks, f"{tmp_out}/cons", M.CONSERVATIVE_FEATURES).first()
+    assert fixed["mse"] > 0 and sinks.read_feature_list(spark, f"{tmp_out}/cons/selected_features") == M.CONSERVATIVE_FEATURES
+    flows.conservative_flow(clicks, test_clicks, f"{tmp_out}/cons8")
+    picked = sinks.read_feature_list(spark, f"{tmp_out}/cons8/selected_features")
+    from sessionlab.operators.features import feature_names
+    assert len(picked) == 8 and set(picked) <= set(feature_names(["research"]))
+    values = [float(r[1]) for r in spark.read.option("header", True).csv(f"{tmp_out}/cons8/submission").collect()]
+    assert 5 <= min(values) and max(values) <= 300
     summary = flows.score_flow(clicks, f"{tmp_out}/run", f"{tmp_out}/sub").first()
     assert summary["min"] >= 0
-    gate = flows.temporal_validation_flow(clicks, n_train=100, n_val=50).first()
-    assert gate["train_rmse"] > 0 and gate["val_rmse"] > 0
+    for sizes in ({"n_train": 100, "n_val": 50}, {}):
+        gate = flows.temporal_validation_flow(clicks, **sizes).first()
+        assert gate["train_rmse"] > 0 and gate["val_rmse"] > 0
 
 
 def test_stream_scoring(spark, tables, tmp_out):
@@ -128,3 +153,52 @@ def test_stream_scoring(spark, tables, tmp_out):
     q = score_stream(spark, f"{tmp_out}/in", f"{tmp_out}/m", f"{tmp_out}/out", f"{tmp_out}/ck", va.schema)
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_out}/out").count() == va.count()
+
+
+def test_prefix_of_a_long_fit_is_the_shorter_fit(spark, tables, tmp_out):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    tr, _, _ = tables
+    cols = ["buy_count", "total_events", "duration_minutes"]
+    va = VectorAssembler(inputCols=cols, outputCol="_v")
+    data = va.transform(tr.select("user_session", "session_value", *cols))
+    spec = dict(M.CONFIG["lightgbm"], maxDepth=3)
+    fit = lambda n: M._regressor(dict(spec, maxIter=n), "_v", "session_value", "p").fit(data)
+    long, short = fit(9), fit(4)
+    prefix = M.prefix_model(long, 4)
+    values = lambda m: [r["p"] for r in m.transform(data).orderBy("user_session").collect()]
+    assert prefix.getNumTrees == 4 and values(prefix) == values(short)
+    assert prefix.featureImportances.toArray() == pytest.approx(short.featureImportances.toArray())
+    PipelineModel([va, prefix]).write().save(f"{tmp_out}/p")
+    assert values(PipelineModel.load(f"{tmp_out}/p").stages[-1]) == values(short)
+
+
+def test_early_stopping_fits_once(spark, tables, monkeypatch):
+    tr, _, _ = tables
+    fits, real = [], M._regressor
+    monkeypatch.setattr(M, "_regressor", lambda *a, **k: fits.append(1) or real(*a, **k))
+    spec = dict(M.CONFIG["catboost"], maxIter=6, maxDepth=2)
+    m = M.fit_model(tr, ["buy_count", "total_events"], spec)
+    assert len(fits) == 1 and 1 <= m.pipeline.stages[-1].getNumTrees <= 6
+
+
+def test_any_estimator_as_a_member(spark, tables, tmp_out):
+    """M1: a linear and an isotonic regressor in one ensemble, saved and loaded."""
+    from pyspark.ml.regression import IsotonicRegression, LinearRegression
+    tr, va, _ = tables
+    cols = ["buy_count", "total_events"]
+    cfg = {"linear": {"kind": "estimator", "estimator": LinearRegression(), "regParam": 0.5, "elasticNetParam": 0.0},
+           "isotonic": {"kind": "estimator", "estimator": IsotonicRegression(featureIndex=1)}}
+    ens = M.fit_ensemble(tr, cols, cfg, weights={"linear": 0.3, "isotonic": 0.7}, k=2)
+    assert ens.members["linear"].pipeline.stages[-1].getRegParam() == 0.5
+    out = ens.transform(va)
+    gap = F.abs(F.col("prediction") - 0.3 * F.col("linear") - 0.7 * F.col("isotonic"))
+    assert out.agg(F.max(gap)).first()[0] < 1e-9 and ens.oof.count() == 2 * tr.count()
+    ens.write(f"{tmp_out}/any")
+    meta = spark.read.parquet(f"{tmp_out}/any/isotonic/meta").first()
+    assert meta["model_class"].endswith("IsotonicRegressionModel")
+    again = M.EnsembleModel.load(spark, f"{tmp_out}/any").transform(va)
+    pick = lambda d: [r[0] for r in d.orderBy("user_session").select("prediction").collect()]
+    assert pick(again) == pytest.approx(pick(out))
+    with pytest.raises(ValueError):
+        M.fit_model(tr, cols, {"kind": "other"})

@@ -209,3 +209,20 @@ def test_first_sessions_cut_through_ties(spark, n):
     want = sorted(start, key=lambda s: (start[s], s))[:n]
     assert sorted(r["user_session"] for r in first_session_starts(df, n).collect()) == sorted(want)
     assert sample_sessions(df, n).count() == sum(s in set(want) for _, _, s in rows)
+
+
+@pytest.mark.parametrize("limit", [10 ** 6, 0])
+def test_lookup_with_hot_and_missing_keys(spark, limit):
+    """A key and the missing key hold a third of all rows each."""
+    from sessionlab.operators.lookup import lookup_join, salted
+    rows = [(i, None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"k{i % 200}")) for i in range(9000)]
+    df = spark.createDataFrame(rows, "i long, key string")
+    table = spark.createDataFrame([(f"k{j}", float(j)) for j in range(150)] + [("hot", -1.0), (None, 5.0)], "key string, v double")
+    got = lookup_join(df, table, "key", max_broadcast_rows=limit, rows_per_salt=100, salt_by="i")
+    want = {f"k{j}": float(j) for j in range(150)} | {"hot": -1.0}
+    assert sorted(got.collect(), key=lambda r: r["i"]) == [(k, i, want.get(k)) for i, k in rows]
+    left, right = salted(df, table.where("key is not null"), "key", 100, "i")
+    held = [r["count"] for r in left.repartition(8, "key", "_salt").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(held) <= 2 * sorted(held)[len(held) // 2]
+    assert left.groupBy("key", "_salt").count().agg(F.max("count")).first()[0] <= 200
+    assert right.count() == 150 + 30
