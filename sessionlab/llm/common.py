@@ -27,6 +27,12 @@ def unkey(c: Column) -> Column:
     return F.when(c == NO_ID, None).otherwise(c).cast("long")
 
 
+def free_names(df: DataFrame, many: int) -> list[str]:
+    """Column names that ``df`` does not have in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    return [n for n in (f"_own{i}" for i in range(many + len(taken))) if n not in taken][:many]
+
+
 def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(k, text): only the two needed columns reach the scan, so further
     columns of any name cannot clash.  Null text is the empty text."""
@@ -77,19 +83,19 @@ def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 
 
-def hashed_sample(rows: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most about ``per_class`` rows of each label, chosen by a hash of
-    ``k`` (the same rows on every run): a share of each class as wide as the
-    class is rare, then cut to the bound.  Labels are few."""
+def hashed_sample(rows: DataFrame, label: str, per_class: int, by: tuple[str, ...] = ("k",)) -> DataFrame:
+    """At most about ``per_class`` rows of each label, chosen by a hash of the
+    columns ``by`` (the same rows on every run): a share of each class as wide
+    as the class is rare, then cut to the bound.  Rows equal in ``by`` and
+    label are one.  Pass narrow rows; labels are few."""
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if not counts:
         return rows.limit(0)
-    h = F.pmod(F.xxhash64("k"), F.lit(1_000_003))
     share = F.lit(0)
     for value, n in counts.items():
         share = F.when(F.col(label) == F.lit(value), int(min(1.0, per_class / n) * 1_000_003)).otherwise(share)
-    return (rows.withColumn("_h", h).where(F.col("_h") < share)
-            .orderBy("_h", "k").limit(int(per_class * len(counts) * 1.2) + 10).drop("_h"))
+    return (rows.withColumn("_h", F.pmod(F.xxhash64(*by), F.lit(1_000_003))).where(F.col("_h") < share)
+            .dropDuplicates([*by, label]).orderBy("_h", *by, label).limit(int(per_class * len(counts) * 1.2) + 10).drop("_h"))
 
 
 def has_letter(text: str) -> bool:

@@ -88,7 +88,11 @@ def fit(docs: DataFrame, lang_col="lang", id_col="doc_id", text_col="text", per_
     """Model from rows with a language and a letter; None if there are none."""
     rows = docs.select(key(docs, id_col).alias("k"), col(docs, text_col).cast("string").alias("text"),
                        col(docs, lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    rows = hashed_sample(rows, "lang", per_language)
+    rows = rows.withColumn("v", F.xxhash64("text"))
+    # ids first: a sample bounds rows, not the bytes of their texts; id and
+    # text together, as many rows may lack an id
+    chosen = hashed_sample(rows.select("k", "v", "lang"), "lang", per_language, ("k", "v"))
+    rows = rows.join(F.broadcast(chosen), ["k", "v", "lang"], "left_semi").dropDuplicates(["k", "v", "lang"])
 
     def bits(batches):
         for part in slices(batches, 1 << 21):

@@ -162,8 +162,10 @@ def fit(docs: DataFrame, labels: DataFrame, unlabelled: DataFrame, label_col="qu
         return np.frombuffer(b"".join(rows)).reshape(len(rows), -1) if rows else np.zeros((0, 1))
 
     p = gathered(keyed_text(docs, id_col, text_col).join(F.broadcast(chosen), "k").select("k", "text"))
-    ids = hashed_sample(unlabelled.select(key(unlabelled, id_col).alias("k"), F.lit(0).alias("y")), "y", web)
-    u = gathered(keyed_text(unlabelled, id_col, text_col).join(F.broadcast(ids.distinct()), "k").select("k", "text"))
+    # by id and text: many rows may lack an id
+    rows = keyed_text(unlabelled, id_col, text_col).withColumn("v", F.xxhash64("text"))
+    ids = hashed_sample(rows.select("k", "v", F.lit(0).alias("y")), "y", web, ("k", "v"))
+    u = gathered(rows.join(F.broadcast(ids), ["k", "v"], "left_semi").dropDuplicates(["k", "v"]).select("k", "text"))
     return fit_statistics(p, u)
 
 

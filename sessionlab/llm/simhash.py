@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import col, key, keyed_text, shuffle_partitions, slices, unkey
+from sessionlab.llm.common import col, free_names, key, keyed_text, shuffle_partitions, slices, unkey
 from sessionlab.sources.store import stage
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -255,13 +255,18 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
 
 
 def representatives(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
-    """Rows of ``docs`` (all columns), one of each class: that of the smallest
-    id; of several such rows that of the smallest text hash, once."""
+    """Rows of ``docs`` (all columns, whatever their names), one of each class:
+    that of the smallest id; of several such rows that of the smallest text
+    hash, once.
+
+    A class whose documents all lack an id keeps one of them; null and empty
+    texts are one class; repeated rows stay once; an empty table stays empty.
+    """
     found = near_dedup(docs, id_col, text_col, **how)
     # by root: classes without an id, or with one id, share their component
+    own = free_names(docs, 2)
     chosen = (found.where("k = component").groupBy("root", "k").agg(F.min("v").alias("v"))
-              .select(F.col("k").alias("_kept_k"), F.col("v").alias("_kept_v")))
+              .select(F.col("k").alias(own[0]), F.col("v").alias(own[1])))
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("_kept_k", key(docs, id_col)).withColumn("_kept_v", F.xxhash64(text))
-    return (rows.join(chosen, ["_kept_k", "_kept_v"], "left_semi")
-            .dropDuplicates(["_kept_k", "_kept_v"]).drop("_kept_k", "_kept_v"))
+    rows = docs.withColumn(own[0], key(docs, id_col)).withColumn(own[1], F.xxhash64(text))
+    return rows.join(chosen, own, "left_semi").dropDuplicates(own).drop(*own)

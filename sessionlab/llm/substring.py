@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import col, key, shuffle_partitions, slices, unkey, utf8
+from sessionlab.llm.common import col, free_names, key, shuffle_partitions, slices, unkey, utf8
 from sessionlab.sources.store import stage
 
 LENGTH = 100
@@ -607,15 +607,21 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGT
 
 def rewrite(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGTH, gram: int = GRAM,
             shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``docs`` (all columns) with the repeated bytes gone from the text (and
-    what is left of a cut character); rows whose whole text went are dropped.
+    """``docs`` (all columns, whatever their names) with the repeated bytes gone
+    from the text (and what is left of a cut character); rows whose whole text
+    went are dropped.
+
+    Null and empty texts stay as they are; documents without an id come after
+    all others; rows equal in id and text are cut alike; an empty table stays
+    empty.
     """
     text = F.coalesce(col(docs, text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("_run_k", key(docs, id_col)).withColumn("_run_v", F.xxhash64(text))
-    plain = rows.select(F.col("_run_k").alias("k"), F.col("_run_v").alias("v"),
+    run_k, run_v, run_spans = free_names(docs, 3)
+    rows = docs.withColumn(run_k, key(docs, id_col)).withColumn(run_v, F.xxhash64(text))
+    plain = rows.select(F.col(run_k).alias("k"), F.col(run_v).alias("v"),
                         F.coalesce(col(rows, text_col).cast("string"), F.lit("")).alias("text"))
     runs = stage(find_runs(plain, length, gram, shard_bytes), "substring_runs").select(
-        F.col("k").alias("_run_k"), F.col("v").alias("_run_v"), F.col("runs").alias("_runs"))
+        F.col("k").alias(run_k), F.col("v").alias(run_v), F.col("runs").alias(run_spans))
     at = docs.columns.index(text_col)
     fields = rows.schema.fields
     zipped = T.StructType([T.StructField(f.name, T.BinaryType()) if i == at else f for i, f in enumerate(fields)])
@@ -643,8 +649,8 @@ def rewrite(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LEN
             cols[at] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields[:-2]]).filter(pa.array(keep, pa.bool_()))
 
-    joined = rows.mapInArrow(squeeze, zipped).join(runs, ["_run_k", "_run_v"], "left")
+    joined = rows.mapInArrow(squeeze, zipped).join(runs, [run_k, run_v], "left")
     names = [f.name for f in fields]
-    ordered = joined.select(*[col(joined, n) for n in names], "_runs")
+    ordered = joined.select(*[col(joined, n) for n in names], run_spans)
     return ordered.mapInArrow(cut, T.StructType([T.StructField(f.name, T.StringType()) if i == at else f
                                                  for i, f in enumerate(fields[:-2])]))

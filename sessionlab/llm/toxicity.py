@@ -2,7 +2,8 @@
 
 The unit that is classified is the word (what stands between white space,
 letters only and lower-cased, so inserted signs fall away; a run of
-one-letter words, as in a spelled-out insult, is one word).  Its features are
+one-letter words, as in a spelled-out insult, is one word; a word of over
+PIECE characters is read as overlapping pieces).  Its features are
 all subsequences of LENGTH characters that span at most SPAN characters,
 weighted DECAY ** span: k(x, z) is their normalised inner product, so a
 character put between or left out costs a factor, not the match.
@@ -40,6 +41,8 @@ LANDMARKS = 300
 _OFFSETS = [(*x, b) for b in range(LENGTH - 1, SPAN) for x in combinations(range(1, b), LENGTH - 2)]
 _MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x165667B1], dtype=np.uint32)
 _MIN_WORD = 4
+#: Characters of the pieces that longer words are cut into, and their overlap.
+PIECE, OVERLAP = 64, 24
 _MARK = 1
 
 _LETTER = np.zeros(256, dtype=np.uint32)
@@ -79,7 +82,7 @@ def words(raw: np.ndarray, offsets: np.ndarray):
     joined = np.zeros(len(size), dtype=bool)         # goes on from the token before
     joined[1:] = single[1:] & single[:-1] & (d[1:] == d[:-1])
     word = (np.cumsum(~joined) - 1)[run]
-    return *_marked(_LETTER[raw[at]], word), d[~joined]
+    return _pieces(*_marked(_LETTER[raw[at]], word), d[~joined])
 
 
 def _marked(c: np.ndarray, word: np.ndarray):
@@ -88,6 +91,24 @@ def _marked(c: np.ndarray, word: np.ndarray):
     return np.insert(c, begin, _MARK), np.insert(word, begin, word[begin])
 
 
+def _pieces(c: np.ndarray, word: np.ndarray, doc: np.ndarray):
+    """Words longer than PIECE, as in joined signs or scripts without spaces,
+    are cut into pieces that overlap and together cover them, each a word: the
+    norm of a long word would thin out what a part of it says."""
+    size = np.bincount(word)
+    if size.max() <= PIECE:
+        return c, word, doc
+    step = PIECE - OVERLAP
+    many = np.maximum(1, -(-(size - OVERLAP) // step))
+    owner = np.repeat(np.arange(len(size)), many)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    begin = (np.cumsum(size) - size)[owner] + nth * step
+    length = np.minimum(PIECE, size[owner] - nth * step)
+    piece = np.repeat(np.arange(len(owner)), length)
+    at = np.arange(len(piece)) - np.repeat(np.cumsum(length) - length, length) + begin[piece]
+    return c[at], piece, doc[owner]
+
+
 def _features(c: np.ndarray, word: np.ndarray):
     """For each offset pair: positions of first characters and table slots."""
     n = len(c)
@@ -347,7 +368,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col="toxic", id_col="doc_id",
             ends = np.cumsum(np.bincount(word)) if len(word) else np.zeros(0, np.int64)
             sets: list[set] = [set() for _ in range(part.num_rows)]
             for w, (a, b) in enumerate(zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())):
-                sets[doc[w]].add(text[a:b][:64])
+                sets[doc[w]].add(text[a:b])
             yield pa.RecordBatch.from_arrays(
                 [part.column("y"), pa.array([b" ".join(sorted(s)) for s in sets], pa.binary())], names=["y", "words"])
 

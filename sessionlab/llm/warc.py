@@ -237,8 +237,9 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str):
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """All records of the index's bundles, frame by frame, payloads checked
     against their digests (html is null for revisits)."""
-    # few bytes a row but a whole bundle's work: spread by number, not by size
-    bundles = index.select("bundle").distinct().repartition(shuffle_partitions(index.sparkSession), "bundle")
+    # few bytes a row but a whole bundle's work: dealt out by number; by key, the
+    # partitions of the distinct would be kept and merged for their small size
+    bundles = index.select("bundle").distinct().repartition(shuffle_partitions(index.sparkSession))
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, bundle string, frame int, offset long, html string")
     return bundles.mapInArrow(lambda it: _read(it, folder), schema)

@@ -848,3 +848,88 @@ def test_parts_are_balanced_and_cut_few_edges():
     start = ann.halved(x, 8)
     cut = lambda p: (p[graph] != p[:, None]).mean()
     assert np.bincount(part, minlength=8).max() <= 111 and cut(part) < cut(start)
+
+
+# ------------------------------------------- mended: names, samples, pieces
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["_run_k", "_run_v", "_runs", "_kept_k", "_kept_v", "k", "v", "_own0", "_OWN1"]
+    line = "this line of more than one hundred bytes is repeated in several documents of the table, word for word, "
+    rows = [(i, f"text number {i} " + line * (i % 2) + f"end {i}", *[f"{n}{i}" for n in names]) for i in range(8)] \
+        + [(None, None, *names), (None, "", *names)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for out in (substring.rewrite(docs), simhash.representatives(docs)):
+        assert out.columns == docs.columns and out.count() > 0
+        for r in out.collect():
+            if r["doc_id"] is not None:
+                assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names]
+        assert out.limit(0).count() == 0
+    assert substring.rewrite(docs.limit(0)).count() == 0 and simhash.representatives(docs.limit(0)).count() == 0
+    cut = {r["doc_id"]: r["text"] for r in substring.rewrite(docs).collect()}
+    assert line in cut[1] and line[3:-3] not in cut[3]
+
+
+def test_hashed_sample_with_missing_ids(spark):
+    rows = [(common.NO_ID if i % 3 == 0 else i, f"text {i % 1500}", "en" if i % 5 else "de") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k long, text string, lang string").withColumn("v", F.xxhash64("text")).select("k", "v", "lang")
+    take = lambda d: sorted(map(tuple, common.hashed_sample(d, "lang", 300, ("k", "v")).collect()))
+    a, b = take(df), take(df.repartition(7))
+    assert a == b and len(a) == len(set(a))
+    missing = sum(k == common.NO_ID for k, _, _ in a) / len(a)
+    # rows without an id and equal in text are one: 500 of 4,500 distinct rows
+    assert 0.03 < missing < 0.35 and 200 < len(a) < 800
+
+
+def test_language_id_with_a_third_of_ids_missing(spark):
+    texts = {"en": "the quick brown fox jumps over the lazy dog and runs away from the old house",
+             "de": "der schnelle braune Fuchs springt \u00fcber den faulen Hund und l\u00e4uft vom alten Haus weg"}
+    rows = [(None if i % 3 == 0 else i + 1000 * (g == "de"), texts[g] + f" {chr(97 + i % 26)}{chr(97 + i // 26)}", g, "x", 1)
+            for i in range(400) for g in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, v string, k int")
+    a, b = langid.fit(docs, per_language=80, landmarks=40), langid.fit(docs.repartition(5), per_language=80, landmarks=40)
+    assert np.array_equal(a.landmarks, b.landmarks)
+    got = langid.predict(docs, a).join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang_pred <> lang").count() == 0
+
+
+def test_long_words_are_read_in_pieces():
+    rng = random.Random(3)
+    long = bytes(rng.choice(b"abcdefghij") for _ in range(300))
+    raw = np.frombuffer(b"short " + long + b" tail x", np.uint8)
+    c, word, doc = toxicity.words(raw, np.array([0, len(raw)]))
+    got = [c[word == w].astype(np.uint8).tobytes() for w in range(word.max() + 1)]
+    assert got[0] == b"\x01short" and got[-1] == b"\x01x" and len(doc) == len(got) and set(doc) == {0}
+    pieces = got[1:-2]
+    assert max(map(len, pieces)) == toxicity.PIECE and len(pieces) > 5
+    whole = pieces[0]
+    for p in pieces[1:]:
+        assert whole.endswith(p[:toxicity.OVERLAP])
+        whole += p[toxicity.OVERLAP:]
+    assert whole == b"\x01" + long
+
+
+def test_insult_late_in_a_long_word_is_learned(spark):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnoprstuvw"
+
+    def text(toxic):
+        junk = "".join(rng.choice(letters) for _ in range(260))
+        return " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(12)) + " " + junk + ("zyxqzk" if toxic else "") \
+            + "".join(rng.choice(letters) for _ in range(40))
+    rows = [(i, text(i % 2 == 1)) for i in range(300)]
+    docs = docs_df(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r.predicted for r in toxicity.predict(docs, model).collect()}
+    right = sum(got[i] == i % 2 for i in range(200, 300))
+    assert right >= 90
+
+
+def test_warc_reader_deals_bundles_out(spark, tmp_out):
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>") for i in range(120)], "page_id long, url string, html string")
+    folder = f"file://{tmp_out}/spread"
+    index = warc.write_bundles(pages.repartition(4), folder, frame_bytes=64, bundle_frames=2)
+    bundles = index.select("bundle").distinct().count()
+    parts = warc.read_bundles(index, folder).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert bundles > 8 and parts == min(bundles, common.shuffle_partitions(spark))
