@@ -260,6 +260,13 @@ def _first_view(members, toxic, slots, begin, passes: int = 4):
     return table, marks
 
 
+def _telling(often: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Words in far more toxic documents than chance would put them: where
+    every short part of an insult is a common syllable, the whole word tells."""
+    expected = (often + clean) * n1 / (n1 + n0)
+    return often >= np.maximum(4, 2.5 * expected + 2 * np.sqrt(expected))
+
+
 def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDMARKS, rounds: int = 3,
               c: float = 4.0, prior: float | None = None) -> ToxicityModel | None:
     """Model from each sampled document's distinct words and its label.
@@ -290,19 +297,20 @@ def fit_words(docs: list[list[bytes]], toxic: np.ndarray, landmarks: int = LANDM
         by = np.lexsort((-s, owner))
         place = np.arange(len(by)) - np.searchsorted(owner[by], owner[by])
         if step == 0:          # a word with a feature that explains its document
-            marked = _per_word(marks[slots], begin) > 0
-            hit = by[marked[flat[by]] & toxic[owner[by]]]
-            top1 = hit
+            often = np.bincount(flat, weights=toxic[owner], minlength=len(names))
+            telling = _telling(often, clean_df, n1, n0)
+            marked = (_per_word(marks[slots], begin) > 0) | telling
+            top1 = by[marked[flat[by]] & toxic[owner[by]]]
         else:
             top1 = by[(place < 1) & toxic[owner[by]]]
         positive = np.union1d(flat[top1], explained)
         if step == 0:
-            often = np.bincount(flat, weights=toxic[owner], minlength=len(names))
             explained = positive[often[positive] >= max(3, 0.01 * n1)]   # kept whatever later rounds choose
         positive = positive[clean_df[positive] <= 0.01 * n0]
         negative = np.unique(flat[by[place < 4][~toxic[owner[by[place < 4]]]]])
         spread = np.flatnonzero(clean_df > 0)
         negative = np.union1d(negative, spread[:: max(1, len(spread) // 3000)])
+        negative = np.setdiff1d(negative, np.flatnonzero(telling))     # one stray clean document is no proof
         positive = np.setdiff1d(positive, negative)
         if not len(positive):
             return None
