@@ -933,3 +933,116 @@ def test_warc_reader_deals_bundles_out(spark, tmp_out):
     bundles = index.select("bundle").distinct().count()
     parts = warc.read_bundles(index, folder).select(F.spark_partition_id().alias("p")).distinct().count()
     assert bundles > 8 and parts == min(bundles, common.shuffle_partitions(spark))
+
+
+# ------------------------------------------------------ HTML by path ratios
+
+LONG = "A sentence of the article, with words, and then some more of them. "
+
+
+def paragraphs(n, size=5):
+    return [f"({i}) " + (LONG * size).strip() for i in range(n)]
+
+
+@pytest.mark.parametrize("wrapper", ['<div title="the hidden gem">', '<div style="overflow: hidden !important">',
+                                     '<div class="text hidden md:block">', "<div data-x='display:none'>", "<div hidden-note=1>"])
+def test_attributes_that_do_not_hide(wrapper):
+    body = paragraphs(3)
+    page = f"<body>{wrapper}<h1>Head</h1>" + "".join(f"<p>{p}</p>" for p in body) + "</div></body>"
+    assert html.main_text(page) == "\n".join(["Head", *body])
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "hidden=''", "aria-hidden='true'", "style='color:red; display:  none'"])
+def test_hidden_parts_go(attribute):
+    body = paragraphs(4)
+    page = "<article>" + "".join(f"<p>{p}</p>" for p in body) + f"<div {attribute}><p>Not shown, not at all.</p></div></article>"
+    assert html.main_text(page) == "\n".join(body)
+
+
+def test_readers_comments_go_whatever_their_size():
+    text, remarks = paragraphs(1)[0], "".join(f"<p>{p}</p>" for p in paragraphs(3, 8))
+    for area in ('<section class="comments">', '<div id="disqus_thread">', '<ol class="comment-list">', "<div class='user-comments box'>",
+                 '<article class="comment">'):
+        page = f"<article><p>{text}</p>{area}{remarks}</{area[1:].split()[0]}></article>"
+        assert html.main_text(page) == text, area
+    assert html.main_text(f"<div class=comments>{remarks}</div>") == ""
+    # a name that only holds the word is none
+    assert html.main_text(f'<article class="no-comments"><p>{text}</p></article>') == text
+    assert html.main_text(f'<div class="commentary"><p>{text}</p></div>') == text
+
+
+def test_names_that_only_hold_a_word():
+    body = paragraphs(3)
+    for name in ("social-history", "share-prices", "headers-and-footers-explained", "menu-of-the-day", "advertising-law"):
+        page = f'<article><p>{body[0]}</p><div class="{name}"><p>{body[1]}</p></div><p>{body[2]}</p></article>'
+        assert html.main_text(page) == "\n".join(body), name
+    for name in ("social-share", "site-footer", "mainNav", "sidebar-left", "cookie-notice", "related posts-list", "adBox"):
+        page = f'<article><p>{body[0]}</p><div class="{name}"><p>Some words, of no account.</p></div><p>{body[2]}</p></article>'
+        assert html.main_text(page) == "\n".join([body[0], body[2]]), name
+
+
+def test_a_page_with_neutral_names():
+    body = paragraphs(5)
+    menu = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in ("Home", "News", "Sport", "Contact"))
+    page = (f"<body><div class=x1><ul>{menu}</ul></div><div class=x2><p>Buy now!</p></div><div class=x3><h1>Head</h1><p class=b>By A. Writer</p>"
+            f"<p>{body[0]}</p><h2>Part</h2><p>{body[1]}</p><ul><li>one</li><li>two</li></ul><p>{body[2]}</p><p>Short.</p><p>{body[3]}</p>"
+            f"<div class=x9>Tags: <a href=/a>a</a> <a href=/b>b</a></div></div><div class=x4>(c) 2024 Corp</div></body>")
+    assert html.main_text(page) == "\n".join(["Head", "By A. Writer", body[0], "Part", body[1], "one", "two", body[2], "Short.", body[3]])
+
+
+def paths_brute(items):
+    """Content paths from (path, text, link length), by the definition."""
+    names = [p for p, _, _ in items]
+    ratio = {}
+    for p in set(names):
+        own = [(t, k) for q, t, k in items if q == p]
+        length = sum(len(t) - k for t, k in own) / len(own)
+        marks = sum(sum(c in ".,;:!?\u3002\uff0c\u2026" for c in t) for t, _ in own) / len(own)
+        ratio[p] = length * (1 + marks)
+    raw = [ratio[p] for p in names]
+    smooth = np.convolve(np.concatenate(([raw[0]], raw, [raw[-1]])), [0.25, 0.5, 0.25], "valid")
+    cut = min(smooth.mean(), smooth.std())
+    return {p for p in names if np.mean([min(s, 2 * ratio[p]) for q, s in zip(names, smooth) if q == p]) >= cut * (1 - 1e-12)}
+
+
+def test_content_paths_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(40):
+        items, page = [], ""
+        for box in range(rng.randrange(2, 7)):
+            name, tag = f"z{rng.randrange(9)}", rng.choice(["p", "li", "h2", "td"])
+            inner = ""
+            for _ in range(rng.randrange(1, 6)):
+                text = " ".join(rng.choice(["word", "and,", "end.", "more"]) for _ in range(rng.choice([1, 4, 30, 80])))
+                link = rng.random() < 0.3
+                items.append((f"/div.{name}/{tag}.q", text, len(text) if link else 0))
+                inner += f"<{tag} class=q>" + (f"<a href=/x>{text}</a>" if link else text) + f"</{tag}>"
+            page += f"<div class={name}>{inner}</div>"
+        found = html.blocks(page)
+        assert [(b.element.path, b.text, b.linked) for b in found] == items
+        assert html.content_paths(found) == paths_brute(items)
+
+
+def test_neutral_pages_give_their_article():
+    rng = random.Random(4)
+    for _ in range(60):
+        names = rng.sample([f"c{i}" for i in range(50)], 6)
+        body = [p for p in paragraphs(rng.randrange(3, 12), 4)]
+        links = "".join(f"<li><a href=/{i}>entry {i}</a></li>" for i in range(rng.randrange(3, 15)))
+        inner, want = "<h1>The headline</h1>", ["The headline"]
+        for i, p in enumerate(body):
+            inner += f"<p>{p}</p>"
+            want.append(p)
+            if i < len(body) - 1 and rng.random() < 0.4:
+                extra, tag = rng.choice([("A heading", "h2"), ("brief", "p"), ("a quote of it", "blockquote")])
+                inner += f"<{tag}>{extra}</{tag}>"
+                want.append(extra)
+        before = f"<div class={names[0]}><ul>{links}</ul></div>" + (f"<div class={names[1]}>Great offer today</div>" if rng.random() < 0.5 else "")
+        after = f"<div class={names[2]}><ul>{links}</ul></div><div id={names[3]}>All rights kept</div>"
+        assert html.main_text(f"<body>{before}<div class={names[4]}>{inner}</div>{after}</body>") == "\n".join(want)
+    assert html.main_text("<p>tie</p>") == "tie" and html.main_text("<p>a.</p><p>b.</p>") == "a.\nb."
+
+
+def test_extract_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html.extract(pages).count() == 0
