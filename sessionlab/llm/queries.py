@@ -86,20 +86,19 @@ def op8(spark, sf_dir):
 
 
 _TOPK_SQL = """
-with e as (
-  select vec_id, len(embedding) as n, generate_subscripts(embedding, 1) as i,
-         cast(unnest(embedding) as double) as x
-  from embeddings where vec_id is not null and embedding is not null),
-ok as (
-  select vec_id from e group by vec_id having count(*) = count(x) and bool_and(isfinite(x))),
-v as (
-  select vec_id, n, i, cast(floor(256 * x) as bigint) as x from e where vec_id in (select vec_id from ok)),
+with w as (
+  select vec_id, list_transform(embedding, lambda x: case when isfinite(x::double) then floor(256 * x::double) end) as x from embeddings
+  where vec_id is not null and embedding is not null),
+d as (
+  select distinct vec_id, x from w where len(list_filter(x, lambda v: v is not null)) = len(x)),
+r as (select row_number() over () as rid, vec_id, len(x) as n, x from d),
+v as (select rid, vec_id, n, generate_subscripts(x, 1) as i, cast(unnest(x) as bigint) as x from r),
 s as (
-  select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
+  select q.rid, q.vec_id as query_id, c.rid as cid, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
   from v q join v c on q.i = c.i and q.n = c.n and c.vec_id <> q.vec_id
-  where q.vec_id % 50 = 0 group by q.vec_id, c.vec_id),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
-select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+  where q.vec_id % 50 = 0 group by q.rid, q.vec_id, c.rid, c.vec_id),
+t as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from t where rank <= 5
 """
 
 

@@ -181,7 +181,11 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
         at = np.flatnonzero(stay)
         if not len(at):
             continue
-        order = at[np.lexsort((lo[at], v[at], k[at]))]
+        order = at[np.lexsort((h[at], lo[at], v[at], k[at]))]
+        # a row that is repeated gives each place once, not once per copy
+        again = np.zeros(len(order), dtype=bool)
+        again[1:] = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (h, k, v, lo)])
+        order = order[~again]
         k, v = k[order], v[order]
         cut = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (v[1:] != v[:-1]))))
         out = np.empty(len(order), dtype=_STRETCH)
@@ -443,6 +447,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
         for k, v, size, text, ats in zip(*(b.column(c).to_pylist() for c in ("k", "v", "size", "z", "ats"))):
             raw = unzip.decompress(text, max_output_size=max(1, size))
             s = np.frombuffer(b"".join(ats), dtype=_STRETCH)
+            s = s[np.unique(s["lo"], return_index=True)[1]]      # a start has one anchor
             begin = s["lo"].astype(np.int64)
             end = begin + s["n"] + length - 1
             contexts += [raw[a:z] for a, z in zip(begin.tolist(), end.tolist())]

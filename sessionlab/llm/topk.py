@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.llm.common import col
@@ -145,9 +145,8 @@ def search(vectors: DataFrame, id_col="vec_id", vector_col="embedding", query=No
 
     keys = ["dim", "ct", "qt"]
     found = c.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score long")
-    # each cell gives at most k a query; the k best of a query by one aggregate
-    order = F.struct((-F.col("score").cast("decimal(20,0)")).alias("s"), F.col("vec_id").alias("i"), F.col("score").alias("score"))
-    top = (found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("best"))
-           .select("query_id", F.posexplode("best").alias("at", "b")))
-    return top.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.i").alias("vec_id"),
-                      F.col("b.score").alias("score"))
+    # each cell gives at most k a query; the limit per query is applied before
+    # the exchange too, so no list of a query's cells is ever held
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))

@@ -1046,3 +1046,33 @@ def test_neutral_pages_give_their_article():
 def test_extract_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert html.extract(pages).count() == 0
+
+
+def test_repeated_rows_do_not_pile_up(spark):
+    """One row 300 times: its places reach a task once, not once per copy."""
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(210))
+    rows = [(7, text)] * 300 + [(i, text[i * 10:] + f" tail {i}") for i in range(10, 14)]
+    docs = docs_df(spark, rows).repartition(6)
+    narrow = docs.select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("v"), "text")
+    survey = narrow.mapInArrow(lambda it: substring._survey(it, 100, 20, 32), "bucket int, blob binary")
+    at = (survey.repartition(8, "bucket").mapInArrow(substring._repeated, "k long, v long, at binary")
+          .groupBy("k", "v").agg(F.sum(F.length("at")).alias("bytes")))
+    once = len(text) * 2 * substring._STRETCH.itemsize
+    assert at.agg(F.max("bytes")).first()[0] <= once
+    got = substring.dedup(docs).collect()
+    assert [r.n_removed for r in got if r.doc_id == 7] == [0] * 300
+    assert all(r.n_removed >= len(text) - r.doc_id * 10 for r in got if r.doc_id > 7)
+
+
+def test_topk_sql_on_repeated_rows_and_shared_ids(spark):
+    rows = [(50, [0.5, 0.25]), (50, [0.5, 0.25]), (50, [0.1, 0.1]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [0.5, 2.0]),
+            (2, [0.5, 0.5]), (3, None), (4, [1.0, None]), (100, [3.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    want = con.execute(ORACLE["op9_topk"]).fetchall()
+    got = [tuple(r) for r in topk.search(df, query=lambda c: c % 50 == 0).select("query_id", "rank", "vec_id", "score").collect()]
+    key = lambda r: (r[0], r[1])
+    assert [(q, r, s) for q, r, _, s in sorted(got, key=key)] == [(q, r, s) for q, r, _, s in sorted(want, key=key)]
+    assert sorted(got) == sorted(want)
