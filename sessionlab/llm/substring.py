@@ -8,7 +8,9 @@ that also starts earlier in the corpus (by document id, then by position).
 2. Anchors met only once in the corpus are dropped: no string of their
    stretches can repeat.  This only narrows the candidates.
 3. The remaining stretches (text of their starts and length - 1 bytes more)
-   are dealt out by anchor, so equal strings meet.  Equal stretches are
+   are dealt out by anchor, so equal strings meet.  Those of a hot anchor, as
+   of a line in a large share of all documents, are first cut anew by anchors
+   of FINE_GRAM bytes, which the text around the line tells apart.  Equal stretches are
    merged before and after the shuffle.  What is left is cut into shards,
    each gets a suffix array by Larsson-Sadakane refinement (numpy) and
    Kasai's common prefixes; neighbours that share ``length`` bytes are one
@@ -40,6 +42,11 @@ GRAM = 20
 SHARD_BYTES = 1 << 21
 SLICE_BYTES = 1 << 21
 BUCKETS_PER_PARTITION = 4
+#: An anchor in this many slices of text is hot; at most so many are; bytes of
+#: the anchors that its stretches are cut by instead.
+HOT_SLICES = 64
+HOT_ANCHORS = 100_000
+FINE_GRAM = 90
 
 _TABLE = np.random.default_rng(20240131).integers(0, 2 ** 64, 256, dtype=np.uint64)
 _M = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB),
@@ -165,9 +172,10 @@ def _survey(batches: Iterator[pa.RecordBatch], length: int, gram: int, buckets:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]):
+def _repeated(batches: Iterator[pa.RecordBatch], hot_slices: int = HOT_SLICES):
     """Of a partition's buckets: stretches whose hash occurs again, packed by
-    document."""
+    document; and, in rows without a document, hashes met in ``hot_slices``
+    slices or more, with their number."""
     held: dict[int, list] = {}
     for b in batches:
         for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist()):
@@ -178,6 +186,12 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
         _, inverse, counts = np.unique(h[counted], return_inverse=True, return_counts=True)
         stay = many >= 1
         stay[counted] |= counts[inverse] > 1
+        if len(counts) and counts.max() >= hot_slices:
+            place = np.unique(inverse, return_index=True)[1]
+            often = counts >= hot_slices
+            found = np.column_stack((h[counted][place[often]].view(np.int64), counts[often]))
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()),
+                                              pa.array([found.astype("<i8").tobytes()], pa.binary())], names=["k", "v", "at"])
         at = np.flatnonzero(stay)
         if not len(at):
             continue
@@ -412,9 +426,24 @@ def _runs_of(values: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     return np.split(rows, np.flatnonzero(np.diff(values)) + 1) if len(rows) else []
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
+def _finer(raw: bytes, s: np.ndarray, length: int, gram: int):
+    """Stretches of a hot anchor cut anew by anchors of ``gram`` bytes: equal
+    strings still choose the same, but a line that many documents share no
+    longer brings together what differs around it."""
+    begin = s["lo"].astype(np.int64)
+    size = s["n"].astype(np.int64) + length - 1
+    text = np.frombuffer(b"".join([raw[a:a + z] for a, z in zip(begin.tolist(), size.tolist())]), np.uint8)
+    h, which, lo, n = stretches(text, np.concatenate(([0], np.cumsum(size))), length, gram)
+    out = np.empty(len(h), dtype=_STRETCH)
+    out["h"], out["lo"], out["n"] = h, begin[which] + lo, n
+    return out
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray | None = None,
+              fine: int = FINE_GRAM):
     """Text of the repeated stretches by bucket, equal ones merged; places of
-    those found equal to an earlier one travel along as finished runs."""
+    those found equal to an earlier one travel along as finished runs.
+    ``hot``: sorted hashes of anchors whose stretches are cut finer."""
     unzip = zstandard.ZstdDecompressor()
     contexts: list[bytes] = []
     hashes: list = []
@@ -448,6 +477,10 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int):
             raw = unzip.decompress(text, max_output_size=max(1, size))
             s = np.frombuffer(b"".join(ats), dtype=_STRETCH)
             s = s[np.unique(s["lo"], return_index=True)[1]]      # a start has one anchor
+            if hot is not None and len(hot):
+                often = hot[np.minimum(np.searchsorted(hot, s["h"]), len(hot) - 1)] == s["h"]
+                if often.any():
+                    s = np.concatenate((s[~often], _finer(raw, s[often], length, min(fine, length))))
             begin = s["lo"].astype(np.int64)
             end = begin + s["n"] + length - 1
             contexts += [raw[a:z] for a, z in zip(begin.tolist(), end.tolist())]
@@ -555,18 +588,34 @@ def _zipped(batches: Iterator[pa.RecordBatch]):
              pa.array([z.compress(t) for t in texts], pa.binary())], names=["k", "v", "size", "z"])
 
 
-def find_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def hot_anchors(found: DataFrame, most: int = HOT_ANCHORS) -> np.ndarray:
+    """The anchors met in most slices, of those that ``_repeated`` names,
+    sorted.  Any other is in less than one in ``most`` of all counted."""
+    def named(batches):
+        for b in batches:
+            pairs = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in b.column(0).to_pylist()] or [np.zeros((0, 2), np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["h", "slices"])
+
+    rows = (found.where("k is null").select("at").mapInArrow(named, "h long, slices long")
+            .orderBy(F.desc("slices"), "h").limit(most).collect())
+    return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
+
+
+def find_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
+              hot_slices: int = HOT_SLICES) -> DataFrame:
     """(k, v, runs) for documents with duplicated starts; ``docs`` is
     (k, v, text)."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     buckets = parts * BUCKETS_PER_PARTITION
     survey = docs.mapInArrow(lambda it: _survey(it, length, gram, buckets), "bucket int, blob binary")
-    repeated = (survey.repartition(parts, "bucket").mapInArrow(_repeated, "k long, v long, at binary")
-                .groupBy("k", "v").agg(F.collect_list("at").alias("ats")))
+    known = stage(survey.repartition(parts, "bucket").mapInArrow(lambda it: _repeated(it, hot_slices), "k long, v long, at binary"),
+                  "substring_anchors")
+    hot = hot_anchors(known)
+    repeated = known.where("k is not null").groupBy("k", "v").agg(F.collect_list("at").alias("ats"))
     zipped = docs.mapInArrow(_zipped, "k long, v long, size long, z binary").dropDuplicates(["k", "v"])
     found = (zipped.join(repeated, ["k", "v"])
-             .mapInArrow(lambda it: _contexts(it, length, buckets), "bucket int, place binary, hash binary, body binary"))
+             .mapInArrow(lambda it: _contexts(it, length, buckets, hot), "bucket int, place binary, hash binary, body binary"))
     return (found.repartition(parts, "bucket")
             .mapInArrow(lambda it: _settle(it, length, shard_bytes), "k long, v long, runs binary")
             .groupBy("k", "v").agg(F.collect_list("runs").alias("runs")))

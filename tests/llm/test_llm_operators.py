@@ -1076,3 +1076,36 @@ def test_topk_sql_on_repeated_rows_and_shared_ids(spark):
     key = lambda r: (r[0], r[1])
     assert [(q, r, s) for q, r, _, s in sorted(got, key=key)] == [(q, r, s) for q, r, _, s in sorted(want, key=key)]
     assert sorted(got) == sorted(want)
+
+
+def test_hot_line_spreads_over_buckets(spark):
+    """A line of 52 bytes in every document, between texts that differ: its
+    anchors are hot, and their stretches go to many buckets."""
+    rng = random.Random(6)
+    word = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    line = "one line of fifty-two bytes that all documents hold."
+    rows = [(i, word(40) + line + word(40)) for i in range(600)]
+    twice = rows[3][1][200:420]
+    rows += [(1000 + i, word(5) + twice + word(3)) for i in range(3)]
+    docs = docs_df(spark, rows).repartition(24)
+    narrow = docs.select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("v"), "text")
+    survey = narrow.mapInArrow(lambda it: substring._survey(it, 100, 20, 800), "bucket int, blob binary")
+    known = survey.repartition(8, "bucket").mapInArrow(lambda it: substring._repeated(it, 8), "k long, v long, at binary").cache()
+    hot = substring.hot_anchors(known)
+    assert 1 <= len(hot) <= 60 and (np.diff(hot.astype(np.float64)) > 0).all()
+    ats = known.where("k is not null").groupBy("k", "v").agg(F.collect_list("at").alias("ats"))
+    zipped = narrow.mapInArrow(substring._zipped, "k long, v long, size long, z binary")
+
+    def shares(hot):
+        out = (zipped.join(ats, ["k", "v"]).mapInArrow(lambda it: substring._contexts(it, 100, 800, hot),
+                                                       "bucket int, place binary, hash binary, body binary")
+               .where("body is not null").groupBy("bucket").agg(F.sum(F.length("place")).alias("b")).collect())
+        return max(r.b for r in out) / sum(r.b for r in out)
+
+    assert shares(None) > 0.15 and shares(hot) < 0.05
+    want = {i: sum(c) for i, c in brute_removed(sorted((i, t.encode()) for i, t in rows), 100).items() if any(c)}
+    assert set(want) == {1000, 1001, 1002} and min(want.values()) >= 220
+    for slices in (2, substring.HOT_SLICES):
+        runs = substring.find_runs(narrow, hot_slices=slices).collect()
+        spans = {r.k: substring.removed_spans(b"".join(r.runs), 100) for r in runs}
+        assert {k: int((x[:, 1] - x[:, 0]).sum()) for k, x in spans.items()} == want
