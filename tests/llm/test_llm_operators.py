@@ -599,7 +599,7 @@ def html_free(text):
 
 
 def test_registered_queries(spark):
-    assert [q.split("_")[0] for q in QUERIES if q.startswith("op")] == [f"op{i}" for i in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+    assert [q.split("_")[0] for q in QUERIES if q.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     n = spark.read.parquet(f"{SF001}/documents.parquet").count()
     for name in ("op3_toxicity", "op4_language_id", "op8_quality"):
         out = QUERIES[name](spark, SF001)
