@@ -2,6 +2,9 @@
 
 Each query's result is fully materialised through the ``noop`` sink (every
 column computed, nothing collected).  A warm-up query absorbs JVM start-up.
+``queries`` are cold times: tables that queries share are released before each,
+so the order does not matter.  ``warm`` repeats a query on the tables its cold
+run has staged (not those whose cold run took over WARM_LIMIT_S).
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ HEADLINE = [
 ]
 
 
+WARM_LIMIT_S = 60
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -41,20 +47,26 @@ def main() -> None:
     os.environ.setdefault("SESSIONLAB_SCRATCH", scratch)
     spark = get_spark(f"local[{cpus}]", int(cpus), app_name="sessionlab-bench",
                       extra={"spark.driver.memory": "16g"})
-    from sessionlab.plans import catalog
+    from sessionlab.plans import catalog, workspace
+
+    def run(name: str) -> float:
+        t = time.perf_counter()
+        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - t, 3)
 
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
-    timings, failed = {}, {}
+    timings, warm, failed = {}, {}, {}
     for n in names:
-        t = time.perf_counter()
+        workspace.release(spark)
         try:
-            catalog.QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            timings[n] = round(time.perf_counter() - t, 3)
+            timings[n] = run(n)
+            if timings[n] <= WARM_LIMIT_S:
+                warm[n] = run(n)
         except Exception as e:  # noqa: BLE001 - report, keep the JSON line
             failed[n] = repr(e)[:200]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
-           "unit": "sec", "queries": timings, "sf": sf}
+           "unit": "sec", "queries": timings, "warm": warm, "sf": sf}
     if failed:
         out["failed"] = failed
     print(json.dumps(out))

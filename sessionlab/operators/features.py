@@ -7,13 +7,15 @@ projection of one statistics table, not one pass per family.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlab.functions.exprs import between_flag, flag, in_flag, ratio, safe_ratio
 from sessionlab.operators.rates import RateModel
 from sessionlab.operators.sessions import Lookups, session_stats
-from sessionlab.schema import ADD_CART, BUY, REMOVE_CART, SESSION, TARGET, VIEW
+from sessionlab.schema import ADD_CART, BUY, CLICK_SCHEMA_NO_TARGET, REMOVE_CART, SESSION, TARGET, VIEW
 
 # Fixed values of the feature rules.
 EVENTS_PER_MINUTE_FLOOR = 0.01
@@ -208,17 +210,6 @@ def page_value_columns() -> list[Column]:
 FAMILIES = ("base", "behavioral", "research", "temporal")
 
 
-def _names(cols: list[Column]) -> list[str]:
-    """Alias names of the family columns (every family column is aliased)."""
-    out = []
-    for c in cols:
-        try:
-            out.append(c._jc.expr().name())          # the Alias expression's name
-        except Exception:  # noqa: BLE001 - other Column implementations
-            out.append(str(c).rsplit(" AS ", 1)[-1].rstrip("'>").strip("`"))
-    return out
-
-
 def family_columns(name: str, rates: RateModel | None = None) -> list[Column]:
     if name == "base":
         return base_columns()
@@ -260,7 +251,7 @@ def build_features(clicks: DataFrame, families=FAMILIES, rates: RateModel | None
         seen |= {SESSION, "user_id"}
     for fam in families:
         fcols = family_columns(fam, rates)
-        for c, nm in zip(fcols, _names(fcols)):
+        for c, nm in zip(fcols, st.select(*fcols).columns):
             if nm not in seen:
                 cols.append(c)
                 seen.add(nm)
@@ -283,16 +274,16 @@ def merge_feature_tables(tables: list[DataFrame]) -> DataFrame:
 
 
 def feature_names(families=FAMILIES) -> list[str]:
-    """Names of the candidate features of ``families`` in table order."""
-    seen, out = set(), []
-    dummy = RateModel(Lookups(), 0.0, 0.0)
-    for fam in families:
-        if fam == "page_value":
-            cols = page_value_columns()
-        else:
-            cols = family_columns(fam, dummy)
-        for nm in _names(cols):
-            if nm not in seen:
-                seen.add(nm)
-                out.append(nm)
-    return out
+    """Names of the candidate features of ``families`` in table order, as Spark
+    resolves them over an empty log (no job runs)."""
+    return list(_feature_names(tuple(families)))
+
+
+@lru_cache
+def _feature_names(families: tuple[str, ...]) -> tuple[str, ...]:
+    spark = SparkSession.active()
+    none = lambda schema: spark.createDataFrame([], schema)
+    lookups = Lookups(none("category_id string, buy_rate double, engagement double"), none("product_id string, buy_rate double"),
+                      none("category_id string, page_value double"),
+                      rows={"category_rates": 0, "product_rates": 0, "page_values": 0})
+    return tuple(build_features(none(CLICK_SCHEMA_NO_TARGET), families, RateModel(lookups, 0.0, 0.0), keep_ids=False).columns)

@@ -54,7 +54,8 @@ VALIDATION_FOREST = {"kind": "rf", "numTrees": 100, "maxDepth": 8, "minInstances
                      "featureSubsetStrategy": "0.7"}
 SMALL_FOREST = {"kind": "rf", "numTrees": 50, "maxDepth": 30, "featureSubsetStrategy": "all"}
 EARLY_STOP_SHARE = 0.1       # share of a fold's training rows that choose the iteration
-EARLY_STOP_PATIENCE = 100    # rounds without a better one before training would end
+EARLY_STOP_PATIENCE = 100    # rounds without a better one before training ends
+FIRST_ROUNDS = 200           # rounds of the fit that is tried first
 
 
 # Tree training: node ids cached between levels, a larger histogram budget per
@@ -137,8 +138,8 @@ class FittedModel:
 def fit_model(df: DataFrame, features: list[str], spec: dict, name: str = "model", label: str = TARGET,
               pred: str = "prediction", prepared: bool = False) -> FittedModel:
     """Fit one tree model (M2-M5, M13) on ``features`` -> ``label``.  With early
-    stopping (M7) a hashed share of the rows chooses the number of rounds: the
-    boosted model is fitted once and keeps its first trees up to the best."""
+    stopping (M7) a hashed share of the rows chooses the number of rounds, and
+    the boosted model keeps its first trees up to the best one."""
     data = df if prepared else _prepared(df, features, label)
     va = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep")
     stop_early = spec.get("early_stopping") and spec["kind"] == "gbt"
@@ -146,11 +147,19 @@ def fit_model(df: DataFrame, features: list[str], spec: dict, name: str = "model
     kept = data.filter(~held) if stop_early else data
     if stop_early and (kept.isEmpty() or data.filter(held).isEmpty()):
         stop_early, kept = False, data
-    model = _regressor(spec, "_v", label, pred).fit(va.transform(kept))
-    if stop_early:
-        best = best_iteration(model.evaluateEachIteration(va.transform(data.filter(held)), "squared"))
-        model = prefix_model(model, best)
-    return FittedModel(name, features, PipelineModel([va, model]), pred)
+    if not stop_early:
+        model = _regressor(spec, "_v", label, pred).fit(va.transform(kept))
+        return FittedModel(name, features, PipelineModel([va, model]), pred)
+    train, test = va.transform(kept), va.transform(data.filter(held))
+    # boosting cannot be stopped from outside: a first fit of some rounds shows
+    # in most cases that patience ends within them, else all rounds are run
+    for rounds in sorted({min(spec["maxIter"], FIRST_ROUNDS), spec["maxIter"]}):
+        model = _regressor(dict(spec, maxIter=rounds), "_v", label, pred).fit(train)
+        errors = model.evaluateEachIteration(test, "squared")
+        best = best_iteration(errors)
+        if len(errors) - best >= EARLY_STOP_PATIENCE:
+            break
+    return FittedModel(name, features, PipelineModel([va, prefix_model(model, best)]), pred)
 
 
 def prefix_model(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:

@@ -180,6 +180,13 @@ def test_early_stopping_fits_once(spark, tables, monkeypatch):
     spec = dict(M.CONFIG["catboost"], maxIter=6, maxDepth=2)
     m = M.fit_model(tr, ["buy_count", "total_events"], spec)
     assert len(fits) == 1 and 1 <= m.pipeline.stages[-1].getNumTrees <= 6
+    # patience ends within the first rounds: no further fit; else all rounds, and the same model as at once
+    monkeypatch.setattr(M, "EARLY_STOP_PATIENCE", 2)
+    monkeypatch.setattr(M, "best_iteration", lambda errors, patience=2: min(3, len(errors)))
+    for first, many in ((5, 1), (4, 2)):
+        fits.clear()
+        monkeypatch.setattr(M, "FIRST_ROUNDS", first)
+        assert M.fit_model(tr, ["buy_count"], spec).pipeline.stages[-1].getNumTrees == 3 and len(fits) == many
 
 
 def test_any_estimator_as_a_member(spark, tables, tmp_out):
