@@ -1,25 +1,29 @@
 """Exact, distributed percentiles (linear interpolation, as numpy / pandas).
 
 ``percentile()`` keeps every value of a group in one aggregation buffer and
-``percentile_approx`` is not exact.  Selection by brackets is both exact and
+``percentile_approx`` is not exact.  Selection by cells is both exact and
 bounded, with two scans of the data whatever its size:
 
-1. one sketch per column (``percentile_approx``, rank error at most
-   n / accuracy) gives, for each wanted rank, two values that enclose it;
-2. one aggregate counts, per column, the values between the brackets and the
-   distinct values inside them; nothing else is shuffled, and a value held by
-   a third of all rows is one row;
-3. the rows inside, a few in ``accuracy``, are narrowed by further sketches
-   until each bracket holds a bounded number, which one window then ranks.
+1. doubles are cut into cells by their leading bits (sign, exponent and eight
+   bits of the fraction), which keep their order; the tasks count the rows of
+   every cell, and running sums give the cell that holds a wanted rank;
+2. the tasks count the distinct values inside those cells; nothing else is
+   shuffled, and a value held by a third of all rows is one row a task;
+3. the values inside are narrowed by sketches until each cell holds a bounded
+   number, which one window then ranks.
 
-A bracket that misses its rank is found out by the exact counts and opened.
+A task counts a batch of all columns at a time and hands out sums, so no row
+a value is made.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ from sessionlab.sources.store import stage
 ACCURACY = 10_000          # of the sketches
 MAX_INSIDE = 100_000       # distinct values of one bracket that a window ranks
 GRID = 256                 # cells a bracket above that size is cut into
+CELL_SHIFT = 44            # low bits of a double that its cell leaves out
+HELD = 1_000_000           # distinct entries a task holds before it hands them out
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -63,6 +69,67 @@ def _cell(x: Column, brackets: list[tuple[float, float]]) -> Column:
     return e
 
 
+def _ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Integers in the order of the doubles; both zeros are one."""
+    bits = (x + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(2 ** 63 - 1))
+
+
+def _from_bits(k: np.ndarray) -> np.ndarray:
+    return (k ^ ((k >> 63) & np.int64(2 ** 63 - 1))).view(np.float64)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    out = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(out, place, np.concatenate([n for _, n in parts]))
+    return keys, out
+
+
+def _count_values(batches: Iterator[pa.RecordBatch], cells: dict[int, np.ndarray] | None):
+    """Rows (c, b, x, cnt) of column number, cell and count; with ``cells``
+    (sorted, by column) only values inside these, by value, b their place."""
+    held: dict[int, list] = {}
+    size = 0
+
+    def handed_out():
+        for i, parts in held.items():
+            k, n = _summed(parts)
+            x = _from_bits(k) if cells else np.zeros(len(k))
+            b = np.searchsorted(cells[i], k >> CELL_SHIFT) if cells else k
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), i, dtype=np.int32)), pa.array(b.astype(np.int32)),
+                                              pa.array(x), pa.array(n)], names=["c", "b", "x", "cnt"])
+
+    for batch in batches:
+        for name, column in zip(batch.schema.names, batch.columns):
+            i = int(name[1:])
+            x = column.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            k = _ordered_bits(x[~np.isnan(x)])
+            if cells:
+                at = k >> CELL_SHIFT
+                mine = cells[i]
+                k = k[mine[np.minimum(np.searchsorted(mine, at), len(mine) - 1)] == at]
+            else:
+                k = k >> CELL_SHIFT
+            if len(k):
+                held.setdefault(i, []).append(np.unique(k, return_counts=True))
+                size += len(held[i][-1][0])
+        if size > HELD:
+            held = {i: [_summed(parts)] for i, parts in held.items()}
+            size = sum(len(parts[0][0]) for parts in held.values())
+            if size > HELD // 2:
+                yield from handed_out()
+                held, size = {}, 0
+    yield from handed_out()
+
+
+def _counted(rows: DataFrame, cells: dict[int, np.ndarray] | None = None) -> DataFrame:
+    counted = rows.mapInArrow(lambda it: _count_values(it, cells), "c int, b int, x double, cnt long")
+    return stage(counted.groupBy("c", "b", "x").agg(F.sum("cnt").alias("cnt")), "quantiles")
+
+
 def _narrowed(inside: DataFrame, wanted: dict[tuple[int, int], list[int]], accuracy: int) -> tuple[DataFrame, dict]:
     """Keep, of every bracket, the grid cells that hold a wanted rank."""
     sketch = F.percentile_approx("x", [i / GRID for i in range(1, GRID)], accuracy)
@@ -99,59 +166,35 @@ def select_ranks(df: DataFrame, columns: dict[str, Column], ranks, shares: list[
                  max_inside: int = MAX_INSIDE) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
     """Count of non-null values of every column, and the values at the
     0-based ranks ``ranks(n)`` of its ascending order.  ``shares``: about where
-    the ranks lie (rank / n); a wrong share costs time, not the result."""
+    the ranks lie (rank / n); the cells find them without it."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     names = list(columns)
     rows = df.select(*[columns[c].alias(f"x{i}") for i, c in enumerate(names)])
-    slack = 2 / accuracy
-
-    # scan 1: counts and sketches
-    grid = sorted({min(1.0, max(0.0, p + d)) for p in shares for d in (-slack, slack)})
-    aggs = []
-    for i in range(len(names)):
-        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.percentile_approx(f"x{i}", grid, accuracy).alias(f"s{i}")]
-    first = rows.agg(*aggs).first()
-    count = {c: first[f"n{i}"] for i, c in enumerate(names)}
-    want = {i: sorted(set(ranks(count[c]))) for i, c in enumerate(names) if count[c]}
     result: dict[str, dict[int, float]] = {c: {} for c in names}
-    brackets: dict[int, list[tuple[float, float]]] = {}
-    for i, targets in want.items():
-        n, at = count[names[i]], dict(zip(grid, first[f"s{i}"]))
-        pairs = []
-        for r in targets:
-            share = r / max(1, n - 1)
-            lower, upper = [p for p in grid if p <= share - slack / 2], [p for p in grid if p >= share + slack / 2]
-            pairs.append((at[lower[-1]] if lower else -math.inf, at[upper[0]] if upper else math.inf))
-        brackets[i] = _merged(pairs)
-
-    while want:
-        # scan 2: values inside the brackets by value, all others by their cell
-        structs = []
-        for i in want:
-            cell = _cell(F.col(f"x{i}"), brackets[i])
-            structs.append(F.struct(F.lit(i).alias("c"), cell.alias("b"), F.when(cell % 2 == 1, F.col(f"x{i}")).alias("x")))
-        cells = stage(rows.select(F.explode(F.array(*structs)).alias("s")).select("s.*").where("b is not null")
-                      .groupBy("c", "b", "x").agg(F.count(F.lit(1)).alias("cnt")), "quantiles")
-        held: dict[int, list] = {i: [] for i in want}
-        for r in cells.groupBy("c", "b").agg(F.sum("cnt").alias("t"), F.count(F.lit(1)).alias("d")).collect():
-            held[r["c"]].append((r["b"], r["t"], r["d"]))
-        wanted: dict[tuple[int, int], list] = {}
-        missed = {}
-        for i, targets in want.items():
-            acc, spans = 0, []
-            for b, t, d in sorted(held[i]):
-                spans.append((acc, acc + t, b, d))
-                acc += t
-            for r in targets:
-                hit = next(((b, a, d) for a, z, b, d in spans if a <= r < z and b % 2), None)
-                if hit is None:
-                    missed.setdefault(i, []).append(r)
-                else:
-                    wanted.setdefault((i, hit[0]), []).append((r, r - hit[1], hit[2]))
-        _rank_inside(cells, wanted, names, result, accuracy, max_inside)
-        want = missed
-        brackets = {i: [(-math.inf, math.inf)] for i in missed}
+
+    # scan 1: rows of every cell, and the cells that hold the wanted ranks
+    cells = _counted(rows)
+    total = {r["c"]: r["n"] for r in cells.groupBy("c").agg(F.sum("cnt").alias("n")).collect()}
+    count = {c: total.get(i, 0) for i, c in enumerate(names)}
+    asked = [(i, r) for i in total for r in sorted(set(ranks(total[i])))]
+    if not asked:
+        return count, result
+    upto = Window.partitionBy("c").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    hits = cells.withColumn("upto", F.sum("cnt").over(upto)) \
+        .join(F.broadcast(spark.createDataFrame(asked, "c int, r long")), "c") \
+        .where("r < upto and r >= upto - cnt").select("c", "b", "r", (F.col("upto") - F.col("cnt")).alias("below")).collect()
+    inside: dict[int, np.ndarray] = {i: np.array(sorted({h["b"] for h in hits if h["c"] == i}), dtype=np.int64)
+                                     for i in {h["c"] for h in hits}}
+
+    # scan 2: the values inside these cells
+    values = _counted(rows.select(*[f"x{i}" for i in sorted(inside)]), inside)
+    distinct = {(r["c"], r["b"]): r["count"] for r in values.groupBy("c", "b").count().collect()}
+    wanted: dict[tuple[int, int], list] = {}
+    for h in hits:
+        key = h["c"], int(np.searchsorted(inside[h["c"]], h["b"]))
+        wanted.setdefault(key, []).append((h["r"], h["r"] - h["below"], distinct[key]))
+    _rank_inside(values, wanted, names, result, accuracy, max_inside)
     return count, result
 
 
