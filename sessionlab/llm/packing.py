@@ -115,7 +115,7 @@ class ChunkEncoder:
     (as the word-end BPE's does) gives a text the ids of its chunks in order.
     Short chunks are remembered, as most words of a corpus come again."""
 
-    REMEMBERED, CHUNK, JOINED = 700_000, 64, 4096
+    REMEMBERED, CHUNK, JOINED = 1_500_000, 64, 4096
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer

@@ -1109,3 +1109,19 @@ def test_hot_line_spreads_over_buckets(spark):
         runs = substring.find_runs(narrow, hot_slices=slices).collect()
         spans = {r.k: substring.removed_spans(b"".join(r.runs), 100) for r in runs}
         assert {k: int((x[:, 1] - x[:, 0]).sum()) for k, x in spans.items()} == want
+
+
+def test_packing_remembers_a_million_words():
+    """op2: what a worker reads again and again is not forgotten after some 40 MB; forgetting changes no id."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from sessionlab.llm import packing
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    keep, forget = packing.ChunkEncoder(tokenizer), packing.ChunkEncoder(tokenizer)
+    keep.known = {str(i): b"" for i in range(1_000_000)}
+    keep(["once more"])
+    assert len(keep.known) > 1_000_000
+    forget.REMEMBERED = 1
+    texts = ["Some Words, again and again.", "again: other words\nSome", ""] * 3
+    fresh = packing.ChunkEncoder(tokenizer)
+    assert [forget([t])[0] for t in texts] == fresh(texts)
