@@ -56,10 +56,24 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches, max_bytes: int, column: str = "text", rows: int = 1 << 30):
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """What a Python worker keeps for its next tasks; ``slices`` of any other
+    operator lets go of it, so that one operator's memory is held at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def slices(batches, max_bytes: int, column: str = "text", rows: int = 1 << 30, keep: bool = False):
     """Cut Arrow batches into runs of whole rows of about ``max_bytes`` of
     text, so that numpy work arrays stay bounded whatever a batch holds (a
-    longer row makes a run of its own)."""
+    longer row makes a run of its own).  ``keep``: the caller uses ``kept``."""
+    if not keep:
+        _KEPT.clear()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -74,6 +88,26 @@ def slices(batches, max_bytes: int, column: str = "text", rows: int = 1 << 30):
             start = stop
 
 
+def few(batches, rows: int = 256):
+    """Cut Arrow batches into runs of few rows, for work on Python objects."""
+    for batch in batches:
+        for s in range(0, batch.num_rows, rows):
+            yield batch.slice(s, rows)
+
+
+def judged(batches, at: int, max_bytes: int, judge):
+    """The rows of Arrow batches that ``judge`` keeps, cut into runs of about
+    ``max_bytes`` of text (column ``at``): only a run is copied at a time.
+    ``judge`` takes a run as (k, text) batch, k from 0, and returns booleans."""
+    for batch in batches:
+        text = batch.column(at).cast(pa.string()).fill_null("")
+        rest = 0
+        for part in slices([pa.RecordBatch.from_arrays([text], names=["text"])], max_bytes):
+            probe = pa.RecordBatch.from_arrays([pa.array(np.arange(part.num_rows)), part.column("text")], names=["k", "text"])
+            yield batch.slice(rest, part.num_rows).filter(pa.array(judge(probe), pa.bool_()))
+            rest += part.num_rows
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null ids as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import hashed_sample, has_letter, key, col, keyed_text, slices, unkey, utf8
+from sessionlab.llm.common import hashed_sample, has_letter, judged, key, col, keyed_text, slices, unkey, utf8
 
 BINS = 1 << 13
 PER_LANGUAGE = 400
@@ -142,11 +142,7 @@ def determined(docs: DataFrame, model, text_col="text") -> DataFrame:
     travels with its prediction, so nothing is joined."""
     at = docs.columns.index(text_col)
 
-    def keep(batches):
-        for batch in batches:
-            text = batch.column(at).cast(pa.string()).fill_null("")
-            probe = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), text], names=["k", "text"])
-            good = [v != UNDETERMINED for b in _predict([probe], model) for v in b.column("lang_pred").to_pylist()]
-            yield batch.filter(pa.array(good, pa.bool_()))
+    def good(probe):
+        return [v != UNDETERMINED for b in _predict([probe], model) for v in b.column("lang_pred").to_pylist()]
 
-    return docs.mapInArrow(keep, T.StructType(docs.schema.fields))
+    return docs.mapInArrow(lambda it: judged(it, at, 1 << 21, good), T.StructType(docs.schema.fields))

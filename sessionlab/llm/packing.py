@@ -19,14 +19,13 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from sessionlab.llm.common import NO_ID, crc32, keyed_text, slices
+from sessionlab.llm.common import NO_ID, crc32, kept, keyed_text, slices
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
@@ -229,9 +228,13 @@ class ChunkEncoder:
         return [b"".join(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    """One per Python worker: later tasks of the worker find its words."""
+    """One per Python worker: later tasks of the worker find its words, until
+    it reads texts for another operator."""
+    return kept(("packing", path), lambda: _encoder(path))
+
+
+def _encoder(path: str) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -258,7 +261,7 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, w
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, schema)], schema=schema)
 
-    for part in slices(batches, SLICE_BYTES):
+    for part in slices(batches, SLICE_BYTES, keep=True):
         keys = part.column("k").to_pylist()
         for doc, raw in zip(keys, encode(part.column("text").to_pylist())):
             ids = np.frombuffer(raw + int(end_id).to_bytes(4, "little"), dtype="<u4")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import col, free_names, key, shuffle_partitions, slices, unkey, utf8
+from sessionlab.llm.common import col, few, free_names, key, shuffle_partitions, slices, unkey, utf8
 from sessionlab.sources.store import stage
 
 LENGTH = 100
@@ -682,7 +682,7 @@ def rewrite(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LEN
 
     def squeeze(batches):
         z = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in few(batches):
             texts = b.column(at).cast(pa.large_binary()).to_pylist()
             cols = list(b.columns)
             cols[at] = pa.array([None if t is None else z.compress(t) for t in texts], pa.binary())
@@ -690,7 +690,7 @@ def rewrite(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LEN
 
     def cut(batches):
         unzip = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in few(batches):
             new, keep = [], []
             for t, runs_ in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
                 raw = None if t is None else unzip.decompress(t)

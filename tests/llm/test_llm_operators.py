@@ -1125,3 +1125,25 @@ def test_packing_remembers_a_million_words():
     texts = ["Some Words, again and again.", "again: other words\nSome", ""] * 3
     fresh = packing.ChunkEncoder(tokenizer)
     assert [forget([t])[0] for t in texts] == fresh(texts)
+
+
+def test_pipeline_workers_hold_little(spark):
+    """pipeline: a worker lets go of packing's words when it reads for another operator, and a stage copies a run of
+    rows at a time, not a whole Arrow batch."""
+    pytest.importorskip("public_tokenizers")
+    path = tokenizer_path()
+    words = packing.encoder(path)
+    assert len(words(["some words"])[0]) > 0 and packing.encoder(path) is words
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array(["some text " * 100] * 599 + [None])], names=["k", "text"])
+    list(packing._pack([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).fill_null("")], names=["k", "text"])],
+                       path, 1, 2048))
+    assert packing.encoder(path) is words
+    list(langid._predict([batch.slice(0, 5)], None))
+    assert packing.encoder(path) is not words
+    runs = []
+    got = list(common.judged([batch], 1, 100_000, lambda part: runs.append(part.num_rows) or [k % 2 == 0 for k in part.column("k").to_pylist()]))
+    assert max(runs) == 100 and sum(runs) == 600
+    assert pa.Table.from_batches(got).column("k").to_pylist() == list(range(0, 600, 2))
+    assert [b.num_rows for b in common.few([batch], 250)] == [250, 250, 100] and not list(common.few([batch.slice(0, 0)]))
+    docs = docs_df(spark, EDGE)
+    assert langid.determined(docs, None).count() == 0 and substring.rewrite(docs).where("doc_id = 2").count() == 1
